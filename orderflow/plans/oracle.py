@@ -96,3 +96,104 @@ ORACLE["gold_location_hourly"] = with_(EVENTS_B, SILVER_B) + f"""
 SELECT location, strftime(date_trunc('hour', order_ts), {TS}) AS hour_ts,
        round(sum(extended_price), 2) AS revenue, true AS orders_ok
 FROM silver GROUP BY location, date_trunc('hour', order_ts)"""
+
+# ---- dashboards ----------------------------------------------------------
+
+ORACLE["dash_gross_revenue"] = with_(SILVER_A) + """
+SELECT round(sum(extended_price), 2) AS value, 'Gross Revenue Today' AS label FROM silver"""
+
+HEADER_A = """
+header AS (
+  SELECT order_id, gk_id, location, order_day, sum(extended_price) AS order_revenue,
+         sum(qty) AS total_qty
+  FROM silver GROUP BY order_id, gk_id, location, order_day
+)"""
+
+ORACLE["dash_orders"] = with_(SILVER_A, HEADER_A) + """
+SELECT count(order_id) AS value, 'Orders Today (HLL ±2 %)' AS label FROM header"""
+
+ORACLE["dash_basket"] = with_(SILVER_A, HEADER_A) + """
+SELECT round(avg(total_qty), 2) AS avg_basket_qty,
+       round(avg(order_revenue), 2) AS avg_basket_total_price
+FROM header"""
+
+ORACLE["dash_widget_counter"] = with_(SILVER_A, HEADER_A) + """
+SELECT round(avg(total_qty), 2) AS avg_basket_qty FROM header"""
+
+ORACLE["dash_run_rate"] = with_(SILVER_A) + """
+SELECT round(sum(extended_price), 2) AS revenue, '250000' AS goal,
+       round(sum(extended_price) / 250000.0, 6) AS pct
+FROM silver"""
+
+ORACLE["dash_hourly"] = with_(EVENTS_B, SILVER_B) + f"""
+SELECT strftime(date_trunc('hour', order_ts), {TS}) AS hour_ts, location,
+       round(sum(extended_price), 2) AS revenue
+FROM silver GROUP BY date_trunc('hour', order_ts), location"""
+
+ORACLE["dash_widget_hourly"] = with_(EVENTS_B, SILVER_B) + f"""
+SELECT location, strftime(date_trunc('hour', order_ts), {TS}) AS hour_ts,
+       round(sum(extended_price), 2) AS "sum(revenue)"
+FROM silver GROUP BY date_trunc('hour', order_ts), location"""
+
+ORACLE["dash_widget_bar"] = with_(SILVER_A) + """
+SELECT 'Gross Revenue Today' AS label, round(sum(extended_price), 2) AS "sum(value)" FROM silver"""
+
+# ---- delivery times --------------------------------------------------------
+
+ORDER_TIMES_B = """
+order_times AS (
+  SELECT order_id, location,
+         max(CASE WHEN event_type = 'order_created' THEN ts END) AS order_created_time,
+         max(CASE WHEN event_type = 'delivered' THEN ts END) AS delivered_time
+  FROM ev GROUP BY order_id, location
+)"""
+
+PCT_B = """
+pct AS (
+  SELECT location,
+         quantile_cont(m, 0.50) AS P50, quantile_cont(m, 0.75) AS P75,
+         quantile_cont(m, 0.99) AS P99
+  FROM (SELECT location,
+               date_diff('second', order_created_time, delivered_time) / 60 AS m
+        FROM order_times
+        WHERE order_created_time IS NOT NULL AND delivered_time IS NOT NULL)
+  GROUP BY location
+)"""
+
+ORACLE["order_times"] = with_(EVENTS_B, ORDER_TIMES_B) + f"""
+SELECT order_id, location, strftime(order_created_time, {TS}) AS order_created_time,
+       strftime(delivered_time, {TS}) AS delivered_time
+FROM order_times"""
+
+ORACLE["delivery_percentiles"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B) + """
+SELECT location, round(P50, 4) AS P50, round(P75, 4) AS P75, round(P99, 4) AS P99 FROM pct"""
+
+ORACLE["delivery_view_sql"] = ORACLE["delivery_percentiles"]
+
+ORACLE["location_timings_fn"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B) + """
+SELECT location,
+       round(CAST(CAST(P50 AS FLOAT) AS DOUBLE), 4) AS P50,
+       round(CAST(CAST(P75 AS FLOAT) AS DOUBLE), 4) AS P75,
+       round(CAST(CAST(P99 AS FLOAT) AS DOUBLE), 4) AS P99
+FROM pct"""
+
+DURATIONS_B = f"""
+SELECT order_id, strftime(min(ts), {TS}) AS creation_time, strftime(max(ts), {TS}) AS delivery_time,
+       round(CAST(CAST(date_diff('second', min(ts), max(ts)) / 60 AS FLOAT) AS DOUBLE), 4)
+         AS duration_minutes
+FROM ev GROUP BY order_id"""
+
+ORACLE["order_durations"] = with_(EVENTS_B) + DURATIONS_B
+
+ORACLE["order_delivery_time_fn"] = with_(EVENTS_B) + DURATIONS_B + """
+UNION ALL SELECT 'no-such-order', NULL, NULL, NULL"""
+
+ORACLE["order_details_fn"] = with_(EVENTS_B) + f"""
+SELECT order_id, event_type, strftime(ts, {TS}) AS ts, location,
+       CASE WHEN event_type = 'order_created'
+            THEN to_json({{'items': [{{'id': k, 'category_id': ((k % 10 + 1) * 10 + k % 3) * 10 + k % 7,
+                                       'menu_id': (k % 10 + 1) * 10 + k % 3, 'brand_id': k % 10 + 1,
+                                       'name': 'item' || CAST(k AS VARCHAR), 'price': value,
+                                       'qty': 1}}]}})::VARCHAR
+            ELSE props END AS body
+FROM ev"""

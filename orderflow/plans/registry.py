@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.output import day_text, money, sorted_text, ts_text
-from ..operators import gold, silver
+from ..functions import sql as sql_objects
+from ..operators import delivery, gold, silver
+from . import dashboards
 from ..session import prepare
 from ..sources import fixtures
 
@@ -111,3 +113,149 @@ def q_gold_location_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     money("revenue").alias("revenue"),
                     within_bound(F.col("orders"), F.col("exact_orders"),
                                  gold.DEFAULT_RSD).alias("orders_ok"))
+
+
+# ---- step 3: dashboards --------------------------------------------------
+
+def brand_sales_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.brand_sales_day(silver_a(spark, sf_dir), watermark=None)
+
+
+def header_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.order_header(silver_a(spark, sf_dir))
+
+
+def hourly_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.hourly_trend(gold.location_sales_hourly(silver_b(spark, sf_dir),
+                                                              watermark=None))
+
+
+@query("dash_gross_revenue")
+def q_dash_gross_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = dashboards.gross_revenue(brand_sales_a(spark, sf_dir))
+    return d.select(money("value").alias("value"), "label")
+
+
+@query("dash_orders")
+def q_dash_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.order_count(header_a(spark, sf_dir))
+
+
+@query("dash_basket")
+def q_dash_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.basket(header_a(spark, sf_dir))
+
+
+@query("dash_run_rate")
+def q_dash_run_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = dashboards.run_rate(brand_sales_a(spark, sf_dir))
+    return d.select(money("revenue").alias("revenue"), "goal", money("pct", 6).alias("pct"))
+
+
+@query("dash_hourly")
+def q_dash_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = hourly_b(spark, sf_dir)
+    return d.select(ts_text("hour_ts").alias("hour_ts"), "location",
+                    money("revenue").alias("revenue"))
+
+
+@query("dash_widget_hourly")
+def q_dash_widget_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line chart widget: location and hour become keys, revenue summed."""
+    w = dashboards.widget(hourly_b(spark, sf_dir), ["location", "hour_ts"], "revenue")
+    return w.select("location", ts_text("hour_ts").alias("hour_ts"),
+                    money("`sum(revenue)`").alias("sum(revenue)"))
+
+
+@query("dash_widget_bar")
+def q_dash_widget_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar widget: label key, SUM(value), sorted by the measure descending."""
+    d = dashboards.gross_revenue(brand_sales_a(spark, sf_dir))
+    w = dashboards.widget(d, ["label"], "value", descending=True)
+    return w.select("label", money("`sum(value)`").alias("sum(value)"))
+
+
+@query("dash_widget_counter")
+def q_dash_widget_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter widget: one field passed through (disaggregated)."""
+    return dashboards.widget(dashboards.basket(header_a(spark, sf_dir)), ["avg_basket_qty"])
+
+
+# ---- step 4: delivery times and SQL table functions ----------------------
+
+def events_b_view(spark: SparkSession, sf_dir: str, name: str = "all_events") -> str:
+    fixtures.lifecycle_events(spark, sf_dir).createOrReplaceTempView(name)
+    return name
+
+
+@query("order_times")
+def q_order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = delivery.order_times(fixtures.lifecycle_events(spark, sf_dir))
+    return t.select("order_id", "location",
+                    ts_text("order_created_time").alias("order_created_time"),
+                    ts_text("delivered_time").alias("delivered_time"))
+
+
+@query("delivery_percentiles")
+def q_delivery_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = delivery.delivery_percentiles(fixtures.lifecycle_events(spark, sf_dir))
+    return p.select("location", *[money(c, 4).alias(c) for c in ("P50", "P75", "P99")])
+
+
+@query("delivery_view_sql")
+def q_delivery_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same percentiles through the SQL view."""
+    view = sql_objects.create_delivery_view(spark, events_b_view(spark, sf_dir))
+    return spark.table(view).select(
+        "location", *[money(c, 4).alias(c) for c in ("P50", "P75", "P99")])
+
+
+@query("order_durations")
+def q_order_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = delivery.order_durations(fixtures.lifecycle_events(spark, sf_dir))
+    return d.select("order_id", ts_text("creation_time").alias("creation_time"),
+                    ts_text("delivery_time").alias("delivery_time"),
+                    money("duration_minutes", 4).alias("duration_minutes"))
+
+
+UNKNOWN_ORDER = "no-such-order"
+UNKNOWN_LOCATION = "no-such-location"
+
+
+@query("order_details_fn")
+def q_order_details_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """get_order_details applied to every order id (LATERAL), plus an
+    unknown id that must return nothing."""
+    sql_objects.register_functions(spark, events_b_view(spark, sf_dir))
+    return spark.sql(f"""
+        SELECT d.order_id, d.event_type, d.ts, d.location, d.body
+        FROM (SELECT DISTINCT order_id FROM all_events
+              UNION ALL SELECT '{UNKNOWN_ORDER}') k,
+             LATERAL get_order_details(k.order_id) d""")
+
+
+@query("order_delivery_time_fn")
+def q_order_delivery_time_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """get_order_delivery_time for every order id plus an unknown id
+    (one row of NULLs)."""
+    sql_objects.register_functions(spark, events_b_view(spark, sf_dir))
+    d = spark.sql(f"""
+        SELECT d.*
+        FROM (SELECT DISTINCT order_id FROM all_events
+              UNION ALL SELECT '{UNKNOWN_ORDER}') k,
+             LATERAL get_order_delivery_time(k.order_id) d""")
+    return d.select("order_id", ts_text("creation_time").alias("creation_time"),
+                    ts_text("delivery_time").alias("delivery_time"),
+                    money("duration_minutes", 4).alias("duration_minutes"))
+
+
+@query("location_timings_fn")
+def q_location_timings_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """get_location_timings for every location plus an unknown one (no row)."""
+    sql_objects.register_functions(spark, events_b_view(spark, sf_dir))
+    d = spark.sql(f"""
+        SELECT d.*
+        FROM (SELECT DISTINCT location FROM all_events
+              UNION ALL SELECT '{UNKNOWN_LOCATION}') k,
+             LATERAL get_location_timings(k.location) d""")
+    return d.select("location", *[money(c, 4).alias(c) for c in ("P50", "P75", "P99")])
