@@ -197,3 +197,183 @@ SELECT order_id, event_type, strftime(ts, {TS}) AS ts, location,
                                        'qty': 1}}]}})::VARCHAR
             ELSE props END AS body
 FROM ev"""
+
+# ---- dimensions ---------------------------------------------------------------
+
+DIMS_A = """
+p AS (SELECT *, TRY_CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER) AS b FROM part),
+pc AS (SELECT *, b * 10 + p_size % 3 AS m,
+              (b * 10 + p_size % 3) * 10
+                + list_position(['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD'], p_type) AS c
+       FROM p),
+brand AS (SELECT DISTINCT CAST(b AS BIGINT) AS id, 'Brand#' || CAST(b AS VARCHAR) AS name FROM pc),
+menu AS (SELECT DISTINCT CAST(m AS BIGINT) AS id, 'menu' || CAST(m AS VARCHAR) AS name,
+                CAST(b AS BIGINT) AS brand_id FROM pc),
+category AS (SELECT DISTINCT CAST(c AS BIGINT) AS id, p_type AS name, CAST(m AS BIGINT) AS menu_id,
+                    CAST(b AS BIGINT) AS brand_id FROM pc),
+item AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS price, CAST(b AS BIGINT) AS brand_id,
+                CAST(m AS BIGINT) AS menu_id, CAST(c AS BIGINT) AS category_id FROM pc)"""
+
+ORACLE["dims_loaded"] = with_(DIMS_A) + """
+SELECT 'brand' AS "table", count(*) AS rows FROM brand
+UNION ALL SELECT 'menu', count(*) FROM menu
+UNION ALL SELECT 'category', count(*) FROM category
+UNION ALL SELECT 'item', count(*) FROM item"""
+
+
+def _integrity_sql() -> str:
+    from ..schemas import DIM_KEYS, DIM_SCHEMAS
+    parts = []
+    for name, schema in DIM_SCHEMAS.items():
+        for f in schema.fields:
+            if not f.nullable:
+                parts.append(f"SELECT '{name}' AS \"table\", 'not_null' AS rule, '{f.name}' AS \"column\", "
+                             f"count(*) FILTER (WHERE {f.name} IS NULL) AS violations FROM {name}")
+        pk = DIM_KEYS[name]["pk"]
+        parts.append(f"SELECT '{name}', 'primary_key', '{pk}', count(*) FROM "
+                     f"(SELECT {pk} FROM {name} GROUP BY {pk} HAVING count(*) > 1)")
+        for fk, parent in DIM_KEYS[name]["fk"].items():
+            ppk = DIM_KEYS[parent]["pk"]
+            parts.append(f"SELECT '{name}', 'foreign_key', '{fk}->{parent}', count(*) FROM {name} x "
+                         f"WHERE x.{fk} IS NOT NULL AND NOT EXISTS "
+                         f"(SELECT 1 FROM {parent} y WHERE y.{ppk} = x.{fk})")
+    return with_(DIMS_A) + "\n" + "\nUNION ALL ".join(parts)
+
+
+ORACLE["dims_integrity"] = _integrity_sql()
+
+ORACLE["brand_sales_enriched"] = with_(SILVER_A) + """
+SELECT brand_id, 'Brand#' || CAST(brand_id AS VARCHAR) AS brand_name,
+       strftime(order_day, '%Y-%m-%d') AS day, CAST(sum(qty) AS BIGINT) AS items_sold,
+       round(sum(extended_price), 2) AS brand_revenue
+FROM silver GROUP BY brand_id, order_day"""
+
+ORACLE["item_sales_enriched"] = with_(SILVER_A) + """
+SELECT s.item_id, pt.p_name AS item_name, 'menu' || CAST(s.menu_id AS VARCHAR) AS menu_name,
+       pt.p_type AS category_name, 'Brand#' || CAST(s.brand_id AS VARCHAR) AS brand_name,
+       strftime(s.order_day, '%Y-%m-%d') AS day, CAST(sum(s.qty) AS BIGINT) AS units_sold,
+       round(sum(s.extended_price), 2) AS gross_revenue
+FROM silver s JOIN part pt ON pt.p_partkey = s.item_id
+GROUP BY s.item_id, pt.p_name, s.menu_id, pt.p_type, s.brand_id, s.order_day"""
+
+# ---- refunds ---------------------------------------------------------------------
+
+DECISIONS_B = """
+dur AS (
+  SELECT order_id, location,
+         CAST(date_diff('second', min(ts), max(ts)) / 60 AS FLOAT) AS d
+  FROM ev GROUP BY order_id, location
+  HAVING max(CASE WHEN event_type = 'delivered' THEN 1 ELSE 0 END) = 1
+),
+rev AS (SELECT order_id, sum(value) AS r FROM ev WHERE event_type = 'order_created' GROUP BY order_id),
+j AS (
+  SELECT dur.order_id, dur.location, CAST(d AS DOUBLE) AS d, P75, P99, r,
+         CASE WHEN P99 IS NOT NULL AND d >= P99 THEN 'full'
+              WHEN P75 IS NOT NULL AND d >= P75 THEN 'partial' ELSE 'none' END AS cls
+  FROM dur LEFT JOIN pct ON pct.location = dur.location LEFT JOIN rev ON rev.order_id = dur.order_id
+),
+decisions AS (
+  SELECT order_id, location, d, P75, cls AS refund_class,
+         CAST(round(CAST(coalesce(r, 0.0) AS DECIMAL(18,2))
+                    * CASE cls WHEN 'full' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END, 2)
+              AS DOUBLE) AS refund_usd,
+         CASE WHEN P75 IS NULL OR d IS NULL THEN 'no delivery-time reference for this location'
+              WHEN cls = 'full' THEN 'late: ' || CAST(CAST(round(d) AS BIGINT) AS VARCHAR)
+                   || ' min, beyond P99 of ' || CAST(CAST(round(P99) AS BIGINT) AS VARCHAR) || ' min'
+              WHEN cls = 'partial' THEN 'late: ' || CAST(CAST(round(d) AS BIGINT) AS VARCHAR)
+                   || ' min, beyond P75 of ' || CAST(CAST(round(P75) AS BIGINT) AS VARCHAR) || ' min'
+              ELSE 'on time: ' || CAST(CAST(round(d) AS BIGINT) AS VARCHAR)
+                   || ' min, within P75 of ' || CAST(CAST(round(P75) AS BIGINT) AS VARCHAR) || ' min'
+         END AS reason
+  FROM j
+)"""
+
+ORACLE["refund_decisions"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """
+SELECT order_id, location, round(d, 4) AS duration_minutes, refund_usd, refund_class, reason
+FROM decisions"""
+
+ORACLE["refund_requests"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """
+SELECT md5('request:' || o.order_id) AS request_id, md5(o.order_id) AS order_hash,
+       x.order_id, coalesce(x.refund_class, 'no_decision') AS route, x.refund_usd
+FROM (SELECT DISTINCT order_id FROM ev) o LEFT JOIN decisions x ON x.order_id = o.order_id"""
+
+ORACLE["refund_json_valid"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """
+SELECT order_id, refund_class, refund_usd, true AS valid FROM decisions"""
+
+ORACLE["refund_policy_rate"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """
+SELECT location, count(*) AS decisions,
+       CAST(sum(CASE WHEN refund_usd = 0 OR d >= P75 THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+       round(avg(CASE WHEN refund_usd = 0 OR d >= P75 THEN 1.0 ELSE 0.0 END), 4) AS pass_rate
+FROM decisions GROUP BY location"""
+
+# ---- quality -----------------------------------------------------------------------
+
+STAGE_TIMES_B = """
+st AS (
+  SELECT order_id, location,
+         min(ts) FILTER (WHERE event_type = 'order_created') AS c,
+         min(ts) FILTER (WHERE event_type = 'gk_started') AS s,
+         min(ts) FILTER (WHERE event_type = 'gk_finished') AS f,
+         min(ts) FILTER (WHERE event_type = 'gk_ready') AS r,
+         min(ts) FILTER (WHERE event_type = 'driver_picked_up') AS p,
+         min(ts) FILTER (WHERE event_type = 'delivered') AS d
+  FROM ev GROUP BY order_id, location
+),
+sd AS (
+  SELECT order_id, location,
+         date_diff('second', c, s) / 60 AS created_to_started,
+         date_diff('second', s, f) / 60 AS started_to_finished,
+         date_diff('second', f, r) / 60 AS finished_to_ready,
+         date_diff('second', r, p) / 60 AS ready_to_picked,
+         date_diff('second', p, d) / 60 AS picked_to_delivered,
+         date_diff('second', c, d) / 60 AS created_to_delivered
+  FROM st
+)"""
+
+_STAGE_NAMES = ["created_to_started", "started_to_finished", "finished_to_ready",
+                "ready_to_picked", "picked_to_delivered", "created_to_delivered"]
+
+ORACLE["stage_durations"] = with_(EVENTS_B, STAGE_TIMES_B) + "\nSELECT order_id, location, " + \
+    ", ".join(f"round({n}, 4) AS {n}" for n in _STAGE_NAMES) + " FROM sd"
+
+ORACLE["stage_summary"] = with_(EVENTS_B, STAGE_TIMES_B) + "\nSELECT location, " + ", ".join(
+    f"round(avg({n}), 4) AS {n}_mean, round(stddev_samp({n}), 4) AS {n}_std, count({n}) AS {n}_n"
+    for n in _STAGE_NAMES) + " FROM sd GROUP BY location"
+
+DQ = """
+dq(event_type, field, threshold) AS (VALUES
+  ('driver_ping', 'loc_lat', 0.01), ('driver_ping', 'loc_lon', 0.01),
+  ('driver_ping', 'progress_pct', 0.02), ('driver_picked_up', 'route_points', 0.03),
+  ('order_created', 'items', 0.02), ('order_created', 'customer_addr', 0.01))"""
+
+ORACLE["missing_field_rate"] = with_(EVENTS_B, DQ) + """,
+m AS (
+  SELECT e.event_type, dq.field, dq.threshold,
+         CASE WHEN e.event_type = 'order_created' THEN dq.field = 'customer_addr'
+              ELSE json_extract(e.props, '$.' || dq.field) IS NULL END AS missing
+  FROM ev e JOIN dq ON dq.event_type = e.event_type
+)
+SELECT event_type, field, count(*) AS events, CAST(sum(CAST(missing AS INTEGER)) AS BIGINT) AS missing,
+       round(avg(CAST(missing AS INTEGER)), 4) AS rate, threshold,
+       avg(CAST(missing AS INTEGER)) > threshold AS exceeded
+FROM m GROUP BY event_type, field, threshold"""
+
+ORACLE["missing_items_sales"] = with_(DQ) + """,
+o AS (
+  SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS has_items
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+),
+m AS (
+  SELECT 'order_created' AS event_type, dq.field, dq.threshold,
+         CASE WHEN dq.field = 'items' THEN NOT has_items ELSE false END AS missing
+  FROM o JOIN dq ON dq.event_type = 'order_created'
+)
+SELECT event_type, field, count(*) AS events, CAST(sum(CAST(missing AS INTEGER)) AS BIGINT) AS missing,
+       round(avg(CAST(missing AS INTEGER)), 4) AS rate, threshold,
+       avg(CAST(missing AS INTEGER)) > threshold AS exceeded
+FROM m GROUP BY event_type, field, threshold"""
+
+ORACLE["event_sequence"] = with_(EVENTS_B) + """
+SELECT order_id, event_id,
+       row_number() OVER (PARTITION BY order_id ORDER BY ts, event_id) - 1 AS sequence
+FROM ev"""

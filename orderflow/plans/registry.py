@@ -9,15 +9,16 @@ arrays) that matches the DuckDB SQL of the same name in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.output import day_text, money, sorted_text, ts_text
 from ..functions import sql as sql_objects
-from ..operators import delivery, gold, silver
+from ..operators import delivery, dims, gold, quality, refunds, silver
 from . import dashboards
-from ..session import prepare
+from ..session import prepare, scratch_path
 from ..sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,3 +260,112 @@ def q_location_timings_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
               UNION ALL SELECT '{UNKNOWN_LOCATION}') k,
              LATERAL get_location_timings(k.location) d""")
     return d.select("location", *[money(c, 4).alias(c) for c in ("P50", "P75", "P99")])
+
+
+# ---- step 5: dimensions ----------------------------------------------------
+
+@query("dims_loaded")
+def q_dims_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions derived from part, written as tables, counted back."""
+    location = scratch_path(spark, "dims")
+    db = "orderflow_dims_" + location.rsplit("-", 1)[-1]
+    names = dims.load_dims(spark, fixtures.dims_from_part(spark, sf_dir), db, location)
+    parts = [spark.table(t).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(n).alias("table"), "rows") for n, t in names.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dims_integrity")
+def q_dims_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.check_integrity(fixtures.dims_from_part(spark, sf_dir))
+
+
+@query("brand_sales_enriched")
+def q_brand_sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = dims.enrich(brand_sales_a(spark, sf_dir), fixtures.dims_from_part(spark, sf_dir))
+    return e.select("brand_id", "brand_name", day_text("day").alias("day"), "items_sold",
+                    money("brand_revenue").alias("brand_revenue"))
+
+
+@query("item_sales_enriched")
+def q_item_sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = gold.item_sales_day(silver_a(spark, sf_dir))
+    e = dims.enrich(t, fixtures.dims_from_part(spark, sf_dir))
+    return e.select("item_id", "item_name", "menu_name", "category_name", "brand_name",
+                    day_text("day").alias("day"), "units_sold",
+                    money("gross_revenue").alias("gross_revenue"))
+
+
+# ---- step 8: refunds ---------------------------------------------------------
+
+def decisions_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    header = gold.order_header(silver.order_items(ev))
+    return refunds.refund_decisions(ev, header)
+
+
+@query("refund_decisions")
+def q_refund_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decisions_b(spark, sf_dir)
+    return d.select("order_id", "location", money("duration_minutes", 4).alias("duration_minutes"),
+                    "refund_usd", "refund_class", "reason")
+
+
+@query("refund_requests")
+def q_refund_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = refunds.match_requests(fixtures.refund_requests(spark, sf_dir), decisions_b(spark, sf_dir))
+    return m.select("request_id", "order_hash", "order_id", "route", "refund_usd")
+
+
+@query("refund_json_valid")
+def q_refund_json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = refunds.valid_json(refunds.to_json_line(decisions_b(spark, sf_dir)))
+    return v.select("order_id", F.col("parsed.refund_class").alias("refund_class"),
+                    F.col("parsed.refund_usd").alias("refund_usd"), "valid")
+
+
+@query("refund_policy_rate")
+def q_refund_policy_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    pct = delivery.delivery_percentiles(ev)
+    header = gold.order_header(silver.order_items(ev))
+    checked = refunds.policy_check(refunds.refund_decisions(ev, header, pct), pct)
+    r = refunds.policy_rate(checked, ["location"])
+    return r.select("location", "decisions", "passed", money("pass_rate", 4).alias("pass_rate"))
+
+
+# ---- step 9: quality ---------------------------------------------------------
+
+@query("stage_durations")
+def q_stage_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = quality.stage_durations(fixtures.lifecycle_events(spark, sf_dir))
+    return d.select("order_id", "location", *[money(n, 4).alias(n) for n, _, _ in quality.STAGES])
+
+
+@query("stage_summary")
+def q_stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = quality.stage_summary(fixtures.lifecycle_events(spark, sf_dir))
+    return d.select(*[money(c, 4).alias(c) if c.endswith(("_mean", "_std")) else F.col(c)
+                      for c in d.columns])
+
+
+def _missing_view(df: DataFrame) -> DataFrame:
+    return df.select("event_type", "field", "events", "missing", money("rate", 4).alias("rate"),
+                     "threshold", "exceeded")
+
+
+@query("missing_field_rate")
+def q_missing_field_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _missing_view(quality.missing_field_rate(fixtures.lifecycle_events(spark, sf_dir)))
+
+
+@query("missing_items_sales")
+def q_missing_items_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that silver drops for lack of items (mapping A)."""
+    return _missing_view(quality.missing_field_rate(fixtures.sales_events(spark, sf_dir)))
+
+
+@query("event_sequence")
+def q_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = quality.with_sequence(fixtures.lifecycle_events(spark, sf_dir))
+    return s.select("order_id", "event_id", "sequence")

@@ -137,3 +137,26 @@ def refund_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.concat(F.lit("request:"), F.col("order_id"))).alias("request_id"),
         F.lit("user").alias("role"),
         F.concat(F.lit("My order was late, refund "), F.md5("order_id")).alias("content"))
+
+
+def dims_from_part(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Brand / menu / category / item dimensions derived from ``part``
+    with the mapping-A numbering (distinct keys; one shuffle each)."""
+    p = part_codes(table(spark, sf_dir, "part"))
+    brand = (p.select(F.col("brand_id").cast("bigint").alias("id")).distinct()
+             .withColumn("name", F.concat(F.lit("Brand#"), F.col("id").cast("string"))))
+    menu = (p.select(F.col("menu_id").cast("bigint").alias("id"),
+                     F.col("brand_id").cast("bigint").alias("brand_id")).distinct()
+            .withColumn("name", F.concat(F.lit("menu"), F.col("id").cast("string"))))
+    category = p.select(F.col("category_id").cast("bigint").alias("id"),
+                        F.col("p_type").alias("name"),
+                        F.col("menu_id").cast("bigint").alias("menu_id"),
+                        F.col("brand_id").cast("bigint").alias("brand_id")).distinct()
+    item = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                    F.lit(None).cast("string").alias("description"),
+                    F.col("p_retailprice").alias("price"),
+                    F.lit(None).cast("string").alias("image_data"),
+                    F.col("brand_id").cast("bigint").alias("brand_id"),
+                    F.col("menu_id").cast("bigint").alias("menu_id"),
+                    F.col("category_id").cast("bigint").alias("category_id"))
+    return {"brand": brand, "menu": menu, "category": category, "item": item}
