@@ -377,3 +377,48 @@ ORACLE["event_sequence"] = with_(EVENTS_B) + """
 SELECT order_id, event_id,
        row_number() OVER (PARTITION BY order_id ORDER BY ts, event_id) - 1 AS sequence
 FROM ev"""
+
+# ---- streaming -------------------------------------------------------------------
+
+ORACLE["stream_silver_eq_batch"] = with_(EVENTS_B, SILVER_B) + f"""
+SELECT order_id, gk_id, location, strftime(order_ts, {TS}) AS order_ts,
+       strftime(order_day, '%Y-%m-%d') AS order_day, item_id, menu_id, category_id, brand_id,
+       item_name, price, qty, round(extended_price, 2) AS extended_price
+FROM silver"""
+
+ORACLE["stream_header_complete"] = with_(EVENTS_B, SILVER_B) + """
+SELECT order_id, gk_id, location, strftime(order_day, '%Y-%m-%d') AS order_day,
+       round(sum(extended_price), 2) AS order_revenue,
+       CAST(sum(qty) AS BIGINT) AS total_qty,
+       count(item_id) AS total_items,
+       array_to_string(list_sort(list(DISTINCT brand_id)), ',') AS brands_in_order
+FROM silver GROUP BY order_id, gk_id, location, order_day"""
+
+ORACLE["stream_brand_sales_complete"] = with_(EVENTS_B, SILVER_B) + """
+SELECT brand_id, strftime(order_day, '%Y-%m-%d') AS day,
+       CAST(sum(qty) AS BIGINT) AS items_sold, round(sum(extended_price), 2) AS brand_revenue,
+       true AS orders_ok
+FROM silver GROUP BY brand_id, order_day"""
+
+# One micro-batch holds all input, so the final watermark is
+# max(order_ts) - 3 hours and exactly the hours ending by then are closed.
+ORACLE["stream_hourly_windowed_append"] = with_(EVENTS_B, SILVER_B) + f"""
+SELECT location, strftime(date_trunc('hour', order_ts), {TS}) AS hour_ts,
+       round(sum(extended_price), 2) AS revenue, true AS orders_ok
+FROM silver
+GROUP BY location, date_trunc('hour', order_ts)
+HAVING date_trunc('hour', order_ts) + INTERVAL 1 HOUR
+       <= (SELECT max(order_ts) FROM silver) - INTERVAL 3 HOUR"""
+
+ORDER_SUMMARY = f"""
+SELECT order_id, min(location) AS location, count(*) AS n_events,
+       strftime(min(ts), {TS}) AS first_ts, strftime(max(ts), {TS}) AS last_ts
+FROM ev GROUP BY order_id"""
+
+ORACLE["completed_orders"] = with_(EVENTS_B) + ORDER_SUMMARY + """
+HAVING max(CASE WHEN event_type = 'delivered' THEN 1 ELSE 0 END) = 1"""
+
+ORACLE["completed_orders_batch"] = ORACLE["completed_orders"]
+
+ORACLE["orders_in_progress"] = with_(EVENTS_B) + ORDER_SUMMARY + """
+HAVING max(CASE WHEN event_type = 'delivered' THEN 1 ELSE 0 END) = 0"""

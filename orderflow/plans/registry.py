@@ -20,6 +20,9 @@ from ..operators import delivery, dims, gold, quality, refunds, silver
 from . import dashboards
 from ..session import prepare, scratch_path
 from ..sources import fixtures
+from ..sources.events import read_events_stream, write_events
+from ..streaming import layers, stateful
+from ..streaming.sinks import read_aggregate, run_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -369,3 +372,105 @@ def q_missing_items_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = quality.with_sequence(fixtures.lifecycle_events(spark, sf_dir))
     return s.select("order_id", "event_id", "sequence")
+
+
+# ---- step 6: streaming tables ------------------------------------------------
+
+LANDING_FILES = 4
+
+
+def land_b(spark: SparkSession, sf_dir: str, tag: str) -> tuple[str, str]:
+    """Write mapping B as JSON event files into a new landing folder."""
+    root = scratch_path(spark, tag)
+    landing = f"{root}/landing"
+    write_events(fixtures.lifecycle_events(spark, sf_dir).repartition(LANDING_FILES), landing)
+    return landing, root
+
+
+def exact_orders_hourly(items: DataFrame) -> DataFrame:
+    return (items.groupBy("location", F.date_trunc("hour", "order_ts").alias("hour_ts"))
+            .agg(F.count_distinct("order_id").alias("exact_orders")))
+
+
+@query("stream_silver_eq_batch")
+def q_stream_silver_eq_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files -> bronze stream -> silver stream, read back."""
+    landing, root = land_b(spark, sf_dir, "stream-silver")
+    layout = layers.Layout(root)
+    layers.run_bronze(spark, landing, layout)
+    layers.run_silver(spark, layout)
+    return silver_view(spark.read.parquet(layout.table("silver")))
+
+
+@query("stream_header_complete")
+def q_stream_header_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order header kept by a complete-mode stream (versioned table)."""
+    landing, root = land_b(spark, sf_dir, "stream-header")
+    layout = layers.run_layers(spark, landing, root, tables=["order_header"], windowed=False)
+    return header_view(read_aggregate(spark, layout.table("order_header")))
+
+
+@query("stream_brand_sales_complete")
+def q_stream_brand_sales_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand/day table from the stream (watermark set, complete mode)."""
+    landing, root = land_b(spark, sf_dir, "stream-brand")
+    layout = layers.run_layers(spark, landing, root, tables=["brand_sales_day"], windowed=False)
+    t = read_aggregate(spark, layout.table("brand_sales_day"))
+    items = spark.read.parquet(layout.table("silver"))
+    exact = (items.groupBy("brand_id", F.col("order_day").alias("day"))
+             .agg(F.count_distinct("order_id").alias("exact_orders")))
+    j = t.join(exact, ["brand_id", "day"])
+    return j.select("brand_id", day_text("day").alias("day"), "items_sold",
+                    money("brand_revenue").alias("brand_revenue"),
+                    within_bound(F.col("orders"), F.col("exact_orders"),
+                                 gold.DEFAULT_RSD).alias("orders_ok"))
+
+
+@query("stream_hourly_windowed_append")
+def q_stream_hourly_windowed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows under a 3 h watermark, append mode: only hours the
+    watermark has closed are written."""
+    landing, root = land_b(spark, sf_dir, "stream-windowed")
+    layout = layers.run_layers(spark, landing, root, tables=[], windowed=True)
+    t = spark.read.parquet(layout.table("location_sales_windowed"))
+    exact = exact_orders_hourly(spark.read.parquet(layout.table("silver")))
+    j = t.join(exact, ["location", "hour_ts"])
+    return j.select("location", ts_text("hour_ts").alias("hour_ts"),
+                    money("revenue").alias("revenue"),
+                    within_bound(F.col("orders"), F.col("exact_orders"),
+                                 gold.DEFAULT_RSD).alias("orders_ok"))
+
+
+# ---- step 7: stateful orders ---------------------------------------------------
+
+def order_summary(df: DataFrame) -> DataFrame:
+    ts = F.transform("events", lambda e: e["ts"])
+    return df.select("order_id", "location", F.size("events").cast("bigint").alias("n_events"),
+                     ts_text(F.array_min(ts)).alias("first_ts"),
+                     ts_text(F.array_max(ts)).alias("last_ts"))
+
+
+def run_collector(spark: SparkSession, sf_dir: str, tag: str) -> tuple[str, str]:
+    landing, root = land_b(spark, sf_dir, tag)
+    out, ckpt = f"{root}/completed_orders", f"{root}/_checkpoints/completed_orders"
+    run_append(stateful.completed_orders(read_events_stream(spark, landing)), out, ckpt)
+    return out, ckpt
+
+
+@query("completed_orders")
+def q_completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered orders released by the stateful stream."""
+    out, _ = run_collector(spark, sf_dir, "stateful-completed")
+    return order_summary(spark.read.parquet(out))
+
+
+@query("orders_in_progress")
+def q_orders_in_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders left in the stream's state, read from its checkpoint."""
+    _, ckpt = run_collector(spark, sf_dir, "stateful-progress")
+    return order_summary(stateful.orders_in_progress(spark, ckpt))
+
+
+@query("completed_orders_batch")
+def q_completed_orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_summary(stateful.completed_orders_batch(fixtures.lifecycle_events(spark, sf_dir)))
