@@ -72,7 +72,7 @@ def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool =
     appends closed hourly windows under the watermark.
     """
     out = {}
-    for name in tables or COMPLETE_TABLES:
+    for name in (COMPLETE_TABLES if tables is None else tables):
         run_aggregate(COMPLETE_TABLES[name](silver_stream(spark, layout)), layout.table(name),
                       layout.checkpoint(name))
         out[name] = layout.table(name)

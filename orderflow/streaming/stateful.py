@@ -44,23 +44,23 @@ class OrderEventCollector(StatefulProcessor):
         self.events = handle.getListState(STATE_VAR, STATE_EVENT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        delivered = False
-        for pdf in rows:
-            batch = pdf[STATE_COLUMNS]
-            # One append per Arrow batch, not per row.
-            self.events.appendList([tuple(_py(v) for v in r)
-                                    for r in batch.itertuples(index=False, name=None)])
-            delivered = delivered or bool((batch["event_type"] == "delivered").any())
+        frames = [pdf[STATE_COLUMNS] for pdf in rows]
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        new = [tuple(_py(v) for v in r) for r in batch.itertuples(index=False, name=None)]
         # State never holds a delivered event (it is cleared on release),
         # so only a batch that brings one can complete the order.
-        if delivered:
-            stored = sorted(self.events.get(), key=lambda e: (e[1] is None, e[1] or 0))
+        if not bool((batch["event_type"] == "delivered").any()):
+            self.events.appendList(new)  # one state call per key and batch
+            return
+        prior = list(self.events.get())
+        if prior:
             self.events.clear()
-            yield pd.DataFrame({
-                "order_id": [key[0]],
-                "location": [stored[0][4]],
-                "events": [[{"event_type": e[0], "ts": e[1], "body": e[2]} for e in stored]],
-            })
+        stored = sorted(prior + new, key=lambda e: (e[1] is None, e[1] or 0))
+        yield pd.DataFrame({
+            "order_id": [key[0]],
+            "location": [stored[0][4]],
+            "events": [[{"event_type": e[0], "ts": e[1], "body": e[2]} for e in stored]],
+        })
 
     def close(self) -> None:
         pass
