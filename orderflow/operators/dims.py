@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DIM_KEYS, DIM_SCHEMAS
-from .joins import broadcast_if_small
+from .joins import left_join_nonnull
 
 # Dimension file names of the original data folder.
 DIM_FILES = {"brand": "brands", "menu": "menus", "category": "categories", "item": "items"}
@@ -93,7 +93,8 @@ def enrich(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Add brand / menu / category / item names along the declared keys.
 
     Left joins, so rows with unknown keys are kept (names NULL).  Each
-    dimension is broadcast only if its estimated size is small.
+    dimension is broadcast only if its estimated size is small; rows with
+    a NULL key bypass the join (no hot NULL partition).
     """
     out = df
     for key, dim, col in (("brand_id", "brand", "brand_name"), ("menu_id", "menu", "menu_name"),
@@ -101,6 +102,6 @@ def enrich(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
                           ("item_id", "item", "item_name")):
         if key in out.columns and dim in dims and col not in out.columns:
             d = dims[dim].select(F.col("id").cast("bigint").alias("_k"), F.col("name").alias(col))
-            out = (out.join(broadcast_if_small(d), F.col(key).cast("bigint") == F.col("_k"), "left")
-                   .drop("_k"))
+            out = (left_join_nonnull(out.withColumn("_fk", F.col(key).cast("bigint")), d, "_fk", "_k")
+                   .drop("_k", "_fk"))
     return out

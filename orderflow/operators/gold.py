@@ -35,8 +35,14 @@ def _watermarked(items: DataFrame, watermark: str | None) -> DataFrame:
     return items.withWatermark("order_ts", watermark) if watermark else items
 
 
+def _exact(exact: bool) -> list:
+    # Exact distinct orders next to the estimate, for audits (batch only:
+    # streams reject exact distinct aggregates).
+    return [F.count_distinct("order_id").alias("exact_orders")] if exact else []
+
+
 def brand_sales_day(items: DataFrame, rsd: float = DEFAULT_RSD,
-                    watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                    watermark: str | None = DEFAULT_WATERMARK, exact: bool = False) -> DataFrame:
     """Orders (HyperLogLog++ estimate), items and revenue per brand and day.
 
     An order with two brands counts once for each.  On a stream the day
@@ -47,17 +53,18 @@ def brand_sales_day(items: DataFrame, rsd: float = DEFAULT_RSD,
             .groupBy("brand_id", F.col("order_day").alias("day"))
             .agg(F.approx_count_distinct("order_id", rsd).alias("orders"),
                  F.sum("qty").alias("items_sold"),
-                 F.sum("extended_price").alias("brand_revenue")))
+                 F.sum("extended_price").alias("brand_revenue"), *_exact(exact)))
 
 
 def location_sales_hourly(items: DataFrame, rsd: float = DEFAULT_RSD,
-                          watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                          watermark: str | None = DEFAULT_WATERMARK,
+                          exact: bool = False) -> DataFrame:
     """Orders (estimate) and revenue per location and ``date_trunc`` hour."""
     return (_watermarked(items, watermark)
             .withColumn("hour_ts", F.date_trunc("hour", "order_ts"))
             .groupBy("location", "hour_ts")
             .agg(F.approx_count_distinct("order_id", rsd).alias("orders"),
-                 F.sum("extended_price").alias("revenue")))
+                 F.sum("extended_price").alias("revenue"), *_exact(exact)))
 
 
 def location_sales_windowed(items: DataFrame, rsd: float = DEFAULT_RSD,

@@ -29,3 +29,22 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def left_join_nonnull(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                      broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Left join on one key where rows with a NULL key skip the join.
+
+    A NULL key never matches, but in a shuffle join all NULL-key rows
+    hash to the same task; if many rows lack the key that task gets all
+    of them.  They are routed around the join and unioned back with the
+    right side's columns as NULLs.  ``right`` is broadcast only when its
+    estimated size is within ``broadcast_max_bytes``.
+    """
+    r = broadcast_if_small(right, broadcast_max_bytes)
+    matched = left.filter(F.col(left_key).isNotNull()).join(
+        r, F.col(left_key) == F.col(right_key), "left")
+    right_cols = [f for f in right.schema.fields if f.name not in left.columns]
+    unmatched = left.filter(F.col(left_key).isNull()).select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right_cols])
+    return matched.unionByName(unmatched)

@@ -92,7 +92,43 @@ def missing_field_rate(events: DataFrame, thresholds=DQ_THRESHOLDS) -> DataFrame
             .withColumn("exceeded", F.col("rate") > F.col("threshold")))
 
 
-def with_sequence(events: DataFrame) -> DataFrame:
-    """0-based position of each event within its order, by (ts, event_id)."""
-    w = Window.partitionBy("order_id").orderBy(parse_ts("ts"), F.col("event_id"))
-    return events.withColumn("sequence", (F.row_number().over(w) - 1).cast("bigint"))
+def with_sequence(events: DataFrame, skew_safe: bool = True,
+                  partitions: int | None = None) -> DataFrame:
+    """0-based position of each event within its order, by (ts, event_id).
+
+    ``skew_safe=False`` is one window per order: simple, but one order's
+    events are sorted in one task.  The default never puts an order in
+    one task: rows are range-partitioned on (order_id, ts, event_id), so
+    a hot order spans several partitions; each row gets its position in
+    the sorted partition; a small table of (order, partition) counts
+    gives, per partition, how many events of the order came before.  It
+    is exact and costs one extra shuffle.
+    """
+    ts = parse_ts("ts")
+    order = [F.col("order_id").asc_nulls_last(), F.col("_ts").asc_nulls_last(),
+             F.col("event_id").asc_nulls_last()]
+    if not skew_safe:
+        w = Window.partitionBy("order_id").orderBy(*order)
+        return (events.withColumn("_ts", ts)
+                .withColumn("sequence", (F.row_number().over(w) - 1).cast("bigint"))
+                .drop("_ts"))
+    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (events.withColumn("_ts", ts).repartitionByRange(n, *order)
+              .sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()))
+    counts = ranged.groupBy("order_id", "_pid").agg(F.min("_pos").alias("_first"),
+                                                    F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("order_id").orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    j = ranged.join(broadcast_if_small(offsets.drop("_n")), ["order_id", "_pid"])
+    # NULL order ids do not join; they are one group in the window form too.
+    nulls = ranged.filter(F.col("order_id").isNull()).join(
+        broadcast_if_small(offsets.filter(F.col("order_id").isNull()).drop("order_id", "_n")),
+        "_pid")
+    seq = (F.col("_pos") - F.col("_first") + F.col("_before")).cast("bigint").alias("sequence")
+    cols = [seq if c == "sequence" else F.col(c) for c in events.columns]
+    if "sequence" not in events.columns:
+        cols.append(seq)
+    return j.select(*cols).unionByName(nulls.select(*cols))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.time import parse_ts
 from .delivery import delivery_percentiles
+from .joins import left_join_nonnull
 
 # Decision classes and the id pattern in request text.
 CLASSES = ("none", "partial", "full")
@@ -91,9 +92,10 @@ def match_requests(requests: DataFrame, decisions: DataFrame,
     """
     h = F.regexp_extract(F.lower(F.col(text_col)), ORDER_HASH_PATTERN, 0)
     req = requests.withColumn("order_hash", F.when(h != "", h))
-    dec = decisions.select(F.md5("order_id").alias("order_hash"), "order_id",
+    dec = decisions.select(F.md5("order_id").alias("_hash"), "order_id",
                            "refund_usd", "refund_class", "reason")
-    j = req.join(dec, "order_hash", "left")
+    # Requests without an id never match; they skip the shuffle join.
+    j = left_join_nonnull(req, dec, "order_hash", "_hash").drop("_hash")
     route = (F.when(F.col("order_hash").isNull(), "no_order_id")
              .when(F.col("refund_class").isNull(), "no_decision")
              .otherwise(F.col("refund_class")))

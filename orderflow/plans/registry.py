@@ -95,12 +95,8 @@ def q_gold_item_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gold_brand_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand/day table; the HLL order estimate is checked against the
     exact distinct count (``orders_ok``), the other measures are exact."""
-    items = silver_a(spark, sf_dir)
-    t = gold.brand_sales_day(items, rsd=gold.DEFAULT_RSD, watermark=None)
-    exact = (items.groupBy("brand_id", F.col("order_day").alias("day"))
-             .agg(F.count_distinct("order_id").alias("exact_orders")))
-    j = t.join(exact, ["brand_id", "day"])
-    return j.select("brand_id", day_text("day").alias("day"), "items_sold",
+    t = gold.brand_sales_day(silver_a(spark, sf_dir), watermark=None, exact=True)
+    return t.select("brand_id", day_text("day").alias("day"), "items_sold",
                     money("brand_revenue").alias("brand_revenue"),
                     within_bound(F.col("orders"), F.col("exact_orders"),
                                  gold.DEFAULT_RSD).alias("orders_ok"))
@@ -108,12 +104,8 @@ def q_gold_brand_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gold_location_hourly")
 def q_gold_location_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = silver_b(spark, sf_dir)
-    t = gold.location_sales_hourly(items, watermark=None)
-    exact = (items.groupBy("location", F.date_trunc("hour", "order_ts").alias("hour_ts"))
-             .agg(F.count_distinct("order_id").alias("exact_orders")))
-    j = t.join(exact, ["location", "hour_ts"])
-    return j.select("location", ts_text("hour_ts").alias("hour_ts"),
+    t = gold.location_sales_hourly(silver_b(spark, sf_dir), watermark=None, exact=True)
+    return t.select("location", ts_text("hour_ts").alias("hour_ts"),
                     money("revenue").alias("revenue"),
                     within_bound(F.col("orders"), F.col("exact_orders"),
                                  gold.DEFAULT_RSD).alias("orders_ok"))

@@ -84,3 +84,28 @@ def test_sequence_by_time(events):
                  ("order_created", "2024-01-01 09:00:00.000000", "o2", "x", "{}")])
     s = {(r.order_id, r.event_type): r.sequence for r in quality.with_sequence(ev).collect()}
     assert s == {("o1", "order_created"): 0, ("o1", "delivered"): 1, ("o2", "order_created"): 0}
+
+
+def test_skew_safe_sequence_matches_window_on_hot_order(spark, events):
+    rows = [("driver_ping", f"2024-01-01 10:{i // 60:02d}:{i % 60:02d}.000000", "hot", "x", "{}")
+            for i in range(600)]
+    rows += [("order_created", "2024-01-01 09:00:00.000000", f"o{i}", "x", "{}") for i in range(20)]
+    rows.append(("order_created", "2024-01-01 09:00:00.000000", None, "x", "{}"))
+    ev = events(rows)
+    safe = quality.with_sequence(ev, skew_safe=True, partitions=8)
+    ranged_parts = (safe.filter("order_id = 'hot'").count())
+    assert ranged_parts == 600
+    plain = quality.with_sequence(ev, skew_safe=False)
+    key = ["event_id", "sequence"]
+    assert safe.select(key).exceptAll(plain.select(key)).count() == 0
+    assert safe.count() == plain.count() == 621
+    hot = sorted(r.sequence for r in safe.filter("order_id = 'hot'").collect())
+    assert hot == list(range(600))
+
+
+def test_left_join_nonnull_keeps_null_keys(spark):
+    from orderflow.operators.joins import left_join_nonnull
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "one")], "rk int, name string")
+    rows = sorted(left_join_nonnull(left, right, "k", "rk").collect(), key=lambda r: r.v)
+    assert [(r.v, r.name) for r in rows] == [("a", "one"), ("b", None), ("c", None)]
