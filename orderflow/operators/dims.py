@@ -28,24 +28,39 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def load_dims(spark: SparkSession, dims: dict[str, DataFrame], database: str,
-              location: str | None = None) -> dict[str, str]:
-    """Create ``database`` and write each dimension as a table in it.
+def _ddl_type(t) -> str:
+    return t.simpleString().upper()
+
 
-    Parquet tables do not enforce NOT NULL or keys; run
-    ``check_integrity`` for the declared constraints.
+def create_dim_tables(spark: SparkSession, database: str, location: str | None = None) -> dict[str, str]:
+    """CREATE TABLE IF NOT EXISTS for the four dimensions, NOT NULL as declared.
+
+    Key constraints are not accepted by the session catalog and NOT NULL
+    is not enforced on parquet tables; ``check_integrity`` checks both.
     """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     names = {}
-    for name in DIM_SCHEMAS:
-        if name in dims:
-            table = f"{database}.{name}"
-            conform(name, dims[name]).write.mode("overwrite").format("parquet").saveAsTable(table)
-            names[name] = table
+    for name, schema in DIM_SCHEMAS.items():
+        cols = ", ".join(f"{f.name} {_ddl_type(f.dataType)}{'' if f.nullable else ' NOT NULL'}"
+                         for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet")
+        names[name] = f"{database}.{name}"
     return names
 
 
+def load_dims(spark: SparkSession, dims: dict[str, DataFrame], database: str,
+              location: str | None = None) -> dict[str, str]:
+    """Create the dimension tables (if needed) and overwrite their rows."""
+    names = create_dim_tables(spark, database, location)
+    loaded = {}
+    for name, table in names.items():
+        if name in dims:
+            conform(name, dims[name]).write.insertInto(table, overwrite=True)
+            loaded[name] = table
+    return loaded
+
+
 def _row(table: str, rule: str, column: str, violations) -> list:
     return [F.lit(table).alias("table"), F.lit(rule).alias("rule"),
             F.lit(column).alias("column"), violations.cast("bigint").alias("violations")]

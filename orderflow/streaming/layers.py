@@ -27,11 +27,38 @@ COMPLETE_TABLES = {
 
 @dataclass
 class Layout:
+    """Where each layer lives: file tables under ``root``, or catalog
+    tables in ``database`` (append layers) when one is given."""
+
     root: str
+    database: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table_name(self, name: str) -> str:
+        return f"{self.database}.{name}"
+
+    def append(self, spark: SparkSession, df: DataFrame, name: str,
+               partition_by: list[str] | None = None) -> None:
+        if self.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} "
+                      f"LOCATION '{self.root}/_database'")
+            run_append(df, None, self.checkpoint(name), partition_by, table=self.table_name(name))
+        else:
+            run_append(df, self.table(name), self.checkpoint(name), partition_by)
+
+    def stream(self, spark: SparkSession, name: str, schema) -> DataFrame:
+        if self.database:
+            return spark.readStream.table(self.table_name(name))
+        return spark.readStream.schema(schema).parquet(self.table(name))
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """Batch read of an append layer."""
+        if self.database:
+            return spark.table(self.table_name(name))
+        return spark.read.parquet(self.table(name))
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
@@ -44,24 +71,23 @@ def silver_schema(spark: SparkSession):
 def run_bronze(spark: SparkSession, landing: str, layout: Layout,
                max_files: int | None = None) -> str:
     """Landing JSON files -> bronze parquet table (append)."""
-    run_append(read_events_stream(spark, landing, max_files), layout.table("bronze"),
-               layout.checkpoint("bronze"))
+    layout.append(spark, read_events_stream(spark, landing, max_files), "bronze")
     return layout.table("bronze")
 
 
 def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.readStream.schema(EVENT).parquet(layout.table("bronze"))
+    return layout.stream(spark, "bronze", EVENT)
 
 
 def run_silver(spark: SparkSession, layout: Layout, strict: bool = False) -> str:
     """Bronze stream -> item rows, partitioned by order_day (append)."""
-    run_append(silver.order_items(bronze_stream(spark, layout), strict), layout.table("silver"),
-               layout.checkpoint("silver"), partition_by=["order_day"])
+    layout.append(spark, silver.order_items(bronze_stream(spark, layout), strict), "silver",
+                  partition_by=["order_day"])
     return layout.table("silver")
 
 
 def silver_stream(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.readStream.schema(silver_schema(spark)).parquet(layout.table("silver"))
+    return layout.stream(spark, "silver", silver_schema(spark))
 
 
 def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool = True) -> dict:
@@ -77,17 +103,16 @@ def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool =
                       layout.checkpoint(name))
         out[name] = layout.table(name)
     if windowed:
-        run_append(gold.location_sales_windowed(silver_stream(spark, layout)),
-                   layout.table("location_sales_windowed"),
-                   layout.checkpoint("location_sales_windowed"))
+        layout.append(spark, gold.location_sales_windowed(silver_stream(spark, layout)),
+                      "location_sales_windowed")
         out["location_sales_windowed"] = layout.table("location_sales_windowed")
     return out
 
 
 def run_layers(spark: SparkSession, landing: str, root: str, max_files: int | None = None,
-               tables=None, windowed: bool = True) -> Layout:
+               tables=None, windowed: bool = True, database: str | None = None) -> Layout:
     """Run bronze, silver and gold one after the other."""
-    layout = Layout(root)
+    layout = Layout(root, database)
     run_bronze(spark, landing, layout, max_files)
     run_silver(spark, layout)
     run_gold(spark, layout, tables, windowed)

@@ -82,3 +82,24 @@ def test_batch_collector_sorts_events(spark, events):
                  ("order_created", "2024-01-01 10:00:00.000000", "o1", "x", ITEM)])
     r = stateful.completed_orders_batch(ev).collect()[0]
     assert [e.event_type for e in r.events] == ["order_created", "delivered"]
+
+
+def test_layers_on_catalog_tables_and_stream_static_enrich(spark):
+    """Append layers as catalog tables (toTable / readStream.table), and a
+    stream-static join of silver with a dimension."""
+    from orderflow.operators import dims
+    from orderflow.sources import fixtures
+    ev = fixtures.lifecycle_events(spark, "/root/testdata/sf0.001")
+    root = scratch_path(spark, "test-catalog")
+    db = "orderflow_test_" + root.rsplit("-", 1)[-1]
+    write_events(ev.repartition(2), f"{root}/landing")
+    layout = layers.run_layers(spark, f"{root}/landing", root, tables=[], windowed=False,
+                               database=db)
+    got = layout.read(spark, "silver")
+    assert got.count() == silver.order_items(ev).count()
+    brands = spark.createDataFrame([(i, f"b{i}") for i in range(1, 11)], "id bigint, name string")
+    enriched = dims.enrich(layers.silver_stream(spark, layout), {"brand": brands})
+    run_append(enriched, f"{root}/enriched", f"{root}/_checkpoints/enriched")
+    out = spark.read.parquet(f"{root}/enriched")
+    assert out.count() == got.count()
+    assert out.filter(F.col("brand_name").isNull() & F.col("brand_id").isNotNull()).count() == 0
