@@ -44,7 +44,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", app="orderflow-bench", shuffle_partitions=cpus * 2,
+    spark = get_spark(f"local[{cpus}]", app="orderflow-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
     times: dict[str, float] = {}
     for name in names:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import gold, silver
@@ -52,12 +53,14 @@ def test_late_row_dropped_by_window_counted_by_date_trunc(spark, events):
     assert "2024-01-01 20:00:00" not in win        # still open under the watermark
 
 
-def test_collector_after_delivered_and_second_delivered(spark, events):
+@pytest.mark.parametrize("pandas", [False, True])
+def test_collector_after_delivered_and_second_delivered(spark, events, pandas):
     root = scratch_path(spark, "test-collector")
     landing, out, ckpt = f"{root}/landing", f"{root}/out", f"{root}/ckpt"
 
     def run():
-        run_append(stateful.completed_orders(read_events_stream(spark, landing)), out, ckpt)
+        run_append(stateful.completed_orders(read_events_stream(spark, landing), pandas=pandas),
+                   out, ckpt)
 
     write_events(events([("order_created", "2024-01-01 10:00:00.000000", "o1", "x", ITEM),
                          ("delivered", "2024-01-01 10:30:00.000000", "o1", "x", "{}"),
