@@ -60,9 +60,10 @@ def _envelope(event_id: Column, event_type: Column, ts: Column, gk_id: Column,
 def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapping A: one ``order_created`` event per order, items in the body.
 
-    Plan: lineitem ⋈ part (shuffle join on partkey, AQE splits a hot
-    part) → items grouped per order (one shuffle on orderkey) → joined
-    to orders ⋈ customer; nation is broadcast behind a size check.
+    Plan: lineitem ⋈ part (shuffle join on partkey unless part is small;
+    AQE splits a hot part), then orders ⋈ customer ⋈ nation (nation
+    broadcast behind a size check) left-joined with the item rows on
+    orderkey, and one aggregation per order on that same partitioning.
     Orders without line items carry no ``items`` field.
     """
     part = part_codes(table(spark, sf_dir, "part"))
@@ -71,21 +72,22 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("category_id"), F.col("menu_id"), F.col("brand_id"),
         F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"),
         F.col("l_quantity").cast("int").alias("qty"))
-    items = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-             .join(part, F.col("l_partkey") == F.col("p_partkey"))
-             .groupBy("l_orderkey")
-             .agg(F.collect_list(item).alias("items")))
+    lines = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+             .join(part, F.col("l_partkey") == F.col("p_partkey")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     joined = (orders
               .join(customer, F.col("o_custkey") == F.col("c_custkey"))
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+              .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+    per_order = joined.groupBy("o_orderkey", "o_custkey", "o_orderdate", "c_nationkey", "n_name").agg(
+        F.collect_list(F.when(F.col("l_orderkey").isNotNull(), item)).alias("items"))
     order_id = F.col("o_orderkey").cast("string")
+    items = F.when(F.size("items") > 0, F.col("items"))
     body = F.to_json(F.struct(F.col("o_custkey").cast("string").alias("customer_addr"),
-                              F.col("items")))
-    return joined.select(*_envelope(
+                              items.alias("items")))
+    return per_order.select(*_envelope(
         F.md5(F.concat(F.lit("order_created:"), order_id)),
         F.lit("order_created"),
         F.date_format("o_orderdate", TS_FORMAT),
