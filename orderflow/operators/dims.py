@@ -69,37 +69,40 @@ def _row(table: str, rule: str, column: str, violations) -> list:
 def check_integrity(dims: dict[str, DataFrame]) -> DataFrame:
     """Declared constraints as a check job: one row per (table, rule, column).
 
-    * not_null: one aggregation pass per table counts NULLs of every
-      required column.
-    * primary_key: key values that occur more than once (partial
-      aggregation per key, then a count).
-    * foreign_key: child rows whose key has no parent.  The child side is
-      first reduced to (key, rows) so a hot key costs one row, then
-      anti-joined with the parent keys.
+    Per table, one aggregation by primary key counts rows per key and the
+    NULLs of every required column (partial aggregation, so a hot key
+    costs one row per task); a second, global aggregation turns that into
+    the not_null and primary_key violations.  A foreign key reduces the
+    child to (key, rows), anti-joins it with the parent's key set from the
+    same per-key aggregation, and sums the orphan rows.
     """
-    parts = []
+    parts, keys = [], {}
     for name, schema in DIM_SCHEMAS.items():
         if name not in dims:
             continue
         df = dims[name]
-        required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
-        if required:
-            counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
-            parts.append(counts.select(F.explode(F.array(*[
-                F.struct(*_row(name, "not_null", c, F.col(c))) for c in required])).alias("r"))
-                .select("r.*"))
         pk = DIM_KEYS[name]["pk"]
-        dup = (df.groupBy(pk).count().filter("count > 1")
-               .agg(F.count(F.lit(1)).alias("v")))
-        parts.append(dup.select(*_row(name, "primary_key", pk, F.col("v"))))
-        for fk, parent in DIM_KEYS[name]["fk"].items():
-            if parent not in dims:
+        required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+        by_key = df.groupBy(F.col(pk).cast("bigint").alias("k")).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
+        keys[name] = by_key.select("k")
+        totals = by_key.agg(F.count(F.when(F.col("_rows") > 1, 1)).alias("_dup"),
+                            *[F.sum(c).alias(c) for c in required])
+        rows = [F.struct(*_row(name, "not_null", c, F.coalesce(F.col(c), F.lit(0))))
+                for c in required]
+        rows.append(F.struct(*_row(name, "primary_key", pk, F.col("_dup"))))
+        parts.append(totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    for name, spec in DIM_KEYS.items():
+        if name not in dims:
+            continue
+        for fk, parent in spec["fk"].items():
+            if parent not in keys:
                 continue
-            keys = dims[parent].select(F.col(DIM_KEYS[parent]["pk"]).cast("bigint").alias("k"))
-            refs = (df.filter(F.col(fk).isNotNull())
+            refs = (dims[name].filter(F.col(fk).isNotNull())
                     .groupBy(F.col(fk).cast("bigint").alias("k")).count())
-            orphans = refs.join(keys, "k", "left_anti").agg(F.coalesce(F.sum("count"), F.lit(0))
-                                                            .alias("v"))
+            orphans = (refs.join(keys[parent], "k", "left_anti")
+                       .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("v")))
             parts.append(orphans.select(*_row(name, "foreign_key", f"{fk}->{parent}", F.col("v"))))
     return reduce(DataFrame.unionByName, parts)
 

@@ -33,18 +33,20 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
 
 def left_join_nonnull(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                       broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Left join on one key where rows with a NULL key skip the join.
-
-    A NULL key never matches, but in a shuffle join all NULL-key rows
-    hash to the same task; if many rows lack the key that task gets all
-    of them.  They are routed around the join and unioned back with the
-    right side's columns as NULLs.  ``right`` is broadcast only when its
-    estimated size is within ``broadcast_max_bytes``.
+    """Left join on one key, safe when many left rows have a NULL key.
+
+    A NULL key never matches, but in a shuffle join all NULL-key rows hash
+    to the same task.  Each NULL-key row gets a salt (a hash of its
+    content, so a retried task salts the same way) as a second join key;
+    matching rows use salt 0 on both sides.  NULL rows then spread over
+    all tasks and still find no partner.  ``right`` is broadcast only
+    when its estimated size is within ``broadcast_max_bytes`` (then no
+    shuffle happens at all).
     """
-    r = broadcast_if_small(right, broadcast_max_bytes)
-    matched = left.filter(F.col(left_key).isNotNull()).join(
-        r, F.col(left_key) == F.col(right_key), "left")
-    right_cols = [f for f in right.schema.fields if f.name not in left.columns]
-    unmatched = left.filter(F.col(left_key).isNull()).select(
-        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right_cols])
-    return matched.unionByName(unmatched)
+    buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.col(left_key).isNull(),
+                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)))
+    l = left.withColumn("_salt", F.coalesce(salt, F.lit(0).cast("bigint")))
+    r = broadcast_if_small(right.withColumn("_rsalt", F.lit(0).cast("bigint")), broadcast_max_bytes)
+    cond = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
+    return l.join(r, cond, "left").drop("_salt", "_rsalt")

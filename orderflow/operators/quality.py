@@ -122,13 +122,13 @@ def with_sequence(events: DataFrame, skew_safe: bool = True,
     before = Window.partitionBy("order_id").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    j = ranged.join(broadcast_if_small(offsets.drop("_n")), ["order_id", "_pid"])
-    # NULL order ids do not join; they are one group in the window form too.
-    nulls = ranged.filter(F.col("order_id").isNull()).join(
-        broadcast_if_small(offsets.filter(F.col("order_id").isNull()).drop("order_id", "_n")),
-        "_pid")
+    # NULL order ids are one order here, as in the window form (null-safe key).
+    off = broadcast_if_small(offsets.drop("_n").withColumnRenamed("order_id", "_oid")
+                             .withColumnRenamed("_pid", "_opid"))
+    j = ranged.join(off, F.col("order_id").eqNullSafe(F.col("_oid"))
+                    & (F.col("_pid") == F.col("_opid")))
     seq = (F.col("_pos") - F.col("_first") + F.col("_before")).cast("bigint").alias("sequence")
     cols = [seq if c == "sequence" else F.col(c) for c in events.columns]
     if "sequence" not in events.columns:
         cols.append(seq)
-    return j.select(*cols).unionByName(nulls.select(*cols))
+    return j.select(*cols)
