@@ -27,6 +27,7 @@ from ..schemas import COMPLETED, STATE_EVENT
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_VAR = "events"
+CLOSED_VAR = "closed"
 STATE_COLUMNS = ["event_type", "ts", "body", "order_id", "location"]
 
 
@@ -57,12 +58,27 @@ class OrderEventCollector(StatefulProcessor):
     key whose new rows bring no ``delivered`` only appends (one state
     call); otherwise the earlier events are fetched, the order released
     and its state cleared.
+
+    ``remember_delivered=True`` keeps a one-boolean flag per released
+    order, and later events of that order are dropped instead of opening
+    state that never closes.  The flag has no expiry: a TTL needs
+    processing-time mode, whose pending expiries keep a one-shot
+    (availableNow) run from finishing.
     """
 
+    def __init__(self, remember_delivered: bool = False):
+        self.remember = remember_delivered
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.events = handle.getListState(STATE_VAR, STATE_EVENT)
+        if self.remember:
+            self.closed = handle.getValueState(CLOSED_VAR, "closed boolean")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self.remember and self.closed.exists():
+            for _ in rows:  # order already released: drop late events
+                pass
+            return
         new = [(r.event_type, r.ts, r.body, r.order_id, r.location) for r in rows]
         if not any(e[0] == "delivered" for e in new):
             self.events.appendList(new)
@@ -70,6 +86,8 @@ class OrderEventCollector(StatefulProcessor):
         prior = list(self.events.get())
         if prior:
             self.events.clear()
+        if self.remember:
+            self.closed.update((True,))
         order_id, location, stored = _release(key, prior, new)
         yield Row(order_id=order_id, location=location,
                   events=[Row(event_type=e[0], ts=e[1], body=e[2]) for e in stored])
@@ -121,12 +139,14 @@ def state_input(events: DataFrame, strict: bool = True) -> DataFrame:
     return events.select("event_type", ts.alias("ts"), "body", "order_id", "location")
 
 
-def completed_orders(events_stream: DataFrame, strict: bool = True,
-                     pandas: bool = False) -> DataFrame:
+def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool = False,
+                     remember_delivered: bool = False) -> DataFrame:
     """Stream of delivered orders with all their events (append).
 
     Keyed by order_id (one shuffle to the state partitions), no timers.
-    ``pandas=True`` runs the pandas form of the same processor.
+    ``pandas=True`` runs the pandas form of the processor;
+    ``remember_delivered=True`` drops events that arrive after an order
+    was released (see ``OrderEventCollector``).
     """
     use_rocksdb(events_stream.sparkSession)
     grouped = state_input(events_stream, strict).groupBy("order_id")
@@ -135,8 +155,8 @@ def completed_orders(events_stream: DataFrame, strict: bool = True,
             statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED,
             outputMode="Append", timeMode="None")
     return grouped.transformWithState(
-        statefulProcessor=OrderEventCollector(), outputStructType=COMPLETED,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=OrderEventCollector(remember_delivered),
+        outputStructType=COMPLETED, outputMode="Append", timeMode="None")
 
 
 def _sorted_events(df: DataFrame) -> DataFrame:

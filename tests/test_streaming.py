@@ -106,3 +106,22 @@ def test_layers_on_catalog_tables_and_stream_static_enrich(spark):
     out = spark.read.parquet(f"{root}/enriched")
     assert out.count() == got.count()
     assert out.filter(F.col("brand_name").isNull() & F.col("brand_id").isNotNull()).count() == 0
+
+
+def test_collector_remembers_delivered_orders(spark, events):
+    """Opt-in: events after delivery are dropped instead of reopening state."""
+    root = scratch_path(spark, "test-remember")
+    landing, out, ckpt = f"{root}/landing", f"{root}/out", f"{root}/ckpt"
+
+    def run():
+        run_append(stateful.completed_orders(read_events_stream(spark, landing),
+                                             remember_delivered=True), out, ckpt)
+
+    write_events(events([("order_created", "2024-01-01 10:00:00.000000", "o1", "x", ITEM),
+                         ("delivered", "2024-01-01 10:30:00.000000", "o1", "x", "{}")]), landing)
+    run()
+    write_events(events([("driver_ping", "2024-01-01 10:40:00.000000", "o1", "x", "{}"),
+                         ("delivered", "2024-01-01 10:50:00.000000", "o1", "x", "{}")]), landing)
+    run()
+    assert spark.read.parquet(out).count() == 1
+    assert stateful.orders_in_progress(spark, ckpt).count() == 0
