@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import parse_ts
-from .delivery import delivery_percentiles
+from .delivery import order_rollup, percentiles_from
 from .joins import left_join_nonnull
+from ..session import cut_lineage
 
 # Decision classes and the id pattern in request text.
 CLASSES = ("none", "partial", "full")
@@ -30,34 +31,49 @@ def _minutes(c: Column) -> Column:
     return F.round(c.cast("double"), 0).cast("bigint").cast("string")
 
 
-def delivered_durations(events: DataFrame) -> DataFrame:
-    """First -> last event minutes (FLOAT) of orders that were delivered."""
-    ts = parse_ts("ts")
-    t = (events.groupBy("order_id", "location")
-         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-              F.max((F.col("event_type") == "delivered").cast("int")).alias("delivered")))
+def durations_from(rollup: DataFrame) -> DataFrame:
+    """First -> last event minutes (FLOAT) of delivered orders."""
     secs = F.unix_timestamp("last_ts") - F.unix_timestamp("first_ts")
-    return (t.filter("delivered = 1")
-            .select("order_id", "location",
+    return (rollup.filter("delivered = 1")
+            .select("order_id", "location", "order_revenue",
                     F.try_divide(secs, F.lit(60)).cast("float").alias("duration_minutes")))
 
 
+def delivered_durations(events: DataFrame) -> DataFrame:
+    """First -> last event minutes (FLOAT) of orders that were delivered."""
+    return durations_from(order_rollup(events)).drop("order_revenue")
+
+
 def refund_decisions(events: DataFrame, header: DataFrame | None = None,
                      percentiles: DataFrame | None = None,
-                     partial: float = 0.5, full: float = 1.0) -> DataFrame:
+                     partial: float = 0.5, full: float = 1.0,
+                     materialize: bool = True) -> DataFrame:
     """Decision per delivered order.
 
     duration < P75 -> none; P75 <= duration < P99 -> partial
     (``partial`` x order revenue); duration >= P99 -> full (``full`` x
     revenue).  No percentiles for the location -> none.
+
+    Durations, percentiles and (without ``header``) revenue come from one
+    per-order rollup of the event log.  With ``materialize`` the rollup
+    (one row per order) is checkpointed to the shared checkpoint folder,
+    so the log is read and shuffled once although two branches use it.
+    Passing ``header`` takes revenue from the order header table.
     """
-    pct = percentiles if percentiles is not None else delivery_percentiles(events)
-    d = delivered_durations(events).join(pct.select("location", "P75", "P99"), "location", "left")
+    rollup = order_rollup(events)
+    if materialize:
+        rollup = cut_lineage(rollup)
+    return decide(rollup, percentiles if percentiles is not None else percentiles_from(rollup),
+                  header, partial, full)
+
+
+def decide(rollup: DataFrame, percentiles: DataFrame, header: DataFrame | None = None,
+           partial: float = 0.5, full: float = 1.0) -> DataFrame:
+    """Decisions from a per-order rollup (``order_rollup``) and percentiles."""
+    d = durations_from(rollup).join(percentiles.select("location", "P75", "P99"), "location", "left")
     if header is not None:
-        rev = header.groupBy("order_id").agg(F.sum("order_revenue").alias("order_revenue"))
-        d = d.join(rev, "order_id", "left")
-    else:
-        d = d.withColumn("order_revenue", F.lit(None).cast("double"))
+        rev = header.groupBy("order_id").agg(F.sum("order_revenue").alias("_rev"))
+        d = d.join(rev, "order_id", "left").withColumn("order_revenue", F.col("_rev")).drop("_rev")
     dur = F.col("duration_minutes").cast("double")
     cls = (F.when(F.col("P99").isNotNull() & (dur >= F.col("P99")), "full")
            .when(F.col("P75").isNotNull() & (dur >= F.col("P75")), "partial")
