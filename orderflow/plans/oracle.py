@@ -354,7 +354,7 @@ m AS (
   FROM ev e JOIN dq ON dq.event_type = e.event_type
 )
 SELECT event_type, field, count(*) AS events, CAST(sum(CAST(missing AS INTEGER)) AS BIGINT) AS missing,
-       round(avg(CAST(missing AS INTEGER)), 4) AS rate, threshold,
+       round(avg(CAST(missing AS INTEGER)), 4) AS rate, CAST(threshold AS DOUBLE) AS threshold,
        avg(CAST(missing AS INTEGER)) > threshold AS exceeded
 FROM m GROUP BY event_type, field, threshold"""
 
@@ -369,7 +369,7 @@ m AS (
   FROM o JOIN dq ON dq.event_type = 'order_created'
 )
 SELECT event_type, field, count(*) AS events, CAST(sum(CAST(missing AS INTEGER)) AS BIGINT) AS missing,
-       round(avg(CAST(missing AS INTEGER)), 4) AS rate, threshold,
+       round(avg(CAST(missing AS INTEGER)), 4) AS rate, CAST(threshold AS DOUBLE) AS threshold,
        avg(CAST(missing AS INTEGER)) > threshold AS exceeded
 FROM m GROUP BY event_type, field, threshold"""
 
