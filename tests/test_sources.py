@@ -32,3 +32,12 @@ def test_load_once_guard(spark, events, tmp_path):
     assert load_once(spark, ev, "orderflow_test_all_events", str(tmp_path / "t")) is True
     assert load_once(spark, ev.union(ev), "orderflow_test_all_events") is False
     assert spark.table("orderflow_test_all_events").count() == 1
+
+
+def test_cut_lineage_uses_shared_checkpoint_folder(spark):
+    from orderflow.session import checkpoint_root, cut_lineage
+    df = spark.range(10).selectExpr("id", "id * 2 AS twice")
+    cut = cut_lineage(df)
+    assert cut.count() == 10
+    assert "ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
+    assert checkpoint_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
