@@ -367,14 +367,12 @@ def q_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- step 6: streaming tables ------------------------------------------------
 
-LANDING_FILES = 4
-
-
 def land_b(spark: SparkSession, sf_dir: str, tag: str) -> tuple[str, str]:
-    """Write mapping B as JSON event files into a new landing folder."""
+    """Write mapping B as JSON event files into a new landing folder
+    (one file per input partition: no shuffle, file count grows with the data)."""
     root = scratch_path(spark, tag)
     landing = f"{root}/landing"
-    write_events(fixtures.lifecycle_events(spark, sf_dir).repartition(LANDING_FILES), landing)
+    write_events(fixtures.lifecycle_events(spark, sf_dir), landing)
     return landing, root
 
 
