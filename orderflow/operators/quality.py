@@ -61,10 +61,9 @@ def missing_field_rate(events: DataFrame, thresholds=DQ_THRESHOLDS) -> DataFrame
     An array field that is empty counts as missing (an order_created
     event without items is dropped by the silver layer).  The body is
     parsed once; the measured fields are unpivoted in place and
-    aggregated with partial aggregation per (event type, field).
+    aggregated with partial aggregation per (event type, field); the
+    limits are attached as a literal expression (no join).
     """
-    spark = events.sparkSession
-    limits = spark.createDataFrame(thresholds, "event_type string, field string, threshold double")
     types = sorted({t for t, _, _ in thresholds})
     body = F.from_json("body", BODY)
     parsed = (events.filter(F.col("event_type").isin(*types))
@@ -87,7 +86,14 @@ def missing_field_rate(events: DataFrame, thresholds=DQ_THRESHOLDS) -> DataFrame
     rates = (long.groupBy("event_type", F.col("m.field").alias("field"))
              .agg(F.count(F.lit(1)).alias("events"),
                   F.sum(F.col("m.missing").cast("int")).cast("bigint").alias("missing")))
-    return (rates.join(broadcast_if_small(limits), ["event_type", "field"])
+    # The limits are a small fixed table: attach them as a literal CASE
+    # expression instead of a join.
+    limit = None
+    for t, f, th in thresholds:
+        cond = (F.col("event_type") == t) & (F.col("field") == f)
+        limit = (F.when(cond, F.lit(float(th))) if limit is None
+                 else limit.when(cond, F.lit(float(th))))
+    return (rates.withColumn("threshold", limit)
             .withColumn("rate", F.col("missing") / F.col("events"))
             .withColumn("exceeded", F.col("rate") > F.col("threshold")))
 
