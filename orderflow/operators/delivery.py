@@ -95,9 +95,10 @@ def order_details(events: DataFrame, order_ids: DataFrame) -> DataFrame:
     """All events of the given orders (semi-join on order_id).
 
     ``order_ids`` is broadcast only when its estimated size is small;
-    otherwise the semi-join shuffles both sides on order_id.
+    otherwise the semi-join shuffles both sides on order_id.  Duplicate
+    keys need no ``distinct`` (a semi-join returns each event once).
     """
-    keys = broadcast_if_small(order_ids.select("order_id").distinct())
+    keys = broadcast_if_small(order_ids.select("order_id"))
     return (events.join(keys, "order_id", "left_semi")
             .select("body", "event_type", "order_id", "ts", "location"))
 
