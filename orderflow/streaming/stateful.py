@@ -14,10 +14,12 @@ closes, and a second ``delivered`` releases a second row.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from datetime import timezone
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,10 @@ STATE_VAR = "events"
 CLOSED_VAR = "closed"
 STATE_COLUMNS = ["event_type", "ts", "body", "order_id", "location"]
 
+# The processors run in Python workers.  Pickle this module's classes and
+# helpers by value, so executors need no copy of the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _py(v):
     if v is None or v is pd.NaT:
