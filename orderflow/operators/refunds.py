@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import parse_ts
 from .delivery import order_rollup, percentiles_from
 from .joins import left_join_nonnull
 from ..session import cut_lineage
