@@ -101,10 +101,3 @@ def order_details(events: DataFrame, order_ids: DataFrame) -> DataFrame:
     keys = broadcast_if_small(order_ids.select("order_id"))
     return (events.join(keys, "order_id", "left_semi")
             .select("body", "event_type", "order_id", "ts", "location"))
-
-
-def delivered_orders(events: DataFrame) -> DataFrame:
-    """Orders that have at least one delivered event."""
-    return (events.groupBy("order_id")
-            .agg(F.max((F.col("event_type") == "delivered").cast("int")).alias("d"))
-            .filter("d = 1").select("order_id"))
