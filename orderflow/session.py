@@ -65,6 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(checkpoints and scratch tables must survive executor loss)")
+        # Local runs and tests only: one machine, so a temporary folder is shared.
         conf_dir = tempfile.mkdtemp(prefix="orderflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")
