@@ -10,7 +10,6 @@ with it.  We only pick a folder of our own when the session has none
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,18 +86,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str | None:
-    """Return a plain file-system path for ``file:`` URIs, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):] if not path.startswith("file://") else path[len("file://"):]
-    if path.startswith("/"):
-        return path
-    return None
-
-
-def ensure_parent(path: str) -> None:
-    lp = local_path(path)
-    if lp:
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
