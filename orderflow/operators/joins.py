@@ -36,17 +36,21 @@ def left_join_nonnull(left: DataFrame, right: DataFrame, left_key: str, right_ke
     """Left join on one key, safe when many left rows have a NULL key.
 
     A NULL key never matches, but in a shuffle join all NULL-key rows hash
-    to the same task.  Each NULL-key row gets a salt (a hash of its
-    content, so a retried task salts the same way) as a second join key;
-    matching rows use salt 0 on both sides.  NULL rows then spread over
-    all tasks and still find no partner.  ``right`` is broadcast only
-    when its estimated size is within ``broadcast_max_bytes`` (then no
-    shuffle happens at all).
+    to the same task.  The join key is a struct (key, salt): matchable rows
+    use salt 0 on both sides, and each NULL-key row gets a salt >= 1 from a
+    hash of its content (a retried task salts the same way).  NULL rows
+    then spread over all tasks and still find no partner.  A struct key is
+    used because a plain second key column holding a constant would be
+    folded away by the optimizer.  ``right`` is broadcast only when its
+    estimated size is within ``broadcast_max_bytes`` (no shuffle at all).
     """
     buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(F.col(left_key).isNull(),
-                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)))
-    l = left.withColumn("_salt", F.coalesce(salt, F.lit(0).cast("bigint")))
-    r = broadcast_if_small(right.withColumn("_rsalt", F.lit(0).cast("bigint")), broadcast_max_bytes)
-    cond = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_rsalt"))
-    return l.join(r, cond, "left").drop("_salt", "_rsalt")
+                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)) + 1
+                  ).otherwise(F.lit(0).cast("bigint"))
+    l = left.withColumn("_jk", F.struct(F.col(left_key).alias("k"), salt.alias("s")))
+    r = (right.filter(F.col(right_key).isNotNull())
+         .withColumn("_rjk", F.struct(F.col(right_key).cast(left.schema[left_key].dataType).alias("k"),
+                                      F.lit(0).cast("bigint").alias("s"))))
+    j = l.join(broadcast_if_small(r, broadcast_max_bytes), F.col("_jk") == F.col("_rjk"), "left")
+    return j.drop("_jk", "_rjk")
