@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, name):
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["schema_ok"], res
     assert res["hash_ok"], res
+    assert "type_diff" not in res, res
 
 
 def test_entry_smoke(spark):
