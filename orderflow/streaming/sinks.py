@@ -37,14 +37,17 @@ def run_append(df: DataFrame, path: str | None, checkpoint: str,
 
 
 def run_aggregate(df: DataFrame, path: str, checkpoint: str,
-                  partition_by: list[str] | None = None) -> StreamingQuery:
+                  partition_by: list[str] | None = None, keep_versions: int = 2) -> StreamingQuery:
     """Keep a streaming aggregate as a table in complete mode.
 
     File sinks reject complete mode, so each micro-batch writes the full
     result to its own version folder ``v<batch>`` and then records the
     version in ``_commits``.  A retried batch rewrites the same folder
     (idempotent); readers take the newest committed version and never
-    see a half-written table.
+    see a half-written table.  Versions older than the newest
+    ``keep_versions`` are deleted after each commit, so storage holds a
+    bounded number of copies (a reader still on the previous version is
+    not cut off when ``keep_versions >= 2``).
     """
     def write_version(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/v{batch_id:012d}"
@@ -55,12 +58,31 @@ def run_aggregate(df: DataFrame, path: str, checkpoint: str,
         (batch.sparkSession.range(1)
          .select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(target).alias("path"))
          .write.mode("overwrite").json(f"{path}/_commits/b{batch_id:012d}"))
+        if keep_versions and batch_id >= keep_versions:
+            _delete_older(batch.sparkSession, path, batch_id - keep_versions + 1)
 
     q = (df.writeStream.outputMode("complete").foreachBatch(write_version)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q)
 
 
+def _delete_older(spark: SparkSession, path: str, first_kept: int) -> None:
+    """Delete version folders and commit markers below ``first_kept``
+    (Hadoop FileSystem API, so it works on any shared store)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    for sub, prefix in (("", "v"), ("/_commits", "b")):
+        folder = jvm.org.apache.hadoop.fs.Path(path + sub)
+        if not fs.exists(folder):
+            continue
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith(prefix) and name[1:].isdigit() and int(name[1:]) < first_kept:
+                fs.delete(st.getPath(), True)
+
+
 def read_aggregate(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version written by ``run_aggregate``."""
     latest = (spark.read.schema("batch_id bigint, path string").json(f"{path}/_commits/*")
