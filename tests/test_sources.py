@@ -41,3 +41,25 @@ def test_cut_lineage_uses_shared_checkpoint_folder(spark):
     assert cut.count() == 10
     assert "ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
     assert checkpoint_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_checkpoint_root_requires_shared_folder_on_a_cluster():
+    import pytest
+    from orderflow.session import checkpoint_root
+
+    class SC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = SC()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
