@@ -29,3 +29,36 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     from . import quality
     return quality.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_benchmark_prefix_join")
+def q_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    from . import decontam
+    return decontam.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op9_benchmark_prefix_join"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS k, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS win
+  FROM (SELECT item, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM i WHERE len(ws) > 0)),
+lens AS (SELECT DISTINCT k FROM iw),
+dw AS (
+  SELECT doc_id, p, k, array_to_string(ws[p:p + k - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM w, lens WHERE len(ws) >= k)),
+hit AS (SELECT doc_id, p, dw.k, item FROM dw JOIN iw ON dw.k = iw.k AND dw.win = iw.win),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+          FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM (SELECT DISTINCT doc_id, p, k FROM hit)) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+          FROM hit GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
