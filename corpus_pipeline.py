@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontam, quality
+from orderflow.llm import decontam, exact_dedup, quality
 from orderflow.llm.common import stored, table
 
 
@@ -18,12 +18,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts stays."""
+    return exact_dedup.keep_one(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", quality_stage), ("decontamination", decontamination_stage)]
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("decontamination", decontamination_stage)]
 
 #: Tokenising and model fitting have no SQL form; tests/llm compares the
 #: pipeline with a brute-force version.

@@ -62,3 +62,40 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_h
        sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query("op6_extendible_hash_dedup")
+def q_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents."""
+    from . import exact_dedup
+    return exact_dedup.op6(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_extendible_hash_dedup"] = """
+WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                           'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents),
+g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY h)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, h AS text_sha256
+FROM n JOIN g USING (h)
+"""
+
+
+@query("op5_permutation_table_sharding")
+def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    from . import sharding
+    return sharding.op5(table(spark, sf_dir, "documents"))
+
+
+def _sharding_sql() -> str:
+    from .sharding import SLOTS, lookup_table, shard_names
+    owners = ",".join(map(str, lookup_table(shard_names())))
+    return f"""
+WITH s AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
+                  % {SLOTS} AS slot FROM documents),
+t AS (SELECT [{owners}] AS owners)
+SELECT doc_id, slot, CAST(owners[slot + 1] AS INTEGER) AS shard FROM s, t
+"""
+
+
+ORACLE["op5_permutation_table_sharding"] = _sharding_sql()
