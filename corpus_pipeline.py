@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontam, exact_dedup, quality
-from orderflow.llm.common import stored, table
+from orderflow.llm import decontam, exact_dedup, packing, quality
+from orderflow.llm.common import bounded_batches, stored, table
+from orderflow.llm.queries import vocabulary
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("decontamination", decontamination_stage)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, placed in sequences of 4096 tokens."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("decontamination", decontamination_stage),
+          ("packing", packing_stage)]
 
 #: Tokenising and model fitting have no SQL form; tests/llm compares the
 #: pipeline with a brute-force version.

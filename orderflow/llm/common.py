@@ -17,6 +17,9 @@ from ..session import checkpoint_root, scratch_path
 #: Remainder classes of crc32(doc_id as text); class 0 is held out.
 HOLD_OUT = 5
 
+#: Rows a Python task handles at once.
+SLICE = 512
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,6 +41,12 @@ def ascii_lower(text: Column) -> Column:
         .otherwise(F.translate(text, UPPER, LOWER))
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Keep Arrow batches small when texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    return spark
+
+
 def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write to a new folder of the shared scratch space and read it back.
 
@@ -70,13 +79,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     out = T.StructType([df.schema[c] for c in kept] + list(new.fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = fn(batch)
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            names = kept + [f for f in cols]
-            yield pa.RecordBatch.from_arrays(arrays + list(cols.values()), names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                cols = fn(batch)
+                arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+                names = kept + [f for f in cols]
+                yield pa.RecordBatch.from_arrays(arrays + list(cols.values()), names=names)
 
     return df.mapInArrow(run, out)
 

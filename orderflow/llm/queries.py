@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from .common import table
+from .common import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +17,7 @@ ORACLE: dict[str, str] = {}
 def query(name: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(bounded_batches(prepare(spark)), sf_dir)
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         return run
@@ -99,3 +99,23 @@ SELECT doc_id, slot, CAST(owners[slot + 1] AS INTEGER) AS shard FROM s, t
 
 
 ORACLE["op5_permutation_table_sharding"] = _sharding_sql()
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@query("op4_token_id_orc")
+def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as ORC and read back."""
+    from . import token_files
+    return token_files.op4(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op8_configuration_packing")
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    from . import packing
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
