@@ -119,3 +119,30 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     from . import packing
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op2_warc_archive")
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    from . import warc
+    return warc.op2(table(spark, sf_dir, "pages"))
+
+
+def _base32_of_hex(digits: str) -> str:
+    """SQL for the base32 form of 40 hex digits: five digits make four letters."""
+    letters = []
+    for i in range(8):
+        group = f"CAST('0x' || substr({digits}, {5 * i + 1}, 5) AS INTEGER)"
+        letters += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({group} >> {s}) & 31) + 1, 1)"
+                    for s in (15, 10, 5, 0)]
+    return " || ".join(letters)
+
+
+ORACLE["op2_warc_archive"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT html, max(page_id) AS top FROM p GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_base32_of_hex("hex")} AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM p JOIN g USING (html)
+"""
