@@ -67,12 +67,12 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str | T.StructType,
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, rows: int = SLICE) -> DataFrame:
     """Run ``fn`` on each Arrow batch; it returns name -> Arrow array.
 
     ``keep`` names columns of ``df`` passed through unchanged (``fn`` must
     then return arrays as long as the batch).  ``schema`` describes only
-    the new columns.
+    the new columns, ``rows`` the most rows given to ``fn`` at once.
     """
     new = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     kept = keep or []
@@ -80,8 +80,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
                 cols = fn(batch)
                 arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
                 names = kept + [f for f in cols]

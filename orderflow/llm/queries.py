@@ -146,3 +146,10 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_base32_of_hex("
        CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM p JOIN g USING (html)
 """
+
+
+@query("op1_crf_language")
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by word-level CRF posteriors."""
+    from . import language
+    return language.op1(table(spark, sf_dir, "documents"))
