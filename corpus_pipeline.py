@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontam, exact_dedup, packing, quality
+from orderflow.llm import decontam, exact_dedup, jaccard_join, packing, quality
 from orderflow.llm.common import bounded_batches, stored, table
 from orderflow.llm.queries import vocabulary
 
@@ -24,6 +24,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.keep_one(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
@@ -34,7 +39,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("decontamination", decontamination_stage),
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage),
+          ("decontamination", decontamination_stage),
           ("packing", packing_stage)]
 
 #: Tokenising and model fitting have no SQL form; tests/llm compares the

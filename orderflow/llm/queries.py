@@ -153,3 +153,31 @@ def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by word-level CRF posteriors."""
     from . import language
     return language.op1(table(spark, sf_dir, "documents"))
+
+
+@query("op7_combination_jaccard_join")
+def q_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy classes of all documents."""
+    from . import jaccard_join
+    return jaccard_join.op7(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op7_combination_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + least(len(ws), 3) - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(len(ws), 3) + 2)) AS p FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+df AS (SELECT g, count(*) AS c FROM s GROUP BY g HAVING count(*) > 1),
+e AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM (SELECT x.doc_id, y.doc_id AS other, count(*) AS k FROM s x JOIN df USING (g) JOIN s y USING (g)
+        WHERE x.doc_id <> y.doc_id GROUP BY 1, 2) z
+  JOIN n x ON x.doc_id = z.doc_id JOIN n y ON y.doc_id = z.other
+  WHERE 100 * z.k >= 90 * (x.n + y.n - z.k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+"""
