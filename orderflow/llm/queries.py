@@ -181,3 +181,10 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
 """
+
+
+@query("op3_induced_suffix_dedup")
+def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-byte strings cut from every document."""
+    from . import suffix_dedup
+    return suffix_dedup.op3(table(spark, sf_dir, "documents"))
