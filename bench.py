@@ -24,8 +24,8 @@ from orderflow.session import get_spark  # noqa: E402
 HEADLINE = [
     "silver_order_items",
     "gold_order_header",
-    "gold_brand_sales_day",
-    "gold_location_hourly",
+    "gold_brand_sales_plain",
+    "gold_hourly_plain",
     "delivery_percentiles",
     "refund_decisions",
     "stream_hourly_windowed_append",

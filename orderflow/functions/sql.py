@@ -10,57 +10,42 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..operators.delivery import delivery_percentiles, order_durations
+
 DELIVERY_VIEW = "order_delivery_times_per_location_view"
 
 
 def create_delivery_view(spark: SparkSession, events_table: str,
                          view: str = DELIVERY_VIEW) -> str:
-    """P50/P75/P99 of created -> delivered minutes per location, as a view."""
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY VIEW {view} AS
-WITH order_times AS (
-  SELECT order_id, location,
-         max(CASE WHEN event_type = 'order_created' THEN try_to_timestamp(ts) END) AS created_at,
-         max(CASE WHEN event_type = 'delivered' THEN try_to_timestamp(ts) END) AS delivered_at
-  FROM {events_table}
-  GROUP BY order_id, location
-), durations AS (
-  SELECT order_id, location,
-         (unix_timestamp(delivered_at) - unix_timestamp(created_at)) / 60 AS minutes
-  FROM order_times
-  WHERE created_at IS NOT NULL AND delivered_at IS NOT NULL
-)
-SELECT location,
-       percentile(minutes, 0.50) AS P50,
-       percentile(minutes, 0.75) AS P75,
-       percentile(minutes, 0.99) AS P99
-FROM durations
-GROUP BY location""")
+    """``delivery_percentiles`` of an events table, as a view."""
+    delivery_percentiles(spark.table(events_table)).createOrReplaceTempView(view)
     return view
 
 
 def register_functions(spark: SparkSession, events_table: str,
                        view: str = DELIVERY_VIEW) -> list[str]:
-    """Create the delivery view and the three table functions."""
+    """Create the delivery view and the three table functions.
+
+    ``get_order_delivery_time`` reads a view over ``order_durations``; an
+    unknown id gives one row of NULLs.  For many keys use the set forms
+    ``order_durations`` and ``order_details`` instead.
+    """
     create_delivery_view(spark, events_table, view)
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION get_order_details(oid STRING)
-RETURNS TABLE (body STRING, event_type STRING, order_id STRING, ts STRING, location STRING)
-RETURN SELECT body, event_type, order_id, ts, location
-       FROM {events_table} e WHERE e.order_id = oid""")
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION get_order_delivery_time(oid STRING)
-RETURNS TABLE (order_id STRING, creation_time TIMESTAMP, delivery_time TIMESTAMP,
-               duration_minutes FLOAT)
-RETURN
-  WITH bounds AS (
-    SELECT min(try_to_timestamp(ts)) AS first_ts, max(try_to_timestamp(ts)) AS last_ts
-    FROM {events_table} WHERE order_id = oid)
-  SELECT oid, first_ts, last_ts,
-         CAST(try_divide(unix_timestamp(last_ts) - unix_timestamp(first_ts), 60) AS FLOAT)
-  FROM bounds""")
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION get_location_timings(loc STRING)
-RETURNS TABLE (location STRING, P50 FLOAT, P75 FLOAT, P99 FLOAT)
-RETURN SELECT location, P50, P75, P99 FROM {view} v WHERE v.location = loc""")
-    return ["get_order_details", "get_order_delivery_time", "get_location_timings"]
+    durations = f"{view}_durations"
+    order_durations(spark.table(events_table)).createOrReplaceTempView(durations)
+    functions = {
+        "get_order_details": (
+            "oid STRING", "body STRING, event_type STRING, order_id STRING, ts STRING, location STRING",
+            f"SELECT body, event_type, order_id, ts, location FROM {events_table} e WHERE e.order_id = oid"),
+        "get_order_delivery_time": (
+            "oid STRING", "order_id STRING, creation_time TIMESTAMP, delivery_time TIMESTAMP, "
+                          "duration_minutes FLOAT",
+            "SELECT oid, b.* FROM (SELECT max(creation_time), max(delivery_time), max(duration_minutes) "
+            f"FROM {durations} d WHERE d.order_id = oid) b"),
+        "get_location_timings": (
+            "loc STRING", "location STRING, P50 FLOAT, P75 FLOAT, P99 FLOAT",
+            f"SELECT location, P50, P75, P99 FROM {view} v WHERE v.location = loc"),
+    }
+    for name, (args, columns, body) in functions.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS TABLE ({columns}) RETURN {body}")
+    return list(functions)

@@ -58,15 +58,6 @@ def order_times(events: DataFrame) -> DataFrame:
                  .alias("delivered_time")))
 
 
-def total_order_times(events: DataFrame) -> DataFrame:
-    """Created -> delivered minutes for orders that have both ends."""
-    t = order_times(events)
-    return (t.filter(F.col("order_created_time").isNotNull() & F.col("delivered_time").isNotNull())
-            .select("order_id", "location",
-                    minutes_between("order_created_time", "delivered_time")
-                    .alias("total_order_time_minutes")))
-
-
 def delivery_percentiles(events: DataFrame, approx: bool = False,
                          accuracy: int = 10000) -> DataFrame:
     """P50 / P75 / P99 of created -> delivered minutes per location.

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.time import minutes_between, parse_ts
 from ..schemas import BODY
-from .joins import broadcast_if_small
 
 # Lifecycle stages as (name, from event, to event).
 STAGES = [
@@ -98,43 +97,27 @@ def missing_field_rate(events: DataFrame, thresholds=DQ_THRESHOLDS) -> DataFrame
             .withColumn("exceeded", F.col("rate") > F.col("threshold")))
 
 
-def with_sequence(events: DataFrame, skew_safe: bool = True,
-                  partitions: int | None = None) -> DataFrame:
+def with_sequence(events: DataFrame) -> DataFrame:
     """0-based position of each event within its order, by (ts, event_id).
 
-    ``skew_safe=False`` is one window per order: simple, but one order's
-    events are sorted in one task.  The default never puts an order in
-    one task: rows are range-partitioned on (order_id, ts, event_id), so
-    a hot order spans several partitions; each row gets its position in
-    the sorted partition; a small table of (order, partition) counts
-    gives, per partition, how many events of the order came before.  It
-    is exact and costs one extra shuffle.
+    One window per order: an order is a handful of events, and a window
+    sorts with spill to disk.  Events without an order id are no order:
+    they get no number (and do not meet in one task).  Bad time text
+    sorts last.
     """
-    ts = parse_ts("ts")
-    order = [F.col("order_id").asc_nulls_last(), F.col("_ts").asc_nulls_last(),
-             F.col("event_id").asc_nulls_last()]
-    if not skew_safe:
-        w = Window.partitionBy("order_id").orderBy(*order)
-        return (events.withColumn("_ts", ts)
-                .withColumn("sequence", (F.row_number().over(w) - 1).cast("bigint"))
-                .drop("_ts"))
-    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (events.withColumn("_ts", ts).repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("order_id", "_pid").agg(F.min("_pos").alias("_first"),
-                                                    F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("order_id").orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    # NULL order ids are one order here, as in the window form (null-safe key).
-    off = broadcast_if_small(offsets.drop("_n").withColumnRenamed("order_id", "_oid")
-                             .withColumnRenamed("_pid", "_opid"))
-    j = ranged.join(off, F.col("order_id").eqNullSafe(F.col("_oid"))
-                    & (F.col("_pid") == F.col("_opid")))
-    seq = (F.col("_pos") - F.col("_first") + F.col("_before")).cast("bigint").alias("sequence")
-    cols = [seq if c == "sequence" else F.col(c) for c in events.columns]
-    if "sequence" not in events.columns:
-        cols.append(seq)
-    return j.select(*cols)
+    order = [parse_ts("ts").asc_nulls_last(), F.col("event_id").asc_nulls_last()]
+    w = Window.partitionBy("order_id").orderBy(*order)
+    number = (F.row_number().over(w) - 1).cast("bigint")
+    numbered = events.filter(F.col("order_id").isNotNull()).withColumn("sequence", number)
+    rest = events.filter(F.col("order_id").isNull()).withColumn(
+        "sequence", F.lit(None).cast("bigint"))
+    return numbered.unionByName(rest)
+
+
+def time_audit(events: DataFrame) -> DataFrame:
+    """Per event type: rows, rows whose time text does not parse (they
+    carry no hour and reach no hourly table) and rows without order id."""
+    return events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(parse_ts("ts").isNull(), 1)).alias("no_time"),
+        F.count(F.when(F.col("order_id").isNull(), 1)).alias("no_order"))

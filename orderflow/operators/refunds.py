@@ -38,11 +38,6 @@ def durations_from(rollup: DataFrame) -> DataFrame:
                     F.try_divide(secs, F.lit(60)).cast("float").alias("duration_minutes")))
 
 
-def delivered_durations(events: DataFrame) -> DataFrame:
-    """First -> last event minutes (FLOAT) of orders that were delivered."""
-    return durations_from(order_rollup(events)).drop("order_revenue")
-
-
 def refund_decisions(events: DataFrame, header: DataFrame | None = None,
                      percentiles: DataFrame | None = None,
                      partial: float = 0.5, full: float = 1.0,
@@ -71,8 +66,10 @@ def decide(rollup: DataFrame, percentiles: DataFrame, header: DataFrame | None =
     """Decisions from a per-order rollup (``order_rollup``) and percentiles."""
     d = durations_from(rollup).join(percentiles.select("location", "P75", "P99"), "location", "left")
     if header is not None:
-        rev = header.groupBy("order_id").agg(F.sum("order_revenue").alias("_rev"))
-        d = d.join(rev, "order_id", "left").withColumn("order_revenue", F.col("_rev")).drop("_rev")
+        # Same grain as the rollup: an order seen at two locations is paid once each.
+        rev = header.groupBy("order_id", "location").agg(F.sum("order_revenue").alias("_rev"))
+        d = (d.join(rev, ["order_id", "location"], "left")
+             .withColumn("order_revenue", F.col("_rev")).drop("_rev"))
     dur = F.col("duration_minutes").cast("double")
     cls = (F.when(F.col("P99").isNotNull() & (dur >= F.col("P99")), "full")
            .when(F.col("P75").isNotNull() & (dur >= F.col("P75")), "partial")

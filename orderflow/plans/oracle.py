@@ -188,14 +188,15 @@ ORACLE["order_durations"] = with_(EVENTS_B) + DURATIONS_B
 ORACLE["order_delivery_time_fn"] = with_(EVENTS_B) + DURATIONS_B + """
 UNION ALL SELECT 'no-such-order', NULL, NULL, NULL"""
 
-ORACLE["order_details_fn"] = with_(EVENTS_B) + f"""
-SELECT order_id, event_type, strftime(ts, {TS}) AS ts, location,
-       CASE WHEN event_type = 'order_created'
-            THEN to_json({{'items': [{{'id': k, 'category_id': ((k % 10 + 1) * 10 + k % 3) * 10 + k % 7,
+BODY_B = """CASE WHEN event_type = 'order_created'
+            THEN to_json({'items': [{'id': k, 'category_id': ((k % 10 + 1) * 10 + k % 3) * 10 + k % 7,
                                        'menu_id': (k % 10 + 1) * 10 + k % 3, 'brand_id': k % 10 + 1,
                                        'name': 'item' || CAST(k AS VARCHAR), 'price': value,
-                                       'qty': 1}}]}})::VARCHAR
-            ELSE props END AS body
+                                       'qty': 1}]})::VARCHAR
+            ELSE props END"""
+
+ORACLE["order_details_fn"] = with_(EVENTS_B) + f"""
+SELECT order_id, event_type, strftime(ts, {TS}) AS ts, location, {BODY_B} AS body
 FROM ev"""
 
 # ---- dimensions ---------------------------------------------------------------
@@ -374,7 +375,8 @@ SELECT event_type, field, count(*) AS events, CAST(sum(CAST(missing AS INTEGER))
 FROM m GROUP BY event_type, field, threshold"""
 
 ORACLE["event_sequence"] = with_(EVENTS_B) + """
-SELECT order_id, event_id,
+SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, location AS gk_id, location, order_id,
+       """ + BODY_B + """ AS body,
        row_number() OVER (PARTITION BY order_id ORDER BY ts, event_id) - 1 AS sequence
 FROM ev"""
 
@@ -412,6 +414,8 @@ HAVING date_trunc('hour', order_ts) + INTERVAL 1 HOUR
 
 ORDER_SUMMARY = f"""
 SELECT order_id, min(location) AS location, count(*) AS n_events,
+       md5(string_agg(event_type || '|' || strftime(ts, {TS}) || '|' || {BODY_B}, chr(10)
+                      ORDER BY ts, event_type, {BODY_B})) AS events_md5,
        strftime(min(ts), {TS}) AS first_ts, strftime(max(ts), {TS}) AS last_ts
 FROM ev GROUP BY order_id"""
 
@@ -422,3 +426,79 @@ ORACLE["completed_orders_batch"] = ORACLE["completed_orders"]
 
 ORACLE["orders_in_progress"] = with_(EVENTS_B) + ORDER_SUMMARY + """
 HAVING max(CASE WHEN event_type = 'delivered' THEN 1 ELSE 0 END) = 0"""
+
+ORACLE["completed_orders_table"] = ORACLE["completed_orders"]
+
+# ---- catalog tables, bulk loads, day filters --------------------------------
+
+ORACLE["event_time_audit"] = with_(EVENTS_B) + """
+SELECT event_type, count(*) AS rows, count(*) FILTER (WHERE location = 'loc1') AS no_time,
+       count(*) FILTER (WHERE location = 'loc2') AS no_order
+FROM ev GROUP BY event_type"""
+
+ORACLE["stream_item_sales_table"] = with_(EVENTS_B, SILVER_B) + """
+SELECT item_id, menu_id, category_id, brand_id, strftime(order_day, '%Y-%m-%d') AS day,
+       CAST(sum(qty) AS BIGINT) AS units_sold, round(sum(extended_price), 2) AS gross_revenue
+FROM silver GROUP BY item_id, menu_id, category_id, brand_id, order_day"""
+
+ORACLE["stream_hourly_table"] = ORACLE["dash_hourly"]
+ORACLE["events_gzip_bulk"] = ORACLE["stream_silver_eq_batch"]
+
+ORACLE["dims_files"] = with_(DIMS_A) + """
+SELECT 'brand' AS "table", id, name FROM brand UNION ALL SELECT 'menu', id, name FROM menu
+UNION ALL SELECT 'category', id, name FROM category UNION ALL SELECT 'item', id, name FROM item"""
+
+ORACLE["parsed_bodies"] = with_(EVENTS_B) + """
+SELECT event_id, CASE WHEN event_type = 'order_created' THEN CAST(1 AS BIGINT) END AS n_items,
+       CASE WHEN event_type = 'order_created' THEN k END AS item_id,
+       CASE WHEN event_type = 'order_created' THEN 'item' || CAST(k AS VARCHAR) END AS item_name,
+       CAST(NULL AS DOUBLE) AS b_eta_mins
+FROM ev"""
+
+ORACLE["order_details_set"] = ORACLE["order_details_fn"] + """
+WHERE order_id IN (SELECT order_id FROM ev WHERE event_type = 'delivered')"""
+
+ORACLE["dash_gross_revenue_day"] = ORACLE["dash_gross_revenue"] + " WHERE order_day = DATE '1996-03-05'"
+ORACLE["dash_orders_day"] = ORACLE["dash_orders"] + " WHERE order_day = DATE '1996-03-05'"
+ORACLE["dash_hourly_since"] = ORACLE["dash_hourly"].replace(
+    "FROM silver GROUP", "FROM silver WHERE order_ts >= TIMESTAMP '2024-01-20' GROUP")
+
+ORACLE["gold_brand_sales_plain"] = ORACLE["gold_brand_sales_day"].replace("orders_ok", "has_orders")
+ORACLE["gold_hourly_plain"] = ORACLE["gold_location_hourly"].replace("orders_ok", "has_orders")
+
+# ---- checks that meet violations ----------------------------------------------
+
+ORACLE["dims_integrity_planted"] = ORACLE["dims_integrity"].replace("item AS (", "item0 AS (").replace(
+    "FROM pc)\nSELECT 'brand'", """FROM pc),
+item1 AS (SELECT id, CASE WHEN id % 50 <> 5 THEN name END AS name, price, menu_id, category_id,
+                 CASE WHEN id % 50 = 3 THEN -1 ELSE brand_id END AS brand_id FROM item0),
+item AS (SELECT * FROM item1 UNION ALL SELECT * FROM item1 WHERE id % 50 = 1)
+SELECT 'brand'""")
+
+ORACLE["refund_json_planted"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """
+SELECT order_id, length(order_id) % 2 = 0 AS valid FROM decisions"""
+
+ORACLE["refund_policy_planted"] = ORACLE["refund_policy_rate"].replace(
+    "FROM decisions GROUP", "FROM (SELECT * REPLACE (refund_usd + length(order_id) % 2 AS refund_usd) "
+    "FROM decisions) GROUP")
+
+ORACLE["refund_requests_planted"] = with_(EVENTS_B, ORDER_TIMES_B, PCT_B, DECISIONS_B) + """,
+r AS (SELECT order_id, md5('request:' || order_id) AS request_id FROM (SELECT DISTINCT order_id FROM ev)),
+q AS (SELECT *, CASE WHEN substr(request_id, 1, 1) < '4' THEN NULL
+                     WHEN substr(request_id, 1, 1) < '8' THEN md5(request_id)
+                     ELSE md5(order_id) END AS order_hash FROM r)
+SELECT request_id, order_hash, x.order_id,
+       CASE WHEN order_hash IS NULL THEN 'no_order_id' ELSE coalesce(x.refund_class, 'no_decision') END AS route,
+       x.refund_usd
+FROM q LEFT JOIN decisions x ON md5(x.order_id) = order_hash"""
+
+# Two locations per order: the event log with its location replaced, and
+# revenue per (order, location).
+ORACLE["refund_two_locations"] = with_(
+    EVENTS_B.replace("ev AS (", "ev0 AS ("),
+    """ev AS (SELECT * REPLACE (CASE WHEN event_id < '8' THEN location ELSE 'loc9' END AS location) FROM ev0)""",
+    ORDER_TIMES_B, PCT_B,
+    DECISIONS_B.replace("rev AS (SELECT order_id,", "rev AS (SELECT order_id, location,")
+    .replace("'order_created' GROUP BY order_id)", "'order_created' GROUP BY order_id, location)")
+    .replace("ON rev.order_id = dur.order_id", "ON rev.order_id = dur.order_id AND rev.location = dur.location")) + """
+SELECT location, count(*) AS orders, round(sum(refund_usd), 2) AS refunds FROM decisions GROUP BY location"""

@@ -20,7 +20,8 @@ from ..operators import delivery, dims, gold, quality, refunds, silver
 from . import dashboards
 from ..session import cut_lineage, prepare, scratch_path
 from ..sources import fixtures
-from ..sources.events import read_events_stream, write_events
+from ..sources.events import read_events, read_events_stream, write_events
+from ..sources.tables import load_once
 from ..streaming import layers, stateful
 from ..streaming.sinks import read_aggregate, run_append
 
@@ -365,8 +366,18 @@ def q_missing_items_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("event_sequence")
 def q_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = quality.with_sequence(fixtures.lifecycle_events(spark, sf_dir))
-    return s.select("order_id", "event_id", "sequence")
+    """All columns of every event, with its position in the order."""
+    return quality.with_sequence(fixtures.lifecycle_events(spark, sf_dir))
+
+
+@query("event_time_audit")
+def q_event_time_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that no hourly table can hold, on a log in which one location
+    writes broken times and one has lost its order ids."""
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    ev = (ev.withColumn("ts", F.when(F.col("location") == "loc1", F.lit("not a time")).otherwise(F.col("ts")))
+          .withColumn("order_id", F.when(F.col("location") != "loc2", F.col("order_id"))))
+    return quality.time_audit(ev)
 
 
 # ---- step 6: streaming tables ------------------------------------------------
@@ -437,8 +448,11 @@ def q_stream_hourly_windowed_append(spark: SparkSession, sf_dir: str) -> DataFra
 # ---- step 7: stateful orders ---------------------------------------------------
 
 def order_summary(df: DataFrame) -> DataFrame:
+    """Counts, times and a hash of the ordered (type, time, body) lines."""
     ts = F.transform("events", lambda e: e["ts"])
+    lines = F.transform("events", lambda e: F.concat_ws("|", e["event_type"], ts_text(e["ts"]), e["body"]))
     return df.select("order_id", "location", F.size("events").cast("bigint").alias("n_events"),
+                     F.md5(F.array_join(lines, "\n")).alias("events_md5"),
                      ts_text(F.array_min(ts)).alias("first_ts"),
                      ts_text(F.array_max(ts)).alias("last_ts"))
 
@@ -467,3 +481,177 @@ def q_orders_in_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("completed_orders_batch")
 def q_completed_orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_summary(stateful.completed_orders_batch(fixtures.lifecycle_events(spark, sf_dir)))
+
+
+@query("completed_orders_table")
+def q_completed_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collector fed by a stream of the bronze catalog table."""
+    landing, root = land_b(spark, sf_dir, "stateful-table")
+    layout = catalog_layout(root)
+    layers.run_bronze(spark, landing, layout)
+    out = f"{root}/completed_orders"
+    run_append(stateful.completed_orders(layers.bronze_stream(spark, layout)), out,
+               f"{root}/_checkpoints/completed_orders")
+    return order_summary(spark.read.parquet(out))
+
+
+# ---- catalog tables, bulk loads, day filters ------------------------------------
+
+def catalog_layout(root: str) -> layers.Layout:
+    return layers.Layout(root, "orderflow_" + root.rsplit("-", 1)[-1])
+
+
+@query("stream_item_sales_table")
+def q_stream_item_sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item/day table kept by the stream, read by its catalog name."""
+    landing, root = land_b(spark, sf_dir, "stream-items")
+    layout = layers.run_layers(spark, landing, root, tables=["item_sales_day"], windowed=False,
+                               database=catalog_layout(root).database)
+    t = spark.table(layout.table_name("item_sales_day"))
+    return t.select("item_id", "menu_id", "category_id", "brand_id",
+                    day_text(F.col("day").cast("date")).alias("day"), "units_sold",
+                    money("gross_revenue").alias("gross_revenue"))
+
+
+@query("stream_hourly_table")
+def q_stream_hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly location table kept by the stream, read by its catalog name."""
+    landing, root = land_b(spark, sf_dir, "stream-hourly")
+    layout = layers.run_layers(spark, landing, root, tables=["location_sales_hourly"], windowed=False,
+                               database=catalog_layout(root).database)
+    t = spark.table(layout.table_name("location_sales_hourly"))
+    return t.select("location", ts_text("hour_ts").alias("hour_ts"), money("revenue").alias("revenue"))
+
+
+@query("events_gzip_bulk")
+def q_events_gzip_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk read of gzip event files, loaded once as a table, then silver
+    with strict time parsing.  A second load leaves the table alone."""
+    root = scratch_path(spark, "gzip-bulk")
+    write_events(fixtures.lifecycle_events(spark, sf_dir), f"{root}/gz", compression="gzip")
+    bulk = read_events(spark, f"{root}/gz", partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = "all_events_" + root.rsplit("-", 1)[-1]
+    load_once(spark, bulk, name, path=f"{root}/table")
+    load_once(spark, bulk.limit(0), name, path=f"{root}/table")
+    return silver_view(silver.order_items(spark.table(name), strict=True))
+
+
+@query("dims_files")
+def q_dims_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions written as the four files, read back, with their values."""
+    root = scratch_path(spark, "dim-files")
+    for name, df in fixtures.dims_from_part(spark, sf_dir).items():
+        dims.conform(name, df).write.parquet(f"{root}/{dims.DIM_FILES[name]}.parquet")
+    parts = [df.select(F.lit(n).alias("table"), "id", "name") for n, df in dims.read_dims(spark, root).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("parsed_bodies")
+def q_parsed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed body fields of every event."""
+    p = silver.parse_bodies(fixtures.lifecycle_events(spark, sf_dir))
+    return p.select("event_id", F.when(F.col("b_items").isNotNull(), F.size("b_items")).cast("bigint").alias("n_items"),
+                    F.get("b_items", F.lit(0))["id"].alias("item_id"),
+                    F.get("b_items", F.lit(0))["name"].alias("item_name"), "b_eta_mins")
+
+
+@query("order_details_set")
+def q_order_details_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of the delivered orders (set form of get_order_details)."""
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    wanted = ev.filter(F.col("event_type") == "delivered").select("order_id")
+    return delivery.order_details(ev, wanted)
+
+
+DAY_A, DAY_B = "1996-03-05", "2024-01-20"
+
+
+@query("dash_gross_revenue_day")
+def q_dash_gross_revenue_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = dashboards.gross_revenue(brand_sales_a(spark, sf_dir), DAY_A)
+    return d.select(money("value").alias("value"), "label")
+
+
+@query("dash_orders_day")
+def q_dash_orders_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.order_count(header_a(spark, sf_dir), DAY_A)
+
+
+@query("dash_hourly_since")
+def q_dash_hourly_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = dashboards.hourly_trend(gold.location_sales_hourly(silver_b(spark, sf_dir), watermark=None), DAY_B)
+    return t.select(ts_text("hour_ts").alias("hour_ts"), "location", money("revenue").alias("revenue"))
+
+
+@query("gold_brand_sales_plain")
+def q_gold_brand_sales_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand/day table as it runs in production: one exchange, no audit."""
+    t = gold.brand_sales_day(silver_a(spark, sf_dir), watermark=None)
+    return t.select("brand_id", day_text("day").alias("day"), "items_sold",
+                    money("brand_revenue").alias("brand_revenue"), (F.col("orders") > 0).alias("has_orders"))
+
+
+@query("gold_hourly_plain")
+def q_gold_hourly_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = gold.location_sales_hourly(silver_b(spark, sf_dir), watermark=None)
+    return t.select("location", ts_text("hour_ts").alias("hour_ts"), money("revenue").alias("revenue"),
+                    (F.col("orders") > 0).alias("has_orders"))
+
+
+# ---- checks that meet violations --------------------------------------------------
+
+@query("dims_integrity_planted")
+def q_dims_integrity_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared constraints over items with repeated keys, orphans and gaps."""
+    d = fixtures.dims_from_part(spark, sf_dir)
+    k = F.col("id") % 50
+    item = (d["item"].withColumn("brand_id", F.when(k == 3, F.lit(-1).cast("bigint")).otherwise(F.col("brand_id")))
+            .withColumn("name", F.when(k != 5, F.col("name"))))
+    d["item"] = item.unionByName(item.filter(k == 1))
+    return dims.check_integrity({n: cut_lineage(x) for n, x in d.items()})
+
+
+def _odd():
+    """Orders chosen for a planted fault."""
+    return F.length("order_id") % 2 == 1
+
+
+@query("refund_json_planted")
+def q_refund_json_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision lines, some cut off: those must be flagged."""
+    line = refunds.to_json_line(decisions_b(spark, sf_dir)).withColumn(
+        "decision_json", F.when(_odd(), F.substring("decision_json", 1, 9)).otherwise(F.col("decision_json")))
+    return refunds.valid_json(line).select("order_id", "valid")
+
+
+@query("refund_policy_planted")
+def q_refund_policy_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy check where some orders are paid without a reason."""
+    rollup = cut_lineage(delivery.order_rollup(fixtures.lifecycle_events(spark, sf_dir)))
+    pct = delivery.percentiles_from(rollup)
+    paid = refunds.decide(rollup, pct).withColumn(
+        "refund_usd", F.when(_odd(), F.col("refund_usd") + 1).otherwise(F.col("refund_usd")))
+    r = refunds.policy_rate(refunds.policy_check(paid, pct), ["location"])
+    return r.select("location", "decisions", "passed", money("pass_rate", 4).alias("pass_rate"))
+
+
+@query("refund_requests_planted")
+def q_refund_requests_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests without an id or with the id of an unknown order."""
+    req = fixtures.refund_requests(spark, sf_dir)
+    req = req.withColumn("content", F.when(F.substring("request_id", 1, 1) < "4", "Where is my food?").when(
+        F.substring("request_id", 1, 1) < "8", F.concat(F.lit("refund "), F.md5("request_id"))).otherwise(F.col("content")))
+    m = refunds.match_requests(req, decisions_b(spark, sf_dir))
+    return m.select("request_id", "order_hash", "order_id", "route", "refund_usd")
+
+
+@query("refund_two_locations")
+def q_refund_two_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue from the order header, for orders whose events come from two
+    locations: each (order, location) is paid from its own revenue."""
+    ev = fixtures.lifecycle_events(spark, sf_dir).withColumn(
+        "location", F.when(F.col("event_id") < "8", F.col("location")).otherwise(F.lit("loc9")))
+    header = gold.order_header(silver.order_items(ev))
+    d = refunds.refund_decisions(ev, header=header)
+    return d.groupBy("location").agg(F.count(F.lit(1)).alias("orders"),
+                                     money(F.sum("refund_usd")).alias("refunds"))

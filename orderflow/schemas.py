@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-# Event envelope: one JSON object per event.  ``ts`` stays text here
+# Event envelope, one JSON object per event.  ``ts`` stays text here
 # (``yyyy-MM-dd HH:mm:ss.SSSSSS``, UTC) and is parsed by the operators.
 EVENT = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -15,6 +15,7 @@ EVENT = T.StructType([
     T.StructField("body", T.StringType()),
 ])
 
+# An ordered item.
 ITEM = T.StructType([
     T.StructField("id", T.IntegerType()),
     T.StructField("category_id", T.IntegerType()),
@@ -25,7 +26,7 @@ ITEM = T.StructType([
     T.StructField("qty", T.IntegerType()),
 ])
 
-# Body of ``order_created``.
+# Body of ``order_created``.
 CREATED_BODY = T.StructType([
     T.StructField("customer_lat", T.DoubleType()),
     T.StructField("customer_lon", T.DoubleType()),
@@ -50,10 +51,10 @@ EVENT_TYPES = [
     "driver_picked_up", "driver_ping", "delivered",
 ]
 
-# Row kept in the stateful collector's list state.
+# Row kept in the stateful collector's list state; ts in epoch microseconds.
 STATE_EVENT = T.StructType([
     T.StructField("event_type", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
+    T.StructField("ts", T.LongType()),
     T.StructField("body", T.StringType()),
     T.StructField("order_id", T.StringType()),
     T.StructField("location", T.StringType()),
@@ -71,7 +72,18 @@ COMPLETED = T.StructType([
     T.StructField("events", T.ArrayType(OUT_EVENT)),
 ])
 
-# Dimension tables, as declared (ids BIGINT).
+# What the collector hands out: as COMPLETED, with epoch microseconds.
+COMPLETED_STATE = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("location", T.StringType()),
+    T.StructField("events", T.ArrayType(T.StructType([
+        T.StructField("event_type", T.StringType()),
+        T.StructField("ts", T.LongType()),
+        T.StructField("body", T.StringType()),
+    ]))),
+])
+
+# Dimension tables, as declared (ids BIGINT).
 DIM_SCHEMAS = {
     "brand": T.StructType([
         T.StructField("id", T.LongType(), False),

@@ -10,6 +10,7 @@ with it.  We only pick a folder of our own when the session has none
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -64,7 +65,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
                                "(checkpoints and scratch tables must survive executor loss)")
         # Local runs and tests only: one machine, so a temporary folder is shared.

@@ -19,8 +19,3 @@ def load_once(spark: SparkSession, df: DataFrame, table: str,
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     return True
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Batch scan of a catalog table or view."""
-    return spark.table(name)

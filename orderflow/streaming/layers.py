@@ -10,18 +10,27 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gold, silver
 from ..schemas import EVENT
 from ..sources.events import read_events_stream
-from .sinks import run_aggregate, run_append
+from .sinks import latest_version, run_aggregate, run_append
 
 # Gold tables kept in complete mode (the faithful form).
+# Partition column of each, so that a day filter reads that day only.
+PARTITIONS = {"order_header": "order_day", "item_sales_day": "day", "brand_sales_day": "day",
+              "location_sales_hourly": "day", "location_sales_windowed": "day"}
+
+# Silver files a micro-batch writes per day, at most.
+FILES_PER_DAY = 4
+
 COMPLETE_TABLES = {
     "order_header": lambda s: gold.order_header(s),
     "item_sales_day": lambda s: gold.item_sales_day(s),
     "brand_sales_day": lambda s: gold.brand_sales_day(s),
-    "location_sales_hourly": lambda s: gold.location_sales_hourly(s),
+    "location_sales_hourly": lambda s: gold.location_sales_hourly(s).withColumn(
+        "day", F.to_date("hour_ts")),
 }
 
 
@@ -81,8 +90,10 @@ def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def run_silver(spark: SparkSession, layout: Layout, strict: bool = False) -> str:
     """Bronze stream -> item rows, partitioned by order_day (append)."""
-    layout.append(spark, silver.order_items(bronze_stream(spark, layout), strict), "silver",
-                  partition_by=["order_day"])
+    items = silver.order_items(bronze_stream(spark, layout), strict)
+    # A backfill of many days would else write tasks x days small files.
+    items = items.repartition("order_day", F.pmod(F.xxhash64("order_id"), F.lit(FILES_PER_DAY)))
+    layout.append(spark, items, "silver", partition_by=["order_day"])
     return layout.table("silver")
 
 
@@ -100,11 +111,15 @@ def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool =
     out = {}
     for name in (COMPLETE_TABLES if tables is None else tables):
         run_aggregate(COMPLETE_TABLES[name](silver_stream(spark, layout)), layout.table(name),
-                      layout.checkpoint(name))
+                      layout.checkpoint(name), [PARTITIONS[name]])
+        if layout.database:  # readable by name: the newest version
+            version = latest_version(spark, layout.table(name))
+            spark.sql(f"CREATE OR REPLACE VIEW {layout.table_name(name)} AS SELECT * FROM parquet.`{version}`")
         out[name] = layout.table(name)
     if windowed:
-        layout.append(spark, gold.location_sales_windowed(silver_stream(spark, layout)),
-                      "location_sales_windowed")
+        hourly = gold.location_sales_windowed(silver_stream(spark, layout)).withColumn(
+            "day", F.to_date("hour_ts"))
+        layout.append(spark, hourly, "location_sales_windowed", [PARTITIONS["location_sales_windowed"]])
         out["location_sales_windowed"] = layout.table("location_sales_windowed")
     return out
 

@@ -85,8 +85,13 @@ def _delete_older(spark: SparkSession, path: str, first_kept: int) -> None:
 
 def read_aggregate(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version written by ``run_aggregate``."""
+    return spark.read.parquet(latest_version(spark, path))
+
+
+def latest_version(spark: SparkSession, path: str) -> str:
+    """Folder of the newest committed version."""
     latest = (spark.read.schema("batch_id bigint, path string").json(f"{path}/_commits/*")
               .orderBy(F.desc("batch_id")).select("path").first())
     if latest is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.parquet(latest["path"])
+    return latest["path"]

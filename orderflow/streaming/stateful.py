@@ -2,7 +2,7 @@
 
 Keyed by order_id, each order's events are kept in a list state.  When a
 ``delivered`` event arrives the order is released as one row with all
-its events (sorted by time) and its state is cleared.  Orders still in
+its events (by time, type and body) and its state is cleared.  Orders still in
 state are the orders in progress; they are read back from the
 checkpoint with the state data source.
 
@@ -14,9 +14,9 @@ closes, and a second ``delivered`` releases a second row.
 
 from __future__ import annotations
 
+import numbers
 import sys
 from collections.abc import Iterator
-from datetime import timezone
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import parse_ts
-from ..schemas import COMPLETED, STATE_EVENT
+from ..schemas import COMPLETED_STATE, STATE_EVENT
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_VAR = "events"
@@ -40,21 +40,21 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def _py(v):
     if v is None or v is pd.NaT:
         return None
-    if isinstance(v, float) and v != v:
-        return None
-    return v.to_pydatetime() if isinstance(v, pd.Timestamp) else v
+    if isinstance(v, float):  # a time column with gaps
+        return None if v != v else int(v)
+    return int(v) if isinstance(v, numbers.Integral) else v
 
 
-def _release(key, prior: list, new: list) -> tuple[str, str, list]:
-    """All events of a delivered order, sorted by time (NULL times last)."""
-    stored = sorted(prior + new, key=lambda e: (e[1] is None, _instant(e[1])))
-    return key[0], stored[0][4], stored
+def _event_order(e: tuple) -> tuple:
+    """Time (none last), then event type, body and location (none first)."""
+    return (e[1] is None, e[1] or 0, *((x is not None, x or "") for x in (e[0], e[2], e[4])))
 
 
-def _instant(ts) -> float:
-    # Values from state may be zone-aware and new rows naive (PySpark's
-    # local-time convention); compare them as UTC instants.
-    return 0.0 if ts is None else ts.astimezone(timezone.utc).timestamp()
+def _release(key, prior: list, new: list) -> tuple[str, str, list]:
+    """All events of a delivered order in event order; the location is
+    that of the first."""
+    stored = sorted(prior + new, key=_event_order)
+    return key[0], stored[0][4], stored
 
 
 class OrderEventCollector(StatefulProcessor):
@@ -140,9 +140,23 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def state_input(events: DataFrame, strict: bool = True) -> DataFrame:
-    """Project the envelope to the state row; ts cast strictly by default."""
+    """Project the envelope to the state row; ts cast strictly by default.
+
+    State and the processors hold time as epoch microseconds, which no
+    time zone of a worker or a session can shift.  Events without an
+    order id belong to no order and stay out (``quality.time_audit``
+    counts them).
+    """
     ts = F.col("ts").cast("timestamp") if strict else parse_ts("ts")
-    return events.select("event_type", ts.alias("ts"), "body", "order_id", "location")
+    return events.filter(F.col("order_id").isNotNull()).select(
+        "event_type", F.unix_micros(ts).alias("ts"), "body", "order_id", "location")
+
+
+def _with_times(df: DataFrame) -> DataFrame:
+    """Event times from epoch microseconds to TIMESTAMP."""
+    return df.withColumn("events", F.transform("events", lambda e: F.struct(
+        e["event_type"].alias("event_type"), F.timestamp_micros(e["ts"]).alias("ts"),
+        e["body"].alias("body"))))
 
 
 def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool = False,
@@ -157,29 +171,30 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
     use_rocksdb(events_stream.sparkSession)
     grouped = state_input(events_stream, strict).groupBy("order_id")
     if pandas:
-        return grouped.transformWithStateInPandas(
-            statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED,
-            outputMode="Append", timeMode="None")
-    return grouped.transformWithState(
+        return _with_times(grouped.transformWithStateInPandas(
+            statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED_STATE,
+            outputMode="Append", timeMode="None"))
+    return _with_times(grouped.transformWithState(
         statefulProcessor=OrderEventCollector(remember_delivered),
-        outputStructType=COMPLETED, outputMode="Append", timeMode="None")
+        outputStructType=COMPLETED_STATE, outputMode="Append", timeMode="None"))
 
 
-def _sorted_events(df: DataFrame) -> DataFrame:
-    return df.withColumn("events", F.transform(
-        F.sort_array("evs"), lambda e: F.struct(e["event_type"].alias("event_type"),
-                                                e["ts"].alias("ts"), e["body"].alias("body"))))
+def _ordered(event_type, ts, body, location):
+    """An order's events as one array in the collector's event order."""
+    return F.sort_array(F.collect_list(F.struct(
+        ts.isNull().alias("no_time"), ts.alias("ts"), event_type.alias("event_type"),
+        body.alias("body"), location.alias("location"))))
 
 
 def completed_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
     """Batch equal of ``completed_orders`` when all input is one batch:
-    orders with a delivered event, with their events sorted by time."""
+    orders with a delivered event, with their events in event order.
+    Only events of delivered orders are gathered."""
     s = state_input(events, strict)
-    g = (s.groupBy("order_id")
-         .agg(F.max((F.col("event_type") == "delivered").cast("int")).alias("delivered"),
-              F.collect_list(F.struct("ts", "event_type", "body", "location")).alias("evs")))
-    out = _sorted_events(g.filter("delivered = 1"))
-    return out.select("order_id", F.col("evs")[0]["location"].alias("location"), "events")
+    delivered = s.filter(F.col("event_type") == "delivered").select("order_id").distinct()
+    g = s.join(delivered, "order_id", "left_semi").groupBy("order_id").agg(
+        _ordered(F.col("event_type"), F.col("ts"), F.col("body"), F.col("location")).alias("events"))
+    return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))
 
 
 def orders_in_progress(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -191,8 +206,5 @@ def orders_in_progress(spark: SparkSession, checkpoint: str) -> DataFrame:
     st = (spark.read.format("statestore").option("stateVarName", STATE_VAR).load(checkpoint))
     e = F.col("list_element")
     g = st.groupBy(F.col("key.order_id").alias("order_id")).agg(
-        F.collect_list(F.struct(e["ts"].alias("ts"), e["event_type"].alias("event_type"),
-                                e["body"].alias("body"), e["location"].alias("location")))
-        .alias("evs"))
-    return _sorted_events(g).select("order_id", F.col("evs")[0]["location"].alias("location"),
-                                    "events")
+        _ordered(e["event_type"], e["ts"], e["body"], e["location"]).alias("events"))
+    return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))

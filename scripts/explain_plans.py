@@ -18,7 +18,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-STREAMING = ("stream_", "completed_orders", "orders_in_progress", "dims_loaded")
+STREAMING = ("stream_", "completed_orders", "orders_in_progress", "dims_loaded", "dims_files",
+             "events_gzip_bulk")
 
 
 def plan_text(df) -> str:
@@ -30,7 +31,7 @@ def plan_text(df) -> str:
 
 def summarise(text: str) -> dict:
     tree = text.split("\n\n")[0]
-    ops = re.findall(r"[+:-]*\s*([A-Za-z]+(?: [A-Za-z]+)?) \(\d+\)", tree)
+    ops = re.findall(r"[+:-]*\s*([A-Za-z]+(?: [A-Za-z]+)*) \(\d+\)", tree)
     joins = sorted({o for o in ops if "Join" in o})
     shuffles = sum(1 for o in ops if o == "Exchange")
     bcast = sum(1 for o in ops if o == "BroadcastExchange")
@@ -51,7 +52,7 @@ def summarise(text: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from orderflow.plans.registry import QUERIES
     from orderflow.session import get_spark
     spark = get_spark("local[8]", shuffle_partitions=8)
     print("# PLANS\n")
@@ -60,7 +61,7 @@ def main() -> None:
     print("| Query | Shuffles | Broadcasts | Joins | Aggregates | Other |")
     print("| --- | --- | --- | --- | --- | --- |")
     details = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith(STREAMING):
             continue
         s = summarise(plan_text(fn(spark, sf_dir)))

@@ -9,8 +9,8 @@ from scripts.check_oracle import compare, duck
 
 import __spark_entry__ as E
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from orderflow.plans.oracle import ORACLE
+from orderflow.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")

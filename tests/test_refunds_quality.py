@@ -86,21 +86,37 @@ def test_sequence_by_time(events):
     assert s == {("o1", "order_created"): 0, ("o1", "delivered"): 1, ("o2", "order_created"): 0}
 
 
-def test_skew_safe_sequence_matches_window_on_hot_order(spark, events):
+def test_sequence_of_a_long_order_and_of_no_order(events):
     rows = [("driver_ping", f"2024-01-01 10:{i // 60:02d}:{i % 60:02d}.000000", "hot", "x", "{}")
             for i in range(600)]
-    rows += [("order_created", "2024-01-01 09:00:00.000000", f"o{i}", "x", "{}") for i in range(20)]
     rows.append(("order_created", "2024-01-01 09:00:00.000000", None, "x", "{}"))
+    got = quality.with_sequence(events(rows)).collect()
+    assert sorted(r.sequence for r in got if r.order_id == "hot") == list(range(600))
+    assert [r.sequence for r in got if r.order_id is None] == [None]
+
+
+def test_sequence_keeps_every_row_and_column(spark):
+    from orderflow.sources import fixtures
+    from pyspark.sql import functions as F
+    ev = fixtures.lifecycle_events(spark, "/root/testdata/sf0.1").cache()
+    got = quality.with_sequence(ev.repartition(8))
+    assert got.columns == ev.columns and got.count() == ev.count()
+    assert got.drop("sequence").exceptAll(ev.drop("sequence")).count() == 0
+    bad = got.groupBy("order_id").agg(F.count("*").alias("n"), F.max("sequence").alias("top"),
+                                      F.count_distinct("sequence").alias("d")).filter("n <> top + 1 or n <> d")
+    assert bad.count() == 0
+
+
+def test_header_pays_each_location_once(events):
+    from orderflow.operators import gold, refunds, silver
+    body = '{"items": [{"id": 1, "price": 20.0, "qty": 1}]}'
+    rows = []
+    for loc in ("a", "b"):
+        rows += [("order_created", "2024-01-01 10:00:00.000000", "o1", loc, body),
+                 ("delivered", "2024-01-01 11:00:00.000000", "o1", loc, "{}")]
     ev = events(rows)
-    safe = quality.with_sequence(ev, skew_safe=True, partitions=8)
-    ranged_parts = (safe.filter("order_id = 'hot'").count())
-    assert ranged_parts == 600
-    plain = quality.with_sequence(ev, skew_safe=False)
-    key = ["event_id", "sequence"]
-    assert safe.select(key).exceptAll(plain.select(key)).count() == 0
-    assert safe.count() == plain.count() == 621
-    hot = sorted(r.sequence for r in safe.filter("order_id = 'hot'").collect())
-    assert hot == list(range(600))
+    d = refunds.refund_decisions(ev, header=gold.order_header(silver.order_items(ev))).collect()
+    assert sorted((r.location, r.refund_usd) for r in d) == [("a", 20.0), ("b", 20.0)]
 
 
 def test_left_join_nonnull_keeps_null_keys(spark):
