@@ -12,13 +12,14 @@ or line break next to other white space is encoded in one call instead.
 from __future__ import annotations
 
 import os
+from contextlib import suppress
 
 import numpy as np
 
 from .common import worker_cache
 
 #: Pieces a worker remembers (two generations of this many).
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 #: Longer pieces are not remembered.
 CACHE_CHARS = 64
 #: Marks that a vocabulary always cuts off the letters before them.
@@ -87,7 +88,14 @@ class Encoder:
             pieces = text.replace("\n", " \n").split(" ")
             first = pieces.pop(0)
         young = self.young
-        new = [p for p in pieces if p not in young]
+        got = list(map(young.get, pieces))
+        gaps = []
+        with suppress(ValueError):  # index() raises after the last one
+            at = got.index(None)
+            while True:
+                gaps.append(at)
+                at = got.index(None, at + 1)
+        new = [pieces[k] for k in gaps]
         if not self.drops_space:
             if first[-1:].isspace() or first[:1].isspace() or not first:
                 return self._encode([text])[0]
@@ -97,13 +105,14 @@ class Encoder:
             first = self._encode([first])[0]
         if new:
             self._learn(new)
-        ids = first + b"".join(map(young.__getitem__, pieces))
-        for p in new:
-            if len(p) > CACHE_CHARS:
-                young.pop(p, None)
+            for k, p in zip(gaps, new):
+                got[k] = young[p]
+            for p in new:
+                if len(p) > CACHE_CHARS:
+                    young.pop(p, None)
         if len(self.marks) > CACHE_PIECES:
             self.marks.clear()
-        return ids
+        return first + b"".join(got)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (None: empty)."""
