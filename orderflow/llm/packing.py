@@ -33,7 +33,7 @@ SEQUENCE = 4096
 END_ID = 1
 #: Rounds of multiplicative weights, and how fast prices move.
 ROUNDS = 240
-RATE = 6.0
+RATE = 8.0
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 200_000
 
@@ -103,8 +103,7 @@ def cover(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[P
             break
         price = np.full(capacity + 1, -1.0)
         # A length's price: its share of the sequence, more when it lags behind.
-        price[lengths] = np.where(lag > 0, lengths / capacity
-                                  * np.exp(RATE / capacity * 8 * (lag - lag.mean())), -1.0)
+        price[lengths] = np.where(lag > 0, lengths / capacity * np.exp(RATE * (lag - lag.max())), -1.0)
         config = best_configuration(price, capacity)
         if not config:
             break
