@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 # Largest side we hint for broadcast.  Above it the join stays a
 # shuffle join; AQE may still switch to broadcast at run time when the
 # measured shuffle output is small.
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 
 def plan_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (an upper bound for scans and
-    filters), or None when it is not available."""
+    """Optimizer's size estimate of ``df``, or None when it is not available.
+
+    Of a file scan it is the compressed size; rows in memory can be
+    several times that, which ``BROADCAST_MAX_BYTES`` leaves room for."""
     try:
         return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:  # noqa: BLE001 - estimate is advisory

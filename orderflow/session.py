@@ -87,3 +87,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything the library wrote under the shared scratch folder.
+
+    Call it when the results that read those files are written elsewhere;
+    running queries of any session on the same folder lose their files.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/orderflow")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
