@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+#: Up to so many edges (16 bytes each) a round is one task without a shuffle.
+ONE_TASK_EDGES = 250_000
+
+
+def _pairs(first, second):
+    return F.inline(F.array(*[F.struct(x.alias("u"), y.alias("v")) for x, y in (first, second)]))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-        edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    a, b = F.col("a"), F.col("b")
+    both = edges.select(_pairs((a, b), (b, a)))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").filter(F.col("v") > F.col("u")).select(
         F.col("v").alias("a"), F.col("m").alias("b"))
@@ -19,9 +27,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """``edges`` with a > b."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    joined = edges.join(least, "a")
-    return joined.select(F.col("a"), F.col("m").alias("b")).unionByName(
-        joined.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+    a, b, m = F.col("a"), F.col("b"), F.col("m")
+    return edges.join(least, "a").select(_pairs((a, m), (b, m))).filter("u <> v").select(
+        F.col("u").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,6 +47,8 @@ def connected(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = _state(now)
     while state[0]:
+        if state[0] <= ONE_TASK_EDGES:
+            now = now.coalesce(1)
         now = stored(_small_star(_large_star(now).distinct()), "edges")
         new = _state(now)
         if new == state:
