@@ -106,7 +106,7 @@ def worker_cache(name: str, factory: Callable):
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, filled on demand and bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
