@@ -281,6 +281,14 @@ def _by_shard(keys: np.ndarray, shards: int):
             yield int(shard[order[a]]), order[a:b]
 
 
+def _found(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Positions of the keys that are in ``known`` (sorted)."""
+    if not len(known):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.flatnonzero(known[at] == keys)
+
+
 def shared_keys(packs: DataFrame, shards: int) -> DataFrame:
     """(pack, keys): keys of the pack that another pack has as well."""
     def send(batches):
@@ -347,7 +355,7 @@ def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
                 settled = []
                 for d in np.argsort(ids, kind="stable"):
                     key, first, count = found[d]
-                    for k in np.flatnonzero(np.isin(key, known)):
+                    for k in _found(key, known):
                         a, c = int(first[k]), int(count[k])
                         seg = raw[d][a:a + c + WINDOW - 1]
                         mine = (int(key[k]), seg)
