@@ -145,9 +145,9 @@ def test_sorter_orders_all_suffixes():
     rng = np.random.default_rng(1)
     for limit in (1 << 20, 40):  # with and without files
         for top in (2, 4, 200):
-            t = bytes(rng.integers(0, top, 400).astype(np.uint8)) + b"\0\1" + b"\0" * 64
+            t = bytes(rng.integers(0, top, 400).astype(np.uint8)) + b"\0\1" + b"\0" * suffix_dedup.SORT_DEPTH
             got = np.concatenate(list(suffix_dedup.sorted_suffixes(np.frombuffer(t, np.uint8), limit)))
-            keys = [t[i:i + 64].ljust(64, b"\0") for i in got]
+            keys = [t[i:i + 56].ljust(56, b"\0") for i in got]
             assert sorted(got.tolist()) == list(range(402)) and keys == sorted(keys)
 
 
