@@ -66,6 +66,23 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def released(fn: Callable) -> Callable:
+    """``fn`` over Arrow batches, after which the worker gives the memory it
+    has freed back to the machine (workers stay alive between tasks)."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            import ctypes
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str | T.StructType,
                 keep: list[str] | None = None, rows: int = SLICE) -> DataFrame:
     """Run ``fn`` on each Arrow batch; it returns name -> Arrow array.
@@ -87,7 +104,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 names = kept + [f for f in cols]
                 yield pa.RecordBatch.from_arrays(arrays + list(cols.values()), names=names)
 
-    return df.mapInArrow(run, out)
+    return df.mapInArrow(released(run), out)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list:

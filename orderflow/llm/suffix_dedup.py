@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
-from .common import mix, shuffle_partitions, stored
+from .common import mix, released, shuffle_partitions, stored
 
 WINDOW = 50
 GRAM = 16
@@ -250,7 +250,7 @@ def packs_of(docs: DataFrame) -> DataFrame:
             if ids:
                 yield _pack(ids, raw)
 
-    packed = docs.select("doc_id", "text").mapInArrow(run, "ids binary, sizes binary, texts binary")
+    packed = docs.select("doc_id", "text").mapInArrow(released(run), "ids binary, sizes binary, texts binary")
     return stored(packed.withColumn("pack", F.monotonically_increasing_id()), "text-packs")
 
 
@@ -327,8 +327,8 @@ def shared_keys(packs: DataFrame, shards: int) -> DataFrame:
                                                  names=["pack", "keys"])
 
     return packs.select("pack", "ids", "sizes", "texts").mapInArrow(
-        send, "shard int, pack bigint, keys binary").repartition(shards, "shard").mapInArrow(
-        answer, "pack bigint, keys binary")
+        released(send), "shard int, pack bigint, keys binary").repartition(shards, "shard").mapInArrow(
+        released(answer), "pack bigint, keys binary")
 
 
 def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
@@ -374,7 +374,7 @@ def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
                                         b"".join(seg for seg, _, _ in part))
 
     return own.select("pack", "ids", "sizes", "texts", "keys").mapInArrow(
-        run, "shard int, pack bigint, docs binary, firsts binary, sizes binary, bytes binary")
+        released(run), "shard int, pack bigint, docs binary, firsts binary, sizes binary, bytes binary")
 
 
 def _segment_rows(shard: int, pack: int, rows: list[tuple], raw: bytes) -> pa.RecordBatch:
@@ -435,7 +435,7 @@ def removed_windows(segments: DataFrame, shards: int, limit: int = QUEUE_ITEMS)
                      pa.array([_squeeze(np.stack(cols, 1).tobytes())], pa.binary())], names=["pack", "spans"])
 
     return segments.filter("shard >= 0").repartition(shards, "shard").mapInArrow(
-        sort, "pack bigint, spans binary").unionByName(
+        released(sort), "pack bigint, spans binary").unionByName(
         segments.filter("shard < 0").mapInArrow(settled, "pack bigint, spans binary"))
 
 
@@ -460,7 +460,7 @@ def cut(packs: DataFrame, spans: DataFrame) -> DataFrame:
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return own.select("ids", "sizes", "texts", "spans").mapInArrow(
-        run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+        released(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def kept(text: bytes, first: np.ndarray, count: np.ndarray) -> tuple[int, int, int, bytes]:
