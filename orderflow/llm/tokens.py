@@ -7,6 +7,10 @@ and asks the tokenizers library only for new ones; the library
 normalises, cuts and merges each piece itself.  With a byte-level
 vocabulary a run of white space is cut as a whole: a text with a blank
 or line break next to other white space is encoded in one call instead.
+
+The ids are those of the vocabulary as loaded, with added tokens: a text
+that holds the literal of one (also after lower-casing) is encoded whole,
+in one call.
 """
 
 from __future__ import annotations
@@ -34,7 +38,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts of added tokens, which the library finds before it cuts pieces.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: With a normaliser, white space only separates pieces.
         self.drops_space = self.tokenizer.normalizer is not None
         self.young: dict[str, bytes] = {"": b""} if self.drops_space else {}
@@ -76,12 +81,17 @@ class Encoder:
             young[p] = young[word] + self.marks[marks]
 
     def _one(self, text: str) -> bytes:
+        if any(a in text for a in self.added):
+            return self._encode([text])[0]
+        whole = text
         if self.drops_space:
             try:  # lower() works letter by letter here, as the vocabulary's own normaliser
                 text.encode("latin-1")
                 text = text.lower()
             except UnicodeEncodeError:
                 pass
+            if any(a in text for a in self.added):  # the library looks before it lower-cases
+                return self._encode([whole])[0]
             pieces = text.replace("\n", " ").split(" ")
             first = b""
         else:

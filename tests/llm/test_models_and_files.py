@@ -111,6 +111,22 @@ def test_encoder_equals_library(spark, name):
         assert got == want + [b""]
 
 
+ADDED = ["a b<|endoftext|>c d", "<|startoftext|>word, word<|endoftext|>", "A <|ENDOFTEXT|> b", "A <|EndOfText|>.",
+         "é́ 日本 <|endoftext|> x", "日本 <|ENDOFTEXT|> x", "no token <|endoftext |>", "a  <|endoftext|>\n\nb"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_in_the_fresh_library(docs, name):
+    from tokenizers import Tokenizer
+
+    enc, fresh = Encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+    for _ in range(2):  # cold and remembered
+        want = [fresh.encode(t, add_special_tokens=False).ids for t in ODD + ADDED]
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.ids(ODD + ADDED)] == want
+    sizes = {r.doc_id: r.n_tokens for r in token_files.op4(docs(list(enumerate(ODD + ADDED))), vocabulary(name)).collect()}
+    assert [sizes[i] for i in range(len(want))] == [len(x) + 1 for x in want]
+
+
 def test_token_files(spark, docs, clash):
     rows = [(7, "b"), (3, None), (5, ""), (7, "a"), (1, "long text " * 9000), (None, "no id")] + [
         (100 + i, t) for i, t in enumerate(ODD)]
