@@ -7,7 +7,10 @@ with a smaller id.  The work is cut so that no task needs the corpus:
    starts in a smaller document.  The rest is stored in packs.
 2. Each 50-byte window has a key, the smallest hash of its 16-byte
    strings, so equal windows have equal keys.  A pack sends its distinct
-   keys to key shards, and gets back those that other packs hold too.
+   keys and their bytes to key shards, and gets back those that other
+   packs hold too, and which of them are hot: over ``HOT_BYTES`` in all.
+   The windows of a hot key are grouped by their whole 50 bytes instead,
+   with the smallest document of a pack, and then of all, per window.
 3. Runs of windows under a shared key are cut out as segments and sent to
    the key's shard.  Equal segments are settled at once.  The others form
    the shard's text, whose suffixes are sorted: S* suffixes first, then L
@@ -16,6 +19,8 @@ with a smaller id.  The work is cut so that no task needs the corpus:
    by first byte, then in order of arrival.  The queues keep a bounded
    number of suffixes in memory and the rest in a local file.  Adjacent
    suffixes with a common prefix of 50 bytes are one group.
+   A shard over ``BLOCK_BYTES`` waits in a local file and is sorted in
+   blocks of whole keys, so a sort holds a block and at most one key more.
 4. Removed windows go back to the packs, which cut and hash the texts.
 
 Order is only needed to the depth of a window, so S* suffixes are sorted
@@ -47,8 +52,14 @@ PACK_DOCS = 512
 PACK_BYTES = 4 << 20
 #: Corpus bytes per key shard.
 SHARD_BYTES = 4 << 20
+#: Segment bytes of one key from which its windows are grouped one by one.
+HOT_BYTES = 1 << 20
+#: Segment bytes of hot keys in one row.
+HOT_ROW_BYTES = 256 << 10
+#: Segment bytes sorted at once.
+BLOCK_BYTES = 4 << 20
 #: Suffixes a queue keeps in memory before it writes to its file.
-QUEUE_ITEMS = 8 << 20
+QUEUE_ITEMS = 2 << 20
 SORT_DEPTH = 56
 
 
@@ -288,63 +299,79 @@ def _found(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def shared_keys(packs: DataFrame, shards: int) -> DataFrame:
-    """(pack, keys): keys of the pack that another pack has as well."""
+    """(pack, keys, hot): keys of the pack that another pack has as well,
+    those of more than ``HOT_BYTES`` in ``hot``.
+
+    Bytes of a key travel as one byte, 8 * log2 rounded up.
+    """
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 _, raw = _unpack(row["ids"], row["sizes"], row["texts"])
-                found = [runs(window_keys(t))[0] for t in raw]
-                keys = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
-                out = [(s, row["pack"], keys[at].tobytes()) for s, at in _by_shard(keys, shards)]
+                found = [runs(window_keys(t)) for t in raw]
+                keys, which = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+                held = np.bincount(which, np.concatenate([f[2] for f in found]) + (WINDOW - 1), len(keys))
+                level = np.minimum(np.ceil(8 * np.log2(np.maximum(held, 1))), 255).astype(np.uint8)
+                out = [(s, row["pack"], keys[at].tobytes(), level[at].tobytes()) for s, at in _by_shard(keys, shards)]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int64()),
-                         pa.array([o[2] for o in out], pa.binary())], names=["shard", "pack", "keys"])
+                         pa.array([o[2] for o in out], pa.binary()), pa.array([o[3] for o in out], pa.binary())],
+                        names=["shard", "pack", "keys", "levels"])
 
     def answer(batches):
         by: dict[int, list] = {}
         for batch in batches:
-            for shard, pack, keys in zip(*(c.to_pylist() for c in batch.columns)):
-                by.setdefault(shard, []).append((pack, np.frombuffer(keys, "<u8")))
+            for shard, pack, keys, levels in zip(*(c.to_pylist() for c in batch.columns)):
+                by.setdefault(shard, []).append((pack, np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8)))
         for shard in list(by):
             got = by.pop(shard)
-            keys = np.concatenate([k for _, k in got])
+            keys = np.concatenate([k for _, k, _ in got])
+            held = np.exp2(np.concatenate([v for _, _, v in got]) / 8)
             order = np.argsort(keys, kind="stable")
             sorted_ = keys[order]
             twin = np.zeros(len(keys), bool)
             same = sorted_[1:] == sorted_[:-1]
             twin[order[1:][same]] = True
             twin[order[:-1][same]] = True
+            first = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            much = np.add.reduceat(held[order], first) > HOT_BYTES
+            hot = np.empty(len(keys), bool)
+            hot[order] = np.repeat(much, np.diff(np.concatenate([first, [len(keys)]])))
             rows, at = [], 0
-            for p, k in got:
-                own = k[twin[at:at + len(k)]]
+            for p, k, _ in got:
+                t, h = twin[at:at + len(k)], hot[at:at + len(k)]
                 at += len(k)
-                if len(own):
-                    rows.append((p, own.tobytes()))
+                if t.any():
+                    rows.append((p, k[t & ~h].tobytes(), k[t & h].tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                                  pa.array([r[1] for r in rows], pa.binary())],
-                                                 names=["pack", "keys"])
+                                                  pa.array([r[1] for r in rows], pa.binary()),
+                                                  pa.array([r[2] for r in rows], pa.binary())],
+                                                 names=["pack", "keys", "hot"])
 
     return packs.select("pack", "ids", "sizes", "texts").mapInArrow(
-        released(send), "shard int, pack bigint, keys binary").repartition(shards, "shard").mapInArrow(
-        released(answer), "pack bigint, keys binary")
+        released(send), "shard int, pack bigint, keys binary, levels binary").repartition(shards, "shard").mapInArrow(
+        released(answer), "pack bigint, keys binary, hot binary")
 
 
 def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
     """(shard, pack, docs, firsts, sizes, bytes) of segments under shared keys.
 
     Of equal segments inside a pack only the smallest document's goes out;
-    the others come back as settled rows with shard -1.
+    the others come back as settled rows with shard -1.  Segments of hot
+    keys stay rows of their pack, with shards -2, -3, ...
     """
-    own = packs.join(keys.groupBy("pack").agg(F.collect_list("keys").alias("keys")), "pack", "left")
+    own = packs.join(keys.groupBy("pack").agg(F.collect_list("keys").alias("keys"),
+                                              F.collect_list("hot").alias("hot")), "pack", "left")
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 ids, raw = _unpack(row["ids"], row["sizes"], row["texts"])
-                known = np.unique(np.concatenate([np.frombuffer(k, "<u8") for k in row["keys"] or []]
-                                                 or [np.empty(0, np.uint64)]))
+                known, hot = (np.unique(np.concatenate([np.frombuffer(k, "<u8") for k in row[c] or []]
+                                                       or [np.empty(0, np.uint64)])) for c in ("keys", "hot"))
+                known = np.union1d(known, hot)
                 found = [runs(window_keys(t)) for t in raw]
                 distinct = [np.unique(k) for k, _, _ in found]
                 every, times = np.unique(np.concatenate(distinct), return_counts=True)
@@ -367,13 +394,19 @@ def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
                     yield _segment_rows(-1, row["pack"], settled, b"")
                 keys_ = np.array([m[0] for m in best], np.uint64)
                 items = [(m[1], *v) for m, v in best.items()]
-                for shard, at in _by_shard(keys_, shards) if items else ():
+                apart = np.zeros(len(items), bool)
+                apart[_found(keys_, hot)] = True
+                cold = np.flatnonzero(~apart)
+                parts = [(s, cold[at]) for s, at in _by_shard(keys_[cold], shards)] if len(cold) else []
+                held = np.cumsum([len(items[i][0]) for i in np.flatnonzero(apart)]) // HOT_ROW_BYTES
+                parts += [(-2 - int(h), np.flatnonzero(apart)[held == h]) for h in np.unique(held)]
+                for shard, at in parts:
                     part = [items[i] for i in at]
                     yield _segment_rows(shard, row["pack"],
                                         [(int(ids[d]), a, len(seg)) for seg, d, a in part],
                                         b"".join(seg for seg, _, _ in part))
 
-    return own.select("pack", "ids", "sizes", "texts", "keys").mapInArrow(
+    return own.select("pack", "ids", "sizes", "texts", "keys", "hot").mapInArrow(
         released(run), "shard int, pack bigint, docs binary, firsts binary, sizes binary, bytes binary")
 
 
@@ -385,24 +418,67 @@ def _segment_rows(shard: int, pack: int, rows: list[tuple], raw: bytes) -> pa.Re
         names=["shard", "pack", "docs", "firsts", "sizes", "bytes"])
 
 
+def _segments(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Segments, doc ids and first windows of a stored row."""
+    edges = np.concatenate([[0], np.cumsum(np.frombuffer(_expand(row["sizes"]), "<i8"))])
+    raw = _expand(row["bytes"])
+    return ([raw[a:b] for a, b in zip(edges[:-1], edges[1:])],
+            np.frombuffer(_expand(row["docs"]), "<i8"), np.frombuffer(_expand(row["firsts"]), "<i8"))
+
+
+class Shard:
+    """Rows of a key shard, kept in a local file from ``limit`` bytes on."""
+
+    FIELDS = ("docs", "firsts", "sizes", "bytes")
+
+    def __init__(self, limit: int):
+        self.file = tempfile.SpooledTemporaryFile(limit)
+        self.rows: list[tuple] = []
+        self.limit, self.held = limit, 0
+
+    def add(self, row: dict) -> None:
+        self.rows.append((row["pack"], self.file.tell(), [len(row[f]) for f in self.FIELDS]))
+        self.held += int(np.frombuffer(_expand(row["sizes"]), "<i8").sum())
+        for f in self.FIELDS:
+            self.file.write(row[f])
+
+    def blocks(self):
+        """(packs, docs, firsts, segments) of whole keys, about ``limit`` bytes each."""
+        n = max(1, -(-self.held // self.limit))
+        for block in range(n):
+            packs, docs, firsts, segs = [], [], [], []
+            for pack, at, sizes in self.rows:
+                self.file.seek(at)
+                own, doc, first = _segments({f: self.file.read(k) for f, k in zip(self.FIELDS, sizes)})
+                if n > 1:
+                    # Bits of the key that did not choose the shard.
+                    keys = window_keys(b"".join(seg[:WINDOW] for seg in own))[::WINDOW]
+                    at = np.flatnonzero(mix(mix(keys) + np.uint64(1)) % np.uint64(n) == block)
+                    own, doc, first = [own[k] for k in at], doc[at], first[at]
+                packs += [pack] * len(own)
+                docs.append(doc)
+                firsts.append(first)
+                segs += own
+            if segs:
+                yield packs, np.concatenate(docs), np.concatenate(firsts), segs
+        self.file.close()
+
+
+def _spans(flag: np.ndarray, doc: int, first: int) -> list[tuple]:
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.astype(np.int8), [0]])))
+    return [(doc, first + int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
+
+
+def _span_rows(pack: int, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([pack], pa.int64()),
+         pa.array([_squeeze(np.array(rows, "<i8").tobytes())], pa.binary())], names=["pack", "spans"])
+
+
 def removed_windows(segments: DataFrame, shards: int, limit: int = QUEUE_ITEMS) -> DataFrame:
     """(pack, spans): flattened (doc_id, first window, windows) to remove."""
-    def sort(batches):
-        by: dict[int, list] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                by.setdefault(row["shard"], []).append(row)
-        for shard in list(by):
-            packs, docs, firsts, segs = [], [], [], []
-            for row in by.pop(shard):
-                size = np.frombuffer(_expand(row["sizes"]), "<i8")
-                edges = np.concatenate([[0], np.cumsum(size)])
-                raw = _expand(row["bytes"])
-                segs += [raw[a:b] for a, b in zip(edges[:-1], edges[1:])]
-                packs += [row["pack"]] * len(size)
-                docs.append(np.frombuffer(_expand(row["docs"]), "<i8"))
-                firsts.append(np.frombuffer(_expand(row["firsts"]), "<i8"))
-            docs, firsts = np.concatenate(docs), np.concatenate(firsts)
+    def settle(shard):
+        for packs, docs, firsts, segs in shard.blocks():
             least: dict[bytes, int] = {}
             for k in np.argsort(docs, kind="stable"):
                 least.setdefault(segs[k], int(k))
@@ -414,17 +490,22 @@ def removed_windows(segments: DataFrame, shards: int, limit: int = QUEUE_ITEMS)
                 top = least[seg]
                 if docs[top] < doc:
                     out.setdefault(packs[k], []).append((doc, first, len(seg) - WINDOW + 1))
-                    continue
-                flag = marks[top]
-                if not flag.any():
-                    continue
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.astype(np.int8), [0]])))
-                out.setdefault(packs[k], []).extend(
-                    (doc, first + int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2]))
+                elif marks[top].any():
+                    out.setdefault(packs[k], []).extend(_spans(marks[top], doc, first))
             for pack, rows in out.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([pack], pa.int64()),
-                     pa.array([_squeeze(np.array(rows, "<i8").tobytes())], pa.binary())], names=["pack", "spans"])
+                yield _span_rows(pack, rows)
+
+    def sort(batches):  # rows come shard by shard
+        now, shard = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["shard"] != now:
+                    if shard:
+                        yield from settle(shard)
+                    now, shard = row["shard"], Shard(BLOCK_BYTES)
+                shard.add(row)
+        if shard:
+            yield from settle(shard)
 
     def settled(batches):
         for batch in batches:
@@ -434,9 +515,54 @@ def removed_windows(segments: DataFrame, shards: int, limit: int = QUEUE_ITEMS)
                     [pa.array([row["pack"]], pa.int64()),
                      pa.array([_squeeze(np.stack(cols, 1).tobytes())], pa.binary())], names=["pack", "spans"])
 
-    return segments.filter("shard >= 0").repartition(shards, "shard").mapInArrow(
+    return segments.filter("shard >= 0").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
         released(sort), "pack bigint, spans binary").unionByName(
-        segments.filter("shard < 0").mapInArrow(settled, "pack bigint, spans binary"))
+        segments.filter("shard = -1").mapInArrow(settled, "pack bigint, spans binary")).unionByName(
+        hot_windows(segments.filter("shard < -1")))
+
+
+def hot_windows(segments: DataFrame) -> DataFrame:
+    """(pack, spans) of the segments of hot keys, window by window."""
+    def smallest(row: dict):
+        segs, docs, firsts = _segments(row)
+        least: dict[bytes, int] = {}
+        for seg, doc in zip(segs, docs.tolist()):
+            for k in range(len(seg) - WINDOW + 1):
+                w = seg[k:k + WINDOW]
+                if least.get(w, doc) >= doc:
+                    least[w] = doc
+        return segs, docs, firsts, least
+
+    def split(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                least = smallest(row)[3]
+                n = len(least)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["pack"]] * n, pa.int64()), pa.array([row["shard"]] * n, pa.int32()),
+                     pa.array(list(least), pa.binary()), pa.array(list(least.values()), pa.int64())],
+                    names=["pack", "shard", "window", "doc"])
+
+    windows = segments.mapInArrow(released(split), "pack bigint, shard int, window binary, doc bigint")
+    least = stored(windows.groupBy("window").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"))
+                   .filter("n > 1").select("window", "least"), "hot-windows")
+    answers = (windows.join(broadcast_if_small(least), "window").filter("least < doc").groupBy("pack", "shard")
+               .agg(F.collect_list("window").alias("windows"), F.collect_list("least").alias("leasts")))
+
+    def settle(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                segs, docs, firsts, least = smallest(row)
+                least.update(zip(row["windows"] or [], row["leasts"] or []))
+                out = []
+                for seg, doc, first in zip(segs, docs.tolist(), firsts.tolist()):
+                    flag = np.array([least[seg[k:k + WINDOW]] < doc for k in range(len(seg) - WINDOW + 1)])
+                    out += _spans(flag, doc, first)
+                if out:
+                    yield _span_rows(row["pack"], out)
+
+    return segments.join(answers, ["pack", "shard"], "left").mapInArrow(
+        released(settle), "pack bigint, spans binary")
 
 
 def cut(packs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -164,6 +164,45 @@ def test_strings_match_brute_force(docs, clash, monkeypatch):
     assert got == suffix_dedup.brute_force(rows)
 
 
+def test_hot_keys_are_split(spark, docs, monkeypatch):
+    """A phrase in every document: no key may bring more than the bound to a shard."""
+    for name, value in (("PACK_DOCS", 4), ("HOT_BYTES", 600), ("HOT_ROW_BYTES", 200), ("BLOCK_BYTES", 500)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    rng = random.Random(4)
+    other = prose(rng, 40)
+    rows = [(i, prose(rng, 12) + " by the same phrase in all of them " + prose(rng, 12)
+             + (other[rng.randrange(20):] if i % 3 == 0 else "")) for i in range(80)]
+    packs = suffix_dedup.packs_of(docs(rows))
+    segments = suffix_dedup.segments_of(packs, suffix_dedup.shared_keys(packs, 4), 4).filter("shard >= 0").collect()
+    held: dict = {}
+    for r in segments:
+        at, raw = 0, suffix_dedup._expand(r.bytes)
+        for size in np.frombuffer(suffix_dedup._expand(r.sizes), "<i8"):
+            key = int(suffix_dedup.window_keys(raw[at:at + suffix_dedup.WINDOW])[0])
+            held[key] = held.get(key, 0) + int(size)
+            at += size
+    assert held and max(held.values()) <= 600
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op3(docs(rows)).collect()}
+    assert got == suffix_dedup.brute_force(rows) and sum(v[1] > 0 for v in got.values()) > 20
+
+
+def test_large_shards_are_sorted_in_blocks_of_keys(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PACK_DOCS", 4)
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 200)) for i in range(12)]
+    rows += [(12 + i, prose(rng, 3) + rows[i % 12][1]) for i in range(24)]
+    packs = suffix_dedup.packs_of(docs(rows))
+    segments = suffix_dedup.segments_of(packs, suffix_dedup.shared_keys(packs, 1), 1).filter("shard >= 0").collect()
+    whole = suffix_dedup.Shard(2000)
+    for r in segments:
+        whole.add(r.asDict())
+    blocks = list(whole.blocks())
+    keys = [{int(suffix_dedup.window_keys(s[:50])[0]) for s in b[3]} for b in blocks]
+    assert len(blocks) > 5 and sum(map(len, keys)) == len(set().union(*keys))
+    assert sum(len(s) for b in blocks for s in b[3]) == whole.held
+    assert max(sum(len(s) for s in b[3]) for b in blocks) < whole.held / 2
+
+
 def test_strings_without_ids_and_empty(docs):
     t = "the same words again and again until there are more than fifty of them"
     got = sorted((str(r.doc_id), r.n_removed) for r in suffix_dedup.op3(docs(
