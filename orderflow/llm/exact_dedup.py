@@ -152,7 +152,13 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row with the largest doc_id of each group, same columns."""
-    gone = groups_of(docs.select("doc_id", "text")).filter(
-        ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id").distinct()
-    return docs.join(broadcast_if_small(stored(gone, "dedup-gone")), "doc_id", "left_anti")
+    """The rows that ``op6`` marks as kept, same columns.
+
+    A row goes by its id and text: an id may repeat with other texts, and
+    a row without id goes if its group has one with an id.
+    """
+    gone = groups_of(docs.select("doc_id", "text")).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias("_gone_id"), F.unhex("sha256").alias("_gone_sha")).distinct()
+    rows = docs.withColumn("_text_sha", text_digest(normalised()))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_sha") == F.col("_gone_sha"))
+    return rows.join(broadcast_if_small(stored(gone, "dedup-gone")), same, "left_anti").drop("_text_sha")

@@ -54,6 +54,12 @@ def test_directory_splits_overfull_buckets(spark):
     assert len({r.depth for r in sizes}) > 1
 
 
+def test_keep_one_drops_rows_not_ids(docs, clash):
+    rows = [(5, "a"), (5, "b"), (7, "A"), (None, "a"), (None, "lone"), (9, "c"), (9, "c"), (8, "C"), (3, None), (4, "")]
+    kept = Counter((r.doc_id, r.text) for r in exact_dedup.keep_one(clash(docs(rows))).collect())
+    assert kept == Counter([(5, "b"), (7, "A"), (None, "lone"), (9, "c"), (9, "c"), (4, "")])
+
+
 def test_keep_one_returns_columns(docs):
     d = docs(ROWS)
     kept = exact_dedup.keep_one(d)
