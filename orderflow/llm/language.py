@@ -102,8 +102,10 @@ class Model:
         return out + member @ self.lexicon_weights
 
 
-def forward_backward(emission: np.ndarray, transitions: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Posteriors of time-major sequences.
+def forward_backward(emission: np.ndarray, transitions: np.ndarray, counts: np.ndarray,
+                     moves: np.ndarray | None = None) -> np.ndarray:
+    """Posteriors of time-major sequences; the expected number of every
+    transition is added to ``moves``, if given.
 
     Rows of ``emission`` are ordered by position, then sequence; sequences
     are sorted by length, longest first, so position t has ``counts[t]``
@@ -125,7 +127,11 @@ def forward_backward(emission: np.ndarray, transitions: np.ndarray, counts: np.n
     beta = np.ones((counts[-1], pot.shape[1]))
     for t in range(len(counts) - 2, -1, -1):
         n, m = counts[t], counts[t + 1]
-        b = (pot[edges[t + 1]:edges[t + 1] + m] * beta) @ back
+        ahead = pot[edges[t + 1]:edges[t + 1] + m] * beta
+        b = ahead @ back
+        if moves is not None:  # pair marginals: alpha * move * potential * beta, normalised
+            before = alpha[edges[t]:edges[t] + m]
+            moves += move * (before.T @ (ahead / (before * b).sum(axis=1, keepdims=True)))
         b /= b.sum(axis=1, keepdims=True)
         if n > m:
             b = np.concatenate([b, np.ones((n - m, pot.shape[1]))])
@@ -204,16 +210,14 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 11) ->
             lex = member[w] * use[:, None]
             emission = np.stack([np.bincount(owner, model.weights[feats, j], len(w)) for j in range(k)], 1) \
                 + lex @ model.lexicon_weights
-            post = forward_backward(emission, model.transitions, np.full(length, b))
+            moves = np.zeros((k, k))
+            post = forward_backward(emission, model.transitions, np.full(length, b), moves)
             delta = np.eye(k)[y] - post
             grad = np.stack([np.bincount(feats, delta[owner, j], BUCKETS) for j in range(k)], 1)
             lex_grad = lex.T @ delta
             pairs = np.zeros((k, k))
             np.add.at(pairs, (y[:-b], y[b:]), 1)
-            # Expected transitions from neighbouring posteriors and the move potentials.
-            joint = post[:-b, :, None] * np.exp(model.transitions)[None] * post[b:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            move_grad = pairs - joint.sum(axis=0)
+            move_grad = pairs - moves
             for value, g, sq in ((model.weights, grad, square), (model.lexicon_weights, lex_grad, lex_square),
                                  (model.transitions, move_grad, move_square)):
                 g = g / b - DECAY * value

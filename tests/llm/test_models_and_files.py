@@ -86,6 +86,23 @@ def test_forward_backward_against_enumeration():
         assert np.allclose(got, want / want.sum(axis=1, keepdims=True))
 
 
+def test_expected_transitions_against_enumeration():
+    rng = np.random.default_rng(5)
+    move = rng.normal(size=(3, 3))
+    seqs = [rng.normal(size=(n, 3)) for n in (4, 3, 1)]
+    flat = np.concatenate([[s[t] for s in seqs if t < len(s)] for t in range(4)])
+    got, want = np.zeros((3, 3)), np.zeros((3, 3))
+    language.forward_backward(flat, move, np.array([3, 2, 2, 1]), got)
+    for s in seqs:
+        paths = list(product(range(3), repeat=len(s)))
+        w = np.array([np.exp(sum(s[t, y] for t, y in enumerate(p)) + sum(move[a, b] for a, b in zip(p, p[1:])))
+                      for p in paths])
+        for p, x in zip(paths, w / w.sum()):
+            for a, b in zip(p, p[1:]):
+                want[a, b] += x
+    assert np.allclose(got, want)
+
+
 def test_language_cases(docs, clash):
     rows = [(i, "the cat and the dog are here with that", "en") for i in range(20)] + \
            [(i, "der Hund und die Katze sind hier mit dem", "de") for i in range(20, 40)]
