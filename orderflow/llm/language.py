@@ -7,7 +7,7 @@ word its posterior over languages, a whole text the mean over its words.
 
 The model is fitted on a bounded sample: of each language the
 ``SAMPLE_DOCS`` labelled documents with the smallest hash of their id,
-``SAMPLE_CHARS`` characters of each.  Runs of words of different
+with their whole texts.  Runs of words of different
 documents are joined to training sequences, so that switches occur.
 Prediction reads whole texts and nothing else.
 
@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import held_out, map_batches, texts_of, worker_cache
 
-#: Bound of the training sample: documents per language, characters of each.
+#: Bound of the training sample: documents per language.
 SAMPLE_DOCS = 500
-SAMPLE_CHARS = 3000
 #: Words of a language's lexicon, and sample occurrences a word needs.
 LEXICON_WORDS = 5000
 LEXICON_COUNT = 3
@@ -145,7 +144,7 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000))
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    wide = known.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), draw.alias("draw"))
+    wide = known.select("lang", "text", draw.alias("draw"))
     # Twice the sample by a draw, then exactly the smallest draws.
     near = wide.join(F.broadcast(sizes), "lang").filter(
         F.col("draw") * F.col("n") < 2 * SAMPLE_DOCS * 1_000_000)

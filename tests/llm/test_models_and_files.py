@@ -103,6 +103,12 @@ def test_expected_transitions_against_enumeration():
     assert np.allclose(got, want)
 
 
+def test_sample_has_whole_texts(docs):
+    rows = [(i, "word " * 2000 + f"late{i}", "en") for i in range(40)]
+    got = language.sample(docs(rows))
+    assert got and all(t.startswith("word ") and t.split()[-1].startswith("late") for _, t in got)
+
+
 def test_language_cases(docs, clash):
     rows = [(i, "the cat and the dog are here with that", "en") for i in range(20)] + \
            [(i, "der Hund und die Katze sind hier mit dem", "de") for i in range(20, 40)]
