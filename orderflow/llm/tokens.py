@@ -16,6 +16,7 @@ in one call.
 from __future__ import annotations
 
 import os
+import unicodedata
 from contextlib import suppress
 
 import numpy as np
@@ -50,6 +51,14 @@ class Encoder:
         found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _letters(self, word: str) -> bool:
+        """Whether the vocabulary cuts the word only into letters, also after
+        its normaliser (which takes some letters apart, into letter and
+        mark; such a mark joins the punctuation that follows)."""
+        if word.isascii() or not self.drops_space:
+            return word.isalpha()
+        return unicodedata.normalize("NFC", word).lower().isalpha()
+
     def _learn(self, pieces: list[str]) -> None:
         """Make every piece known."""
         young, old = self.young, self.old
@@ -61,7 +70,7 @@ class Encoder:
                 young[p] = known
                 continue
             word = p.rstrip(ENDS)
-            if word != p and word.lstrip("\n").isalpha():  # letters, then one run of marks
+            if word != p and self._letters(word.lstrip("\n")):  # letters, then one run of marks
                 ended.append((p, word, p[len(word):]))
                 if word not in young and word not in old:
                     unknown[word] = None

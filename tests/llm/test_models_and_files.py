@@ -6,6 +6,8 @@ import base64
 import hashlib
 import random
 import re
+import sys
+import unicodedata
 import zlib
 from itertools import product
 
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import language, packing, quality, token_files, warc
 from orderflow.llm.queries import ORACLE, QUERIES, vocabulary
-from orderflow.llm.tokens import Encoder
+from orderflow.llm.tokens import ENDS, Encoder
 from orderflow.session import checkpoint_root, scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -150,6 +152,22 @@ def test_added_tokens_as_in_the_fresh_library(docs, name):
     assert [sizes[i] for i in range(len(want))] == [len(x) + 1 for x in want]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_letter_before_every_mark(name):
+    from tokenizers import Tokenizer
+
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha() and not "\u3400" <= c <= "\ud7a3"]
+    changed = [c for c in letters if unicodedata.normalize("NFKC", c).lower() != c]
+    texts = [f"x {w}{m} y" for c in changed for w in (c, "ab" + c) for m in ENDS] + [f"{c}." for c in letters]
+    rng = np.random.default_rng(3)
+    some = [c for c in "EVİeviŞKışk\u0958\u095f\u09dc\u0a33\ufb1d\ufb2aàé字.,;:!? \n" for _ in range(2)]
+    texts += ["".join(rng.choice(some, rng.integers(1, 30))) for _ in range(20_000)]
+    enc, fresh = Encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in fresh.encode_batch(texts, add_special_tokens=False)]
+    wrong = [t for t, a, b in zip(texts, enc.ids(texts), want) if a != b]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
 def test_token_files(spark, docs, clash):
     rows = [(7, "b"), (3, None), (5, ""), (7, "a"), (1, "long text " * 9000), (None, "no id")] + [
         (100 + i, t) for i, t in enumerate(ODD)]
