@@ -188,3 +188,47 @@ def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 50-byte strings cut from every document."""
     from . import suffix_dedup
     return suffix_dedup.op3(table(spark, sf_dir, "documents"))
+
+
+@query("op12_gray_code_filter_audit")
+def q_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over all documents, by language."""
+    from . import filter_audit
+    return filter_audit.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_gray_code_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+m AS (
+  SELECT doc_id, part, concat(
+           CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END,
+           CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END,
+           CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END,
+           CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+           CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails FROM d),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+         count(*) FILTER (WHERE toxic = 1) AS toxic FROM m LEFT JOIN labels USING (doc_id) GROUP BY part, fails),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, x,
+         sum(CASE WHEN translate(fails, before || x, '') = fails THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, x) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN translate(fails, before, '') <> fails AND contains(fails, x) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = x THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, x) THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN translate(fails, before, '') = fails AND contains(fails, x) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
