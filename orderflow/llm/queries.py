@@ -262,3 +262,24 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10
 """
+
+
+@query("op11_robust_pruned_graph_dedup")
+def q_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy classes of all vectors."""
+    from . import embedding_dedup
+    return embedding_dedup.op11(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_robust_pruned_graph_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT r.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM r LEFT JOIN n ON n.a = r.a GROUP BY r.a
+"""

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import filter_audit, hard_negatives
+from orderflow.llm import embedding_dedup, filter_audit, hard_negatives
 
 LABELS = "doc_id bigint, quality int, toxic int"
 VECTORS = "vec_id bigint, embedding array<float>, label int"
@@ -161,3 +161,118 @@ def test_walks_end_early(spark):
 def test_hard_negatives_of_nothing(spark):
     assert hard_negatives.op13(spark.createDataFrame([], VECTORS)).count() == 0
     assert hard_negatives.op13(spark.createDataFrame([(100, [1.0], 1)], VECTORS)).count() == 0
+
+
+# -- embedding graph ---------------------------------------------------------------
+
+def linked(rows):
+    """(vec_id, n_links, component_id, kept) by brute force."""
+    dim = max((len(x) for _, x in rows if x), default=0)
+    good, v = [], []
+    for k, (i, x) in enumerate(rows):
+        if i is not None and x and all(c is not None and np.isfinite(c) for c in x) and any(x):
+            good.append(k)
+            y = np.zeros(dim)
+            y[:len(x)] = np.array(x, np.float32)
+            v.append(y / np.linalg.norm(y))
+    near = np.zeros((len(rows), len(rows)), bool)
+    if good:
+        v = np.array(v)
+        near[np.ix_(good, good)] = v @ v.T >= 0.95
+    np.fill_diagonal(near, False)
+    component = [r[0] for r in rows]
+    done = [False] * len(rows)
+    for k in range(len(rows)):
+        if done[k] or not near[k].any():
+            continue
+        group, edge = {k}, [k]
+        while edge:
+            edge = [j for j in np.flatnonzero(near[edge].any(axis=0)) if j not in group]
+            group |= set(edge)
+        for j in group:
+            done[j], component[j] = True, min(rows[g][0] for g in group)
+    return sorted(((i, int(near[k].sum()), component[k], i == component[k]) for k, (i, _) in enumerate(rows)), key=str)
+
+
+def copies_of(rng, base, n, spread):
+    return base + rng.normal(size=(n, len(base))) * spread / np.sqrt(len(base))
+
+
+def embedding_rows(seed, n=1500, dim=24):
+    rng = np.random.default_rng(seed)
+    x = [rng.normal(size=(n, dim))]
+    for base in x[0][:25]:
+        x.append(copies_of(rng, base, int(rng.integers(1, 12)), rng.choice([0.2, 0.8])))
+    x.append(copies_of(rng, x[0][30], 700, 0.3))  # one dense group
+    x = np.concatenate(x)
+    x = x[rng.permutation(len(x))] * rng.choice([0.01, 1, 500], (len(x), 1))
+    return [(int(i), [float(c) for c in v]) for i, v in zip(rng.permutation(9 * len(x)), x)]
+
+
+ODD_VECTORS = [(None, [1.0] * 24), (-5, None), (-6, []), (-7, [0.0] * 24), (-8, [float("inf")] * 24), (-9, [None] * 24),
+               (-10, [1.0]), (-11, [2.0, 0.0]), (-12, [0.5, 0.25]), (-13, [3.0] * 24), (-14, [1e-30] * 24),
+               (-14, [2.0] * 24), (-15, [-2.0] * 24)]
+
+
+def seen(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_graph_dedup_equals_brute_force_in_one_shard(spark):
+    rows = embedding_rows(0, 400) + ODD_VECTORS
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn(
+        "node", F.lit("x")).withColumn("key", F.lit("x")).withColumn("cell", F.lit("x")).repartition(3)
+    assert seen(embedding_dedup.op11(df)) == linked(rows)
+
+
+def test_graph_dedup_over_split_shards(spark, monkeypatch):
+    """Small shards, split twice; overlap and union keep the recall."""
+    monkeypatch.setattr(embedding_dedup, "SHARD", 150)
+    monkeypatch.setattr(embedding_dedup, "CHILDREN", 6)
+    monkeypatch.setattr(embedding_dedup, "PLACED", 200)
+    monkeypatch.setattr(embedding_dedup.split_large, "__defaults__", (300, 150))
+    rows = embedding_rows(2) + ODD_VECTORS
+    got = seen(embedding_dedup.op11(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")))
+    want = linked([(i, x) for i, x in rows])
+    assert [r[0] for r in got] == [r[0] for r in want]
+    assert all(g[1] <= w[1] for g, w in zip(got, want))
+    assert sum(g[1] for g in got) >= 0.98 * sum(w[1] for w in want), sum(g[1] for g in got) / sum(w[1] for w in want)
+    assert sum(g[2] == w[2] for g, w in zip(got, want)) >= 0.95 * len(want)
+
+
+def test_shards_are_bounded_and_overlap(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(600, 8)), copies_of(rng, rng.normal(size=8), 900, 0.05)])
+    nodes = spark.createDataFrame([(k, str(k).encode(), [float(c) for c in v], 1, k) for k, v in enumerate(x)],
+                                  "node bigint, key binary, vec array<double>, copies bigint, least bigint")
+    members = embedding_dedup.split_large(
+        embedding_dedup.first_shards(nodes, 8, 100_000, 2), 8, largest=200, share=100)
+    sizes = [r["count"] for r in members.groupBy("cell").count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == 2 * len(x)
+    assert members.groupBy("node").agg(F.countDistinct("cell").alias("n")).filter("n <> 2").count() == 0
+
+
+def test_robust_prune_keeps_near_and_spread():
+    v = np.array([[1, 0], [0.99, 0.14], [0.98, 0.2], [0, 1], [-1, 0]], np.float32)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    kept = embedding_dedup.robust_prune(v, np.array([0]), np.array([[4, 3, 2, 1, 0, -1]]))[0]
+    assert [k for k in kept if k >= 0] == [1, 3]  # 1 is much nearer to 2, and 3 to 4, than the owner is
+    kept = embedding_dedup.robust_prune(v, np.array([3]), np.array([[0, 4]]))[0]
+    assert [k for k in kept if k >= 0] == [0, 4]
+
+
+def test_audit_measures_missing_links(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(40, 16))
+    x = np.repeat(base, 3, axis=0) + rng.normal(size=(120, 16)) * 0.01
+    nodes = spark.createDataFrame([(k, str(k).encode(), [float(c) for c in v], 1, k) for k, v in enumerate(x)],
+                                  "node bigint, key binary, vec array<double>, copies bigint, least bigint")
+    for found, want in ((2, 1.0), (1, 0.5), (0, 0.0)):
+        links = nodes.select("node", F.lit(found).cast("bigint").alias("links"))
+        assert abs(embedding_dedup.audit(nodes, links, 16, 0.95) - want) < 1e-9
+
+
+def test_graph_dedup_of_nothing(spark):
+    empty = spark.createDataFrame([], VECTORS)
+    assert embedding_dedup.op11(empty).count() == 0
+    assert seen(embedding_dedup.op11(spark.createDataFrame([(3, None, 1)], VECTORS))) == [(3, 0, 3, True)]
