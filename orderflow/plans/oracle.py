@@ -502,3 +502,19 @@ ORACLE["refund_two_locations"] = with_(
     .replace("'order_created' GROUP BY order_id)", "'order_created' GROUP BY order_id, location)")
     .replace("ON rev.order_id = dur.order_id", "ON rev.order_id = dur.order_id AND rev.location = dur.location")) + """
 SELECT location, count(*) AS orders, round(sum(refund_usd), 2) AS refunds FROM decisions GROUP BY location"""
+
+# ---- gold tables merged per day, sketches -----------------------------------------
+
+ORACLE["merged_order_header"] = ORACLE["stream_header_complete"]
+ORACLE["merged_item_sales"] = ORACLE["stream_item_sales_table"]
+ORACLE["merged_brand_sales"] = ORACLE["stream_brand_sales_complete"]
+ORACLE["merged_hourly"] = ORACLE["dash_hourly"].replace("AS revenue", "AS revenue, true AS orders_ok")
+
+ORACLE["orders_by_month_sketch"] = with_(SILVER_A) + """
+SELECT strftime(order_day, '%Y-%m') AS month, count(DISTINCT order_id) AS exact_orders, true AS orders_ok
+FROM silver GROUP BY 1"""
+
+ORACLE["orders_by_brand_sketch"] = with_(SILVER_A) + """
+SELECT CAST(brand_id AS VARCHAR) AS brand, count(DISTINCT order_id) AS exact_orders, true AS orders_ok
+FROM silver GROUP BY 1
+UNION ALL SELECT 'all', count(DISTINCT order_id), true FROM silver"""

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions.output import day_text, money, sorted_text, ts_text
 from ..functions import sql as sql_objects
-from ..operators import delivery, dims, gold, quality, refunds, silver
+from ..operators import delivery, dims, gold, quality, refunds, rollups, silver
 from . import dashboards
 from ..session import cut_lineage, prepare, scratch_path
 from ..sources import fixtures
 from ..sources.events import read_events, read_events_stream, write_events
 from ..sources.tables import load_once
-from ..streaming import layers, stateful
+from ..streaming import layers, merged, stateful
 from ..streaming.sinks import read_aggregate, run_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -655,3 +655,87 @@ def q_refund_two_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = refunds.refund_decisions(ev, header=header)
     return d.groupBy("location").agg(F.count(F.lit(1)).alias("orders"),
                                      money(F.sum("refund_usd")).alias("refunds"))
+
+
+# ---- gold tables merged per day ------------------------------------------------------
+
+MERGE_BATCHES = 4
+
+
+def merged_gold(spark: SparkSession, sf_dir: str, rollup: rollups.Rollup) -> merged.MergedTable:
+    """The events in several files, one micro-batch each, merged into a
+    gold table with a catalog name."""
+    root = scratch_path(spark, f"merged-{rollup.name}".replace("_", "-"))
+    write_events(fixtures.lifecycle_events(spark, sf_dir).repartition(MERGE_BATCHES, F.col("event_id")), f"{root}/landing")
+    database = catalog_layout(root).database
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
+    t = merged.MergedTable(rollup, f"{root}/{rollup.name}", f"{root}/_checkpoints/{rollup.name}",
+                           f"{database}.{rollup.name}")
+    merged.run_merged(silver.order_items(read_events_stream(spark, f"{root}/landing", max_files=1)), t)
+    return t
+
+
+@query("merged_order_header")
+def q_merged_order_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order header read by name after several merged micro-batches."""
+    return header_view(spark.table(merged_gold(spark, sf_dir, rollups.order_header()).name))
+
+
+@query("merged_item_sales")
+def q_merged_item_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = spark.table(merged_gold(spark, sf_dir, rollups.item_sales_day()).name)
+    return t.select("item_id", "menu_id", "category_id", "brand_id", day_text("day").alias("day"), "units_sold",
+                    money("gross_revenue").alias("gross_revenue"))
+
+
+@query("merged_brand_sales")
+def q_merged_brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand/day table from merged sketches, held against the exact count."""
+    t = spark.table(merged_gold(spark, sf_dir, rollups.brand_sales_day()).name)
+    exact = silver_b(spark, sf_dir).groupBy("brand_id", F.col("order_day").alias("day")).agg(
+        F.count_distinct("order_id").alias("exact_orders"))
+    return t.join(exact, ["brand_id", "day"]).select(
+        "brand_id", day_text("day").alias("day"), "items_sold", money("brand_revenue").alias("brand_revenue"),
+        within_bound(F.col("orders"), F.col("exact_orders"), rollups.SKETCH_RSD).alias("orders_ok"))
+
+
+@query("merged_hourly")
+def q_merged_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = spark.table(merged_gold(spark, sf_dir, rollups.location_sales_hourly()).name)
+    exact = exact_orders_hourly(silver_b(spark, sf_dir))
+    return t.join(exact, ["location", "hour_ts"]).select(
+        "location", ts_text("hour_ts").alias("hour_ts"), money("revenue").alias("revenue"),
+        within_bound(F.col("orders"), F.col("exact_orders"), rollups.SKETCH_RSD).alias("orders_ok"))
+
+
+# ---- distinct orders from day sketches -------------------------------------------------
+
+def brand_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brand/day partial table (sums and sketches), as a stored table."""
+    return cut_lineage(rollups.brand_sales_day().partial(silver_a(spark, sf_dir)))
+
+
+@query("orders_by_month_sketch")
+def q_orders_by_month_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders of a month over all brands, from the sketches of days
+    and brands; held against the exact count of the items."""
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    est = rollups.orders_by(brand_parts(spark, sf_dir), month)
+    exact = silver_a(spark, sf_dir).groupBy(F.date_format("order_day", "yyyy-MM").alias("month")).agg(
+        F.count_distinct("order_id").alias("exact_orders"))
+    return exact.join(est, "month").select(
+        "month", "exact_orders", within_bound(F.col("orders"), F.col("exact_orders"), rollups.SKETCH_RSD).alias("orders_ok"))
+
+
+@query("orders_by_brand_sketch")
+def q_orders_by_brand_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders of a brand over all days, and of all brands, from day sketches."""
+    parts = brand_parts(spark, sf_dir)
+    est = rollups.orders_by(parts, F.col("brand_id").cast("string").alias("brand")).unionByName(
+        rollups.orders_by(parts, F.lit("all").alias("brand")))
+    items = silver_a(spark, sf_dir)
+    exact = items.groupBy(F.col("brand_id").cast("string").alias("brand")).agg(
+        F.count_distinct("order_id").alias("exact_orders")).unionByName(
+        items.agg(F.count_distinct("order_id").alias("exact_orders")).withColumn("brand", F.lit("all")))
+    return exact.join(est, "brand").select(
+        "brand", "exact_orders", within_bound(F.col("orders"), F.col("exact_orders"), rollups.SKETCH_RSD).alias("orders_ok"))

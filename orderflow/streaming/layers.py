@@ -13,16 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, silver
+from ..operators.rollups import all_rollups
 from ..schemas import EVENT
 from ..sources.events import read_events_stream
-from .sinks import latest_version, run_aggregate, run_append
+from .merged import ROWS_PER_FILE, MergedTable, read_merged, run_merged
+from .sinks import run_aggregate, run_append
 
 # Gold tables kept in complete mode (the faithful form).
 # Partition column of each, so that a day filter reads that day only.
 PARTITIONS = {"order_header": "order_day", "item_sales_day": "day", "brand_sales_day": "day",
               "location_sales_hourly": "day", "location_sales_windowed": "day"}
 
-# Silver files a micro-batch writes per day, at most.
+# Silver files (and tasks) a micro-batch writes per day, at most: raise it
+# with the size of a day's batch, so that a file has some 100 MB.
 FILES_PER_DAY = 4
 
 COMPLETE_TABLES = {
@@ -57,10 +60,13 @@ class Layout:
         else:
             run_append(df, self.table(name), self.checkpoint(name), partition_by)
 
-    def stream(self, spark: SparkSession, name: str, schema) -> DataFrame:
+    def stream(self, spark: SparkSession, name: str, schema, max_files: int | None = None) -> DataFrame:
+        reader = spark.readStream
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", str(max_files))
         if self.database:
-            return spark.readStream.table(self.table_name(name))
-        return spark.readStream.schema(schema).parquet(self.table(name))
+            return reader.table(self.table_name(name))
+        return reader.schema(schema).parquet(self.table(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """Batch read of an append layer."""
@@ -88,20 +94,26 @@ def bronze_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     return layout.stream(spark, "bronze", EVENT)
 
 
-def run_silver(spark: SparkSession, layout: Layout, strict: bool = False) -> str:
+def run_silver(spark: SparkSession, layout: Layout, strict: bool = False,
+               files_per_day: int = FILES_PER_DAY) -> str:
     """Bronze stream -> item rows, partitioned by order_day (append)."""
     items = silver.order_items(bronze_stream(spark, layout), strict)
-    # A backfill of many days would else write tasks x days small files.
-    items = items.repartition("order_day", F.pmod(F.xxhash64("order_id"), F.lit(FILES_PER_DAY)))
+    # A backfill of many days would else write tasks x days small files.  A
+    # day's rows go to ``files_per_day`` different tasks (fewer only if there are fewer).
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("order_id"), F.lit(files_per_day))
+    items = items.repartitionById(tasks, F.pmod(
+        F.pmod(F.xxhash64("order_day"), F.lit(tasks)) + share, F.lit(tasks)).cast("int"))
     layout.append(spark, items, "silver", partition_by=["order_day"])
     return layout.table("silver")
 
 
-def silver_stream(spark: SparkSession, layout: Layout) -> DataFrame:
-    return layout.stream(spark, "silver", silver_schema(spark))
+def silver_stream(spark: SparkSession, layout: Layout, max_files: int | None = None) -> DataFrame:
+    return layout.stream(spark, "silver", silver_schema(spark), max_files)
 
 
-def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool = True) -> dict:
+def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool = True,
+             max_files: int | None = None) -> dict:
     """Gold tables from the silver stream.
 
     The four complete-mode tables rewrite their result each batch (state
@@ -110,11 +122,9 @@ def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool =
     """
     out = {}
     for name in (COMPLETE_TABLES if tables is None else tables):
-        run_aggregate(COMPLETE_TABLES[name](silver_stream(spark, layout)), layout.table(name),
-                      layout.checkpoint(name), [PARTITIONS[name]])
-        if layout.database:  # readable by name: the newest version
-            version = latest_version(spark, layout.table(name))
-            spark.sql(f"CREATE OR REPLACE VIEW {layout.table_name(name)} AS SELECT * FROM parquet.`{version}`")
+        run_aggregate(COMPLETE_TABLES[name](silver_stream(spark, layout, max_files)), layout.table(name),
+                      layout.checkpoint(name), [PARTITIONS[name]],
+                      name=layout.table_name(name) if layout.database else None)
         out[name] = layout.table(name)
     if windowed:
         hourly = gold.location_sales_windowed(silver_stream(spark, layout)).withColumn(
@@ -124,6 +134,27 @@ def run_gold(spark: SparkSession, layout: Layout, tables=None, windowed: bool =
     return out
 
 
+def run_gold_merged(spark: SparkSession, layout: Layout, tables=None, max_files: int | None = None,
+                    rows_per_file: int = ROWS_PER_FILE) -> dict[str, MergedTable]:
+    """Gold tables from the silver stream, merged per day (see ``merged``):
+    each micro-batch writes the days it touches, and nothing else."""
+    out = {}
+    rollups = all_rollups()
+    for name in (rollups if tables is None else tables):
+        by_name = layout.table_name(name) if layout.database else None
+        out[name] = MergedTable(rollups[name], layout.table(f"{name}_merged"), layout.checkpoint(f"{name}_merged"),
+                                by_name, rows_per_file=rows_per_file)
+        run_merged(silver_stream(spark, layout, max_files), out[name])
+    return out
+
+
+def merged_table(spark: SparkSession, layout: Layout, name: str, days=None) -> DataFrame:
+    """A merged gold table by its ledger (``days``: ISO texts, only these are read)."""
+    rollup = all_rollups()[name]
+    schema = rollup.partial(spark.createDataFrame([], silver_schema(spark))).schema
+    return read_merged(spark, layout.table(f"{name}_merged"), rollup, schema, days)
+
+
 def run_layers(spark: SparkSession, landing: str, root: str, max_files: int | None = None,
                tables=None, windowed: bool = True, database: str | None = None) -> Layout:
     """Run bronze, silver and gold one after the other."""

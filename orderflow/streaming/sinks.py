@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def _finish(q: StreamingQuery) -> StreamingQuery:
+def finish(q: StreamingQuery) -> StreamingQuery:
+    """Wait for a one-shot run; its failure is raised here."""
     q.awaitTermination()
     err = q.exception()
     if err is not None:
@@ -33,11 +34,12 @@ def run_append(df: DataFrame, path: str | None, checkpoint: str,
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.toTable(table) if table else w.start(path)
-    return _finish(q)
+    return finish(q)
 
 
 def run_aggregate(df: DataFrame, path: str, checkpoint: str,
-                  partition_by: list[str] | None = None, keep_versions: int = 2) -> StreamingQuery:
+                  partition_by: list[str] | None = None, keep_versions: int = 2,
+                  name: str | None = None) -> StreamingQuery:
     """Keep a streaming aggregate as a table in complete mode.
 
     File sinks reject complete mode, so each micro-batch writes the full
@@ -47,7 +49,9 @@ def run_aggregate(df: DataFrame, path: str, checkpoint: str,
     see a half-written table.  Versions older than the newest
     ``keep_versions`` are deleted after each commit, so storage holds a
     bounded number of copies (a reader still on the previous version is
-    not cut off when ``keep_versions >= 2``).
+    not cut off when ``keep_versions >= 2``).  ``name`` is a catalog view
+    of the newest version; each commit moves it on before it deletes, so
+    it never names a deleted folder, also in a run that fails midway.
     """
     def write_version(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/v{batch_id:012d}"
@@ -58,12 +62,14 @@ def run_aggregate(df: DataFrame, path: str, checkpoint: str,
         (batch.sparkSession.range(1)
          .select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(target).alias("path"))
          .write.mode("overwrite").json(f"{path}/_commits/b{batch_id:012d}"))
+        if name:
+            batch.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{target}`")
         if keep_versions and batch_id >= keep_versions:
             _delete_older(batch.sparkSession, path, batch_id - keep_versions + 1)
 
     q = (df.writeStream.outputMode("complete").foreachBatch(write_version)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    return _finish(q)
+    return finish(q)
 
 
 def _delete_older(spark: SparkSession, path: str, first_kept: int) -> None:
