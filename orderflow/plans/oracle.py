@@ -518,3 +518,47 @@ ORACLE["orders_by_brand_sketch"] = with_(SILVER_A) + """
 SELECT CAST(brand_id AS VARCHAR) AS brand, count(DISTINCT order_id) AS exact_orders, true AS orders_ok
 FROM silver GROUP BY 1
 UNION ALL SELECT 'all', count(DISTINCT order_id), true FROM silver"""
+
+# ---- stateful orders over several loads ---------------------------------------------
+
+# One load holds all input: the watermark ends at the latest time less three
+# hours, and timers (in milliseconds) that lie before it have fired.
+ORACLE["orders_expiring"] = with_(EVENTS_B) + f""",
+o AS (
+  SELECT order_id, min(location) AS location, count(*) AS n_events,
+         md5(string_agg(event_type || '|' || strftime(ts, {TS}) || '|' || {BODY_B}, chr(10)
+                        ORDER BY ts, event_type, {BODY_B})) AS events_md5,
+         strftime(min(ts), {TS}) AS first_ts, strftime(max(ts), {TS}) AS last_ts,
+         max(CASE WHEN event_type = 'delivered' THEN 1 ELSE 0 END) AS done,
+         epoch_ms(max(ts)) + 2 * 86400000 < (SELECT epoch_ms(max(ts)) - 3 * 3600000 FROM ev) AS due
+  FROM ev GROUP BY order_id)
+SELECT order_id, location, 'delivered' AS outcome, n_events, events_md5, first_ts, last_ts FROM o WHERE done = 1
+UNION ALL SELECT order_id, location, 'expired', n_events, events_md5, first_ts, last_ts FROM o WHERE done = 0 AND due
+UNION ALL SELECT order_id, location, 'forgotten', 0, md5(''), NULL, NULL FROM o WHERE done = 1 AND due"""
+
+# An order's events belong to the release of the first load, at or after
+# their own, that delivers it.
+ORACLE["completed_orders_seeded"] = with_(EVENTS_B) + f""",
+l AS (SELECT *, hour(ts) // 8 AS load FROM ev),
+d AS (SELECT DISTINCT order_id, load AS release FROM l WHERE event_type = 'delivered'),
+r AS (SELECT l.*, (SELECT min(release) FROM d WHERE d.order_id = l.order_id AND release >= l.load) AS release FROM l)
+SELECT order_id, min(location) AS location, count(*) AS n_events,
+       md5(string_agg(event_type || '|' || strftime(ts, {TS}) || '|' || {BODY_B}, chr(10)
+                      ORDER BY ts, event_type, {BODY_B})) AS events_md5,
+       strftime(min(ts), {TS}) AS first_ts, strftime(max(ts), {TS}) AS last_ts
+FROM r WHERE release IS NOT NULL GROUP BY order_id, release"""
+
+ORACLE["event_sequence_stream"] = ORACLE["event_sequence"]
+
+ORACLE["orders_opened_closed"] = with_(EVENTS_B) + """,
+l AS (
+  SELECT order_id, b.batch, count(*) FILTER (WHERE hour(ts) // 8 = b.batch) > 0 AS has,
+         count(*) FILTER (WHERE hour(ts) // 8 = b.batch AND event_type = 'delivered') > 0 AS done
+  FROM ev, (SELECT unnest(range(3)) AS batch) b GROUP BY order_id, b.batch),
+p AS (SELECT *, max(CASE WHEN done THEN batch END) OVER w AS last_done, max(CASE WHEN has THEN batch END) OVER w AS last_has
+      FROM l WINDOW w AS (PARTITION BY order_id ORDER BY batch)),
+o AS (SELECT order_id, batch, coalesce(last_has > coalesce(last_done, -1), false) AS held FROM p),
+c AS (SELECT *, coalesce(lag(held) OVER (PARTITION BY order_id ORDER BY batch), false) AS was FROM o)
+SELECT batch AS batch_id, count(*) FILTER (WHERE held AND NOT was) AS opened,
+       count(*) FILTER (WHERE was AND NOT held) AS closed, count(*) FILTER (WHERE held) AS open_after
+FROM c GROUP BY batch"""

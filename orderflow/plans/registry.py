@@ -447,11 +447,11 @@ def q_stream_hourly_windowed_append(spark: SparkSession, sf_dir: str) -> DataFra
 
 # ---- step 7: stateful orders ---------------------------------------------------
 
-def order_summary(df: DataFrame) -> DataFrame:
+def order_summary(df: DataFrame, *more: str) -> DataFrame:
     """Counts, times and a hash of the ordered (type, time, body) lines."""
     ts = F.transform("events", lambda e: e["ts"])
     lines = F.transform("events", lambda e: F.concat_ws("|", e["event_type"], ts_text(e["ts"]), e["body"]))
-    return df.select("order_id", "location", F.size("events").cast("bigint").alias("n_events"),
+    return df.select("order_id", "location", *more, F.size("events").cast("bigint").alias("n_events"),
                      F.md5(F.array_join(lines, "\n")).alias("events_md5"),
                      ts_text(F.array_min(ts)).alias("first_ts"),
                      ts_text(F.array_max(ts)).alias("last_ts"))
@@ -739,3 +739,63 @@ def q_orders_by_brand_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.agg(F.count_distinct("order_id").alias("exact_orders")).withColumn("brand", F.lit("all")))
     return exact.join(est, "brand").select(
         "brand", "exact_orders", within_bound(F.col("orders"), F.col("exact_orders"), rollups.SKETCH_RSD).alias("orders_ok"))
+
+
+# ---- stateful orders over several loads ------------------------------------------------
+
+#: Hours of the day that land together, one load after the other.
+LOADS = ((0, 8), (8, 16), (16, 24))
+
+
+def load_of(spark: SparkSession, sf_dir: str, hours: tuple[int, int]) -> DataFrame:
+    """Events of some hours of every day."""
+    hour = F.substring("ts", 12, 2).cast("int")
+    return fixtures.lifecycle_events(spark, sf_dir).filter((hour >= hours[0]) & (hour < hours[1]))
+
+
+def run_in_loads(spark: SparkSession, sf_dir: str, tag: str, stream, loads=LOADS) -> tuple[str, str]:
+    """Land and run the loads in turn; (output, checkpoint)."""
+    root = scratch_path(spark, tag)
+    for hours in loads:
+        write_events(load_of(spark, sf_dir, hours), f"{root}/landing")
+        run_append(stream(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/_checkpoint")
+    return f"{root}/out", f"{root}/_checkpoint"
+
+
+@query("orders_expiring")
+def q_orders_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered orders, orders given up two days after their latest event,
+    and flags of delivered orders dropped after the same time."""
+    out, _ = run_in_loads(spark, sf_dir, "stateful-expiring", stateful.expiring_orders, [(0, 24)])
+    return order_summary(spark.read.parquet(out), "outcome")
+
+
+@query("completed_orders_seeded")
+def q_completed_orders_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first load as a batch: its delivered orders, and its open orders
+    as the initial state of the stream of the later loads."""
+    history = cut_lineage(load_of(spark, sf_dir, LOADS[0]))
+    opened = stateful.open_orders_batch(history)
+    out, _ = run_in_loads(spark, sf_dir, "stateful-seeded",
+                          lambda s: stateful.completed_orders(s, opened=opened), LOADS[1:])
+    return order_summary(stateful.completed_orders_batch(history)).unionByName(order_summary(spark.read.parquet(out)))
+
+
+@query("event_sequence_stream")
+def q_event_sequence_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event numbers that go on from load to load."""
+    out, _ = run_in_loads(spark, sf_dir, "stateful-sequence", stateful.numbered_events)
+    return spark.read.parquet(out)
+
+
+@query("orders_opened_closed")
+def q_orders_opened_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders opened and closed by each load (change feed of the state), and
+    orders open after it (state as of that batch)."""
+    _, ckpt = run_in_loads(spark, sf_dir, "stateful-changes", stateful.completed_orders)
+    open_after = reduce(DataFrame.unionByName, [
+        stateful.orders_in_progress(spark, ckpt, b).agg(F.count(F.lit(1)).alias("open_after"))
+        .select(F.lit(b).cast("bigint").alias("batch_id"), "open_after") for b in range(len(LOADS))])
+    changes = stateful.orders_opened_closed(spark, ckpt).groupBy("batch_id").agg(
+        *[F.count(F.when(F.col("change") == c, 1)).alias(c) for c in ("opened", "closed")])
+    return changes.join(open_after, "batch_id")

@@ -83,6 +83,12 @@ COMPLETED_STATE = T.StructType([
     ]))),
 ])
 
+# What the collector with timers hands out.
+EXPIRING_STATE = T.StructType(COMPLETED_STATE.fields + [T.StructField("outcome", T.StringType())])
+
+# Events with their number, in the order the numberer hands them out.
+NUMBERED = T.StructType([f for f in EVENT.fields if f.name != "sequence"] + [T.StructField("sequence", T.LongType())])
+
 # Dimension tables, as declared (ids BIGINT).
 DIM_SCHEMAS = {
     "brand": T.StructType([

@@ -17,20 +17,24 @@ from __future__ import annotations
 import numbers
 import sys
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import parse_ts
-from ..schemas import COMPLETED_STATE, STATE_EVENT
+from ..schemas import COMPLETED_STATE, EVENT, EXPIRING_STATE, NUMBERED, STATE_EVENT
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_VAR = "events"
 CLOSED_VAR = "closed"
+DEADLINE_VAR = "deadline"
+NEXT_VAR = "next"
 STATE_COLUMNS = ["event_type", "ts", "body", "order_id", "location"]
+EVENT_COLUMNS = EVENT.names
 
 # The processors run in Python workers.  Pickle this module's classes and
 # helpers by value, so executors need no copy of the package installed.
@@ -102,6 +106,101 @@ class OrderEventCollector(StatefulProcessor):
         pass
 
 
+class SeededOrderEventCollector(OrderEventCollector):
+    """The collector, started from orders that were open before the stream:
+    one initial row per order, with its events as state rows."""
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.events.appendList([tuple(e[c] for c in STATE_COLUMNS) for e in initialState.events])
+
+
+class ExpiringOrderEventCollector(StatefulProcessor):
+    """The collector with an event-time timer per order.
+
+    The timer stands ``delay_ms`` after the latest event of the order.  If
+    it fires before the order is delivered, the order is handed out as
+    ``expired`` with the events it has; after delivery it removes the flag
+    that keeps later events out and hands out ``forgotten``.  So no state
+    outlives the watermark by more than the delay.  Orders whose events
+    carry no time count from the watermark of the batch that brings them.
+    """
+
+    def __init__(self, delay_ms: int):
+        self.delay_ms = delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState(STATE_VAR, STATE_EVENT)
+        self.closed = handle.getValueState(CLOSED_VAR, "location string")
+        self.deadline = handle.getValueState(DEADLINE_VAR, "ms bigint")
+
+    def _move_timer(self, new: list, timerValues) -> None:
+        times = [e[1] // 1000 for e in new if e[1] is not None]
+        due = (max(times) if times else timerValues.getCurrentWatermarkInMs()) + self.delay_ms
+        old = self.deadline.get()[0] if self.deadline.exists() else None
+        if old is not None and old >= due:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(due)
+        self.deadline.update((due,))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = [(r.event_type, r.ts, r.body, r.order_id, r.location) for r in rows]
+        if self.closed.exists():  # released before: late events stay out, and the flag waits no longer for them
+            return
+        self._move_timer(new, timerValues)
+        if not any(e[0] == "delivered" for e in new):
+            self.events.appendList(new)
+            return
+        order_id, location, stored = _release(key, list(self.events.get()), new)
+        self.events.clear()
+        self.closed.update((location,))
+        yield self._row(order_id, location, "delivered", stored)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.deadline.clear()
+        if self.closed.exists():
+            location = self.closed.get()[0]
+            self.closed.clear()
+            yield self._row(key[0], location, "forgotten", [])
+            return
+        order_id, location, stored = _release(key, list(self.events.get()), [])
+        self.events.clear()
+        yield self._row(order_id, location, "expired", stored)
+
+    @staticmethod
+    def _row(order_id, location, outcome, stored) -> Row:
+        return Row(order_id=order_id, location=location,
+                   events=[Row(event_type=e[0], ts=e[1], body=e[2]) for e in stored], outcome=outcome)
+
+    def close(self) -> None:
+        pass
+
+
+class SequenceNumberer(StatefulProcessor):
+    """Numbers an order's events 0, 1, 2, ... across micro-batches.
+
+    A micro-batch is numbered by time, then event id (none last), as
+    ``quality.with_sequence`` does; numbers go on where the last batch of
+    the order ended.  State is one counter per order.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.next = handle.getValueState(NEXT_VAR, "n bigint")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        n = self.next.get()[0] if self.next.exists() else 0
+        batch = sorted(rows, key=lambda r: (r.at is None, r.at or 0, r.event_id is None, r.event_id or ""))
+        for r in batch:
+            yield Row(**{c: r[c] for c in EVENT_COLUMNS if c != "sequence"}, sequence=n)
+            n += 1
+        self.next.update((n,))
+
+    def close(self) -> None:
+        pass
+
+
 class PandasOrderEventCollector(StatefulProcessor):
     """The same collector on pandas frames (``transformWithStateInPandas``).
 
@@ -134,9 +233,13 @@ class PandasOrderEventCollector(StatefulProcessor):
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store provider."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """transformWithState needs the RocksDB state store provider; with
+    changelog checkpoints a batch uploads its changes only, and they can be
+    read back (``orders_opened_closed``)."""
+    for key, value in (("spark.sql.streaming.stateStore.providerClass", ROCKSDB),
+                       ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
 
 def state_input(events: DataFrame, strict: bool = True) -> DataFrame:
@@ -160,13 +263,15 @@ def _with_times(df: DataFrame) -> DataFrame:
 
 
 def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool = False,
-                     remember_delivered: bool = False) -> DataFrame:
+                     remember_delivered: bool = False, opened: DataFrame | None = None) -> DataFrame:
     """Stream of delivered orders with all their events (append).
 
     Keyed by order_id (one shuffle to the state partitions), no timers.
     ``pandas=True`` runs the pandas form of the processor;
     ``remember_delivered=True`` drops events that arrive after an order
-    was released (see ``OrderEventCollector``).
+    was released (see ``OrderEventCollector``).  ``opened`` (see
+    ``open_orders_batch``) fills the state of a new stream with orders that
+    were open before it; a restart from the checkpoint does not read it.
     """
     use_rocksdb(events_stream.sparkSession)
     grouped = state_input(events_stream, strict).groupBy("order_id")
@@ -174,11 +279,50 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
         return _with_times(grouped.transformWithStateInPandas(
             statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED_STATE,
             outputMode="Append", timeMode="None"))
+    if opened is not None:
+        return _with_times(grouped.transformWithState(
+            statefulProcessor=SeededOrderEventCollector(remember_delivered), outputStructType=COMPLETED_STATE,
+            outputMode="Append", timeMode="None", initialState=opened.groupBy("order_id")))
     return _with_times(grouped.transformWithState(
         statefulProcessor=OrderEventCollector(remember_delivered),
         outputStructType=COMPLETED_STATE, outputMode="Append", timeMode="None"))
 
 
+def expiring_orders(events_stream: DataFrame, delay: timedelta = timedelta(days=2), lateness: str = "3 hours",
+                    strict: bool = True) -> DataFrame:
+    """Stream of orders with their ``outcome``: delivered, expired (not
+    delivered within ``delay`` of their latest event) and forgotten (the
+    flag of a delivered order is dropped after the same delay).
+
+    ``lateness`` is the watermark; timers fire once it has passed them.
+    """
+    use_rocksdb(events_stream.sparkSession)
+    rows = state_input(events_stream, strict).withColumn("at", F.timestamp_micros("ts")).withWatermark("at", lateness)
+    return _with_times(rows.groupBy("order_id").transformWithState(
+        statefulProcessor=ExpiringOrderEventCollector(int(delay.total_seconds() * 1000)),
+        outputStructType=EXPIRING_STATE, outputMode="Append", timeMode="EventTime"))
+
+
+def numbered_events(events_stream: DataFrame) -> DataFrame:
+    """Stream of events with their 0-based position in the order (see
+    ``SequenceNumberer``).  Events without an order id have no number."""
+    use_rocksdb(events_stream.sparkSession)
+    own = events_stream.filter(F.col("order_id").isNotNull()).withColumn("at", F.unix_micros(parse_ts("ts")))
+    numbered = own.groupBy("order_id").transformWithState(
+        statefulProcessor=SequenceNumberer(), outputStructType=NUMBERED, outputMode="Append", timeMode="None")
+    rest = events_stream.filter(F.col("order_id").isNull()).withColumn("sequence", F.lit(None).cast("bigint"))
+    return numbered.select(*EVENT_COLUMNS).unionByName(rest.select(*EVENT_COLUMNS))
+
+
+def open_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
+    """(order_id, events): orders without a delivered event, as state rows
+    for ``completed_orders(opened=...)``."""
+    s = state_input(events, strict)
+    delivered = s.filter(F.col("event_type") == "delivered").select("order_id").distinct()
+    return s.join(delivered, "order_id", "left_anti").groupBy("order_id").agg(
+        F.collect_list(F.struct(*STATE_COLUMNS)).alias("events"))
+
+
 def _ordered(event_type, ts, body, location):
     """An order's events as one array in the collector's event order."""
     return F.sort_array(F.collect_list(F.struct(
@@ -197,14 +341,42 @@ def completed_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
     return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))
 
 
-def orders_in_progress(spark: SparkSession, checkpoint: str) -> DataFrame:
+def orders_in_progress(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """Orders still held in the collector's state, with their events.
 
     Reads the list state from the checkpoint (state data source, one row
-    per element) and regroups it per order.
+    per element) and regroups it per order; ``batch_id`` reads the state as
+    it was after that batch instead of the newest.
     """
-    st = (spark.read.format("statestore").option("stateVarName", STATE_VAR).load(checkpoint))
+    reader = spark.read.format("statestore").option("stateVarName", STATE_VAR)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
     e = F.col("list_element")
-    g = st.groupBy(F.col("key.order_id").alias("order_id")).agg(
+    g = reader.load(checkpoint).groupBy(F.col("key.order_id").alias("order_id")).agg(
         _ordered(e["event_type"], e["ts"], e["body"], e["location"]).alias("events"))
     return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))
+
+
+def orders_opened_closed(spark: SparkSession, checkpoint: str, first_batch: int = 0) -> DataFrame:
+    """(batch_id, order_id, change): what each batch did to the collector's
+    state: ``opened`` (events held where none were) or ``closed``.
+
+    Read from the change feed of the state store, whose size is that of the
+    batches, not of the state.  A batch either adds to an order's list or
+    clears it, so an order was opened where its last change before was no
+    addition.  From a later ``first_batch`` on, an order's first addition
+    is taken for an opening unless it was open before that batch.
+    """
+    feed = (spark.read.format("statestore").option("stateVarName", STATE_VAR).option("readChangeFeed", True)
+            .option("changeStartBatchId", first_batch).load(checkpoint))
+    held = F.max((F.col("change_type") != "delete").cast("int")).alias("held")
+    changes = feed.groupBy(F.col("key.order_id").alias("order_id"), "batch_id").agg(held)
+    if first_batch:
+        before = spark.read.format("statestore").option("stateVarName", STATE_VAR).option(
+            "batchId", first_batch - 1).load(checkpoint)
+        changes = changes.unionByName(before.groupBy(F.col("key.order_id").alias("order_id")).agg(
+            F.lit(first_batch - 1).cast("bigint").alias("batch_id"), F.lit(1).alias("held")))
+    w = Window.partitionBy("order_id").orderBy("batch_id")
+    moved = changes.withColumn("was", F.coalesce(F.lag("held").over(w), F.lit(0))).filter("held <> was")
+    return moved.filter(F.col("batch_id") >= first_batch).select(
+        "batch_id", "order_id", F.when(F.col("held") == 1, "opened").otherwise("closed").alias("change"))
