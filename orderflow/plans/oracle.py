@@ -562,3 +562,42 @@ c AS (SELECT *, coalesce(lag(held) OVER (PARTITION BY order_id ORDER BY batch),
 SELECT batch AS batch_id, count(*) FILTER (WHERE held AND NOT was) AS opened,
        count(*) FILTER (WHERE was AND NOT held) AS closed, count(*) FILTER (WHERE held) AS open_after
 FROM c GROUP BY batch"""
+
+# ---- stored day summaries ---------------------------------------------------------
+
+ORACLE["percentiles_by_sketch"] = with_(EVENTS_B, ORDER_TIMES_B) + """,
+t AS (SELECT * FROM order_times WHERE order_created_time IS NOT NULL AND delivered_time IS NOT NULL)
+SELECT 'all' AS days, location, count(*) AS orders, true AS P50_ok, true AS P75_ok, true AS P99_ok FROM t GROUP BY location
+UNION ALL
+SELECT 'range', location, count(*), true, true, true FROM t
+WHERE order_created_time >= TIMESTAMP '2024-01-20' GROUP BY location"""
+
+ORACLE["stage_summary_merged"] = ORACLE["stage_summary"]
+
+# ---- routed streams -----------------------------------------------------------------
+
+# Before a load, the watermark is the latest time of the earlier loads
+# (whole milliseconds) less three hours.
+ORACLE["late_rows_routed"] = with_(EVENTS_B, SILVER_B) + """,
+l AS (SELECT *, hour(order_ts) // 8 AS load FROM silver),
+m AS (SELECT load, max(order_ts) FILTER (WHERE location <> 'loc1') AS latest FROM l GROUP BY load),
+w AS (SELECT a.load, date_trunc('millisecond', max(b.latest)) - INTERVAL 3 HOUR AS closed
+      FROM m a LEFT JOIN m b ON b.load < a.load GROUP BY a.load),
+r AS (SELECT CASE WHEN location = 'loc1' THEN 'no_time'
+                  WHEN date_trunc('hour', order_ts) + INTERVAL 1 HOUR <= closed THEN 'late' ELSE 'on_time' END AS route,
+             extended_price FROM l JOIN w USING (load))
+SELECT route, count(*) AS rows, round(sum(extended_price), 2) AS revenue, count(*) AS ledger_rows FROM r GROUP BY route"""
+
+ORACLE["events_quarantined"] = with_(EVENTS_B) + """,
+r AS (SELECT CASE substr(event_id, 1, 1) WHEN '0' THEN 'broken' WHEN '1' THEN 'blank' WHEN '2' THEN 'broken'
+                  WHEN '3' THEN 'wrong_type' ELSE 'good' END AS route, event_id FROM ev)
+SELECT route, count(*) AS lines, count(DISTINCT CASE WHEN route = 'good' THEN event_id END) AS events,
+       count(*) FILTER (WHERE route <> 'good') AS kept_lines, (SELECT count(*) FROM ev) AS lines_in
+FROM r GROUP BY route"""
+
+# ---- the log clustered by order -------------------------------------------------------
+
+ORACLE["log_order_header"] = ORACLE["stream_header_complete"]
+ORACLE["log_order_times"] = ORACLE["order_times"]
+ORACLE["log_event_sequence"] = ORACLE["event_sequence"]
+ORACLE["log_completed_orders"] = ORACLE["completed_orders"]

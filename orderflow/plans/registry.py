@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from ..functions.output import day_text, money, sorted_text, ts_text
 from ..functions import sql as sql_objects
-from ..operators import delivery, dims, gold, quality, refunds, rollups, silver
+from ..functions.time import minutes_between
+from ..operators import delivery, dims, gold, quality, refunds, rollups, silver, sketches
 from . import dashboards
 from ..session import cut_lineage, prepare, scratch_path
 from ..sources import fixtures
-from ..sources.events import read_events, read_events_stream, write_events
-from ..sources.tables import load_once
-from ..streaming import layers, merged, stateful
+from ..sources.events import read_events, read_events_stream, read_lines_stream, write_events
+from ..sources.tables import load_once, write_event_log
+from ..streaming import layers, merged, routed, stateful
 from ..streaming.sinks import read_aggregate, run_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -799,3 +800,129 @@ def q_orders_opened_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = stateful.orders_opened_closed(spark, ckpt).groupBy("batch_id").agg(
         *[F.count(F.when(F.col("change") == c, 1)).alias(c) for c in ("opened", "closed")])
     return changes.join(open_after, "batch_id")
+
+
+# ---- stored day summaries ----------------------------------------------------------------
+
+def stored_days(df: DataFrame, tag: str) -> DataFrame:
+    """A day table on shared storage, partitioned by day, and read back."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.partitionBy("day").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@query("percentiles_by_sketch")
+def q_percentiles_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery percentiles of all days and of a range of days from day
+    sketches.  Each is a value whose exact ranks (share of orders below it,
+    and up to it) enclose the rank asked for, but for the rank error."""
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    days = stored_days(sketches.duration_sketches(ev), "duration-sketches")
+    ranges = {"all": F.lit(True), "range": F.col("day") >= DAY_B}
+    t = delivery.order_times(ev).filter("order_created_time IS NOT NULL AND delivered_time IS NOT NULL").select(
+        "location", F.to_date("order_created_time").alias("day"),
+        minutes_between("order_created_time", "delivered_time").alias("m"))
+    names = dict(zip(("P50", "P75", "P99"), delivery.QUANTILES))
+    parts = []
+    for name, chosen in ranges.items():
+        got = sketches.percentiles_of(days.filter(chosen), F.col("location"))
+        ranks = t.filter(chosen).join(got, "location").groupBy("location", "orders").agg(*[
+            F.avg(c.cast("int")).alias(f"{n}_{k}") for n in names
+            for k, c in (("below", F.col("m") < F.col(n)), ("upto", F.col("m") <= F.col(n)))])
+        e = sketches.KLL_RANK_ERROR
+        parts.append(ranks.select(F.lit(name).alias("days"), "location", "orders", *[
+            ((F.col(f"{n}_below") <= q + e) & (F.col(f"{n}_upto") >= q - e)).alias(f"{n}_ok") for n, q in names.items()]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("stage_summary_merged")
+def q_stage_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage means and deviations from day moments of three loads."""
+    ev = fixtures.lifecycle_events(spark, sf_dir)
+    path = scratch_path(spark, "stage-moments")
+    load = F.pmod(F.dayofyear(F.to_date("ts")), F.lit(3))
+    for k in range(3):
+        part = sketches.stage_moments(ev.filter(load == k))
+        part.write.mode("append").partitionBy("day").parquet(path)
+    d = sketches.moments_summary(spark.read.schema(part.schema).parquet(path), "location")
+    return d.select(*[money(c, 4).alias(c) if c.endswith(("_mean", "_std")) else F.col(c) for c in d.columns])
+
+
+# ---- routed streams ------------------------------------------------------------------------
+
+@query("late_rows_routed")
+def q_late_rows_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rows of three loads by route: on time, late for a closed hour,
+    without a time (one location writes broken times)."""
+    root = scratch_path(spark, "late-rows")
+    table = routed.late_rows(f"{root}/routed", f"{root}/_checkpoint")
+    for hours in LOADS:
+        part = load_of(spark, sf_dir, hours)
+        write_events(part.withColumn("ts", F.when(F.col("location") != "loc1", F.col("ts")).otherwise("not a time")),
+                     f"{root}/landing")
+        table.run(silver.order_items(read_events_stream(spark, f"{root}/landing")))
+    rows = table.read(spark, layers.silver_schema(spark))
+    totals = table.ledger(spark)["totals"]
+    counted = F.create_map(*[F.lit(x) for n in table.names for x in (n, totals[n])])
+    return rows.groupBy("route").agg(F.count(F.lit(1)).alias("rows"), money(F.sum("extended_price")).alias("revenue")).select(
+        "route", "rows", "revenue", counted[F.col("route")].cast("bigint").alias("ledger_rows"))
+
+
+def _spoilt_lines(events: DataFrame) -> DataFrame:
+    """Event lines, some cut off, some blank, no object, or of a wrong type."""
+    kind = F.substring("event_id", 1, 1)
+    line = F.to_json(F.struct(*events.columns))
+    return events.select(
+        F.when(kind == "0", F.expr("substring(to_json(struct(*)), 1, 40)")).when(kind == "1", F.lit("  "))
+        .when(kind == "2", F.concat(F.lit("["), line, F.lit("]")))
+        .when(kind == "3", F.concat(F.lit('{"sequence": "first", "event_id": "'), F.col("event_id"), F.lit('"}')))
+        .otherwise(line).alias("value"))
+
+
+@query("events_quarantined")
+def q_events_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a log with planted faults by what became of them; all lines
+    of the log are accounted for."""
+    root = scratch_path(spark, "quarantine")
+    _spoilt_lines(fixtures.lifecycle_events(spark, sf_dir)).write.text(f"{root}/landing")
+    table = routed.quarantine(f"{root}/routed", f"{root}/_checkpoint")
+    lines = routed.event_lines(read_lines_stream(spark, f"{root}/landing"))
+    table.run(lines)
+    rows = table.read(spark, lines.schema)
+    total = table.ledger(spark)["totals"]["input"]
+    return rows.groupBy("route").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("event_id").alias("events"),
+        F.count("line").alias("kept_lines")).withColumn("lines_in", F.lit(total).cast("bigint"))
+
+
+# ---- the log clustered by order ---------------------------------------------------------------
+
+def clustered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lifecycle events as a table bucketed and sorted by order_id."""
+    root = scratch_path(spark, "event-log")
+    name = "event_log_" + root.rsplit("-", 1)[-1]
+    write_event_log(fixtures.lifecycle_events(spark, sf_dir), name, root,
+                    int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.table(name)
+
+
+@query("log_order_header")
+def q_log_order_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return header_view(gold.order_header(silver.order_items(clustered_log(spark, sf_dir))))
+
+
+@query("log_order_times")
+def q_log_order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = delivery.order_times(clustered_log(spark, sf_dir))
+    return t.select("order_id", "location", ts_text("order_created_time").alias("order_created_time"),
+                    ts_text("delivered_time").alias("delivered_time"))
+
+
+@query("log_event_sequence")
+def q_log_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.with_sequence(clustered_log(spark, sf_dir))
+
+
+@query("log_completed_orders")
+def q_log_completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_summary(stateful.completed_orders_batch(clustered_log(spark, sf_dir)))

@@ -37,3 +37,11 @@ def write_events(df: DataFrame, path: str, mode: str = "append",
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)
+
+
+def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Lines of event files as text (column ``value``), nothing parsed yet."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.text(path)
