@@ -40,8 +40,8 @@ def register_functions(spark: SparkSession, events_table: str,
         "get_order_delivery_time": (
             "oid STRING", "order_id STRING, creation_time TIMESTAMP, delivery_time TIMESTAMP, "
                           "duration_minutes FLOAT",
-            "SELECT oid, b.* FROM (SELECT max(creation_time), max(delivery_time), max(duration_minutes) "
-            f"FROM {durations} d WHERE d.order_id = oid) b"),
+            "SELECT k.oid, d.creation_time, d.delivery_time, d.duration_minutes "
+            f"FROM (SELECT oid) k LEFT JOIN {durations} d ON d.order_id = k.oid"),
         "get_location_timings": (
             "loc STRING", "location STRING, P50 FLOAT, P75 FLOAT, P99 FLOAT",
             f"SELECT location, P50, P75, P99 FROM {view} v WHERE v.location = loc"),

@@ -61,50 +61,52 @@ def load_dims(spark: SparkSession, dims: dict[str, DataFrame], database: str,
     return loaded
 
 
-def _row(table: str, rule: str, column: str, violations) -> list:
-    return [F.lit(table).alias("table"), F.lit(rule).alias("rule"),
-            F.lit(column).alias("column"), violations.cast("bigint").alias("violations")]
-
-
 def check_integrity(dims: dict[str, DataFrame]) -> DataFrame:
     """Declared constraints as a check job: one row per (table, rule, column).
 
-    Per table, one aggregation by primary key counts rows per key and the
-    NULLs of every required column (partial aggregation, so a hot key
-    costs one row per task); a second, global aggregation turns that into
-    the not_null and primary_key violations.  A foreign key reduces the
-    child to (key, rows), anti-joins it with the parent's key set from the
-    same per-key aggregation, and sums the orphan rows.
+    Every row of a table gives one fact for its primary key, one for each
+    foreign key it has, and one for each required column that is NULL, in
+    one pass over the table.  Facts about keys meet in the key's own
+    space, (parent table, key): one aggregation there (partial first, so a
+    hot key costs a row per task) tells repeated keys and orphans, and a
+    second, global one sums them.  Two exchanges, however many rules.
     """
-    parts, keys = [], {}
-    for name, schema in DIM_SCHEMAS.items():
-        if name not in dims:
-            continue
-        df = dims[name]
-        pk = DIM_KEYS[name]["pk"]
-        required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
-        by_key = df.groupBy(F.col(pk).cast("bigint").alias("k")).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
-        keys[name] = by_key.select("k")
-        totals = by_key.agg(F.count(F.when(F.col("_rows") > 1, 1)).alias("_dup"),
-                            *[F.sum(c).alias(c) for c in required])
-        rows = [F.struct(*_row(name, "not_null", c, F.coalesce(F.col(c), F.lit(0))))
-                for c in required]
-        rows.append(F.struct(*_row(name, "primary_key", pk, F.col("_dup"))))
-        parts.append(totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-    for name, spec in DIM_KEYS.items():
-        if name not in dims:
-            continue
-        for fk, parent in spec["fk"].items():
-            if parent not in keys:
-                continue
-            refs = (dims[name].filter(F.col(fk).isNotNull())
-                    .groupBy(F.col(fk).cast("bigint").alias("k")).count())
-            orphans = (refs.join(keys[parent], "k", "left_anti")
-                       .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("v")))
-            parts.append(orphans.select(*_row(name, "foreign_key", f"{fk}->{parent}", F.col("v"))))
-    return reduce(DataFrame.unionByName, parts)
+    facts, rules = [], []
+    present = [n for n in DIM_SCHEMAS if n in dims]
+
+    def fact(space: str, key, rule: int):
+        return F.struct(F.lit(space).alias("space"), key.cast("bigint").alias("key"), F.lit(rule).alias("rule"))
+
+    def rule(table: str, kind: str, column: str) -> int:
+        rules.append((table, kind, column))
+        return len(rules) - 1
+
+    for name in present:
+        df, pk = dims[name], DIM_KEYS[name]["pk"]
+        none = F.lit(None)
+        own = [F.when(F.col(f.name).isNull(), fact("", none, rule(name, "not_null", f.name)))
+               for f in DIM_SCHEMAS[name].fields if not f.nullable and f.name in df.columns]
+        own.append(fact(name, F.col(pk), rule(name, "primary_key", pk)))
+        own += [F.when(F.col(fk).isNotNull(), fact(parent, F.col(fk), rule(name, "foreign_key", f"{fk}->{parent}")))
+                for fk, parent in DIM_KEYS[name]["fk"].items() if parent in dims]
+        facts.append(df.select(F.explode(F.filter(F.array(*own), lambda x: x.isNotNull())).alias("f")).select("f.*"))
+    per_key = reduce(DataFrame.unionByName, facts).groupBy("space", "key").agg(
+        *[F.count(F.when(F.col("rule") == k, 1)).alias(f"r{k}") for k in range(len(rules))])
+    is_key = {n: reduce(lambda a, b: a | b, [F.col(f"r{k}") > 0 for k, r in enumerate(rules)
+                                             if r[1] == "primary_key" and r[0] == n]) for n in present}
+    totals = []
+    for k, (name, kind, column) in enumerate(rules):
+        n = F.col(f"r{k}")
+        if kind == "primary_key":
+            bad = F.count(F.when(n > 1, 1))
+        elif kind == "foreign_key":
+            bad = F.sum(F.when(~is_key[column.split("->")[1]], n).otherwise(0))
+        else:
+            bad = F.sum(n)
+        totals.append(F.coalesce(bad, F.lit(0)).cast("bigint").alias(f"v{k}"))
+    rows = [F.struct(F.lit(t).alias("table"), F.lit(kind).alias("rule"), F.lit(c).alias("column"),
+                     F.col(f"v{k}").alias("violations")) for k, (t, kind, c) in enumerate(rules)]
+    return per_key.agg(*totals).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def enrich(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

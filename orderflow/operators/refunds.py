@@ -1,8 +1,7 @@
 """Refund decisions for all delivered orders, request routing and checks.
 
 One plan answers every order: durations and percentiles are
-aggregations over the event log, joined by location (a table with one
-row per location, which AQE broadcasts once it has measured it).
+aggregations over the event log, joined by location.
 """
 
 from __future__ import annotations
@@ -12,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .delivery import order_rollup, percentiles_from
-from .joins import left_join_nonnull
-from ..session import cut_lineage
+from .joins import broadcast_if_small, left_join_nonnull
+from ..session import stored
 
 # Decision classes and the id pattern in request text.
 CLASSES = ("none", "partial", "full")
@@ -50,21 +49,28 @@ def refund_decisions(events: DataFrame, header: DataFrame | None = None,
 
     Durations, percentiles and (without ``header``) revenue come from one
     per-order rollup of the event log.  With ``materialize`` the rollup
-    (one row per order) is checkpointed to the shared checkpoint folder,
-    so the log is read and shuffled once although two branches use it.
-    Passing ``header`` takes revenue from the order header table.
+    (one row per order) and the percentiles (one row per location) are
+    written to shared scratch Parquet: the log is read and shuffled once
+    although two branches use it, each branch scans the columns it needs,
+    and the join by location, a key with few values, is a broadcast behind
+    a check of the written size instead of a shuffle of all orders.
+    Without it the plan is lazy and reads the log twice.  Passing
+    ``header`` takes revenue from the order header table.
     """
     rollup = order_rollup(events)
     if materialize:
-        rollup = cut_lineage(rollup)
-    return decide(rollup, percentiles if percentiles is not None else percentiles_from(rollup),
-                  header, partial, full)
+        rollup = stored(rollup, "order-rollup")
+    if percentiles is None:
+        percentiles = percentiles_from(rollup)
+        if materialize:
+            percentiles = stored(percentiles, "percentiles")
+    return decide(rollup, percentiles, header, partial, full)
 
 
 def decide(rollup: DataFrame, percentiles: DataFrame, header: DataFrame | None = None,
            partial: float = 0.5, full: float = 1.0) -> DataFrame:
     """Decisions from a per-order rollup (``order_rollup``) and percentiles."""
-    d = durations_from(rollup).join(percentiles.select("location", "P75", "P99"), "location", "left")
+    d = durations_from(rollup).join(broadcast_if_small(percentiles.select("location", "P75", "P99")), "location", "left")
     if header is not None:
         # Same grain as the rollup: an order seen at two locations is paid once each.
         rev = header.groupBy("order_id", "location").agg(F.sum("order_revenue").alias("_rev"))
@@ -132,7 +138,7 @@ def valid_json(df: DataFrame, col: str = "decision_json") -> DataFrame:
 def policy_check(decisions: DataFrame, percentiles: DataFrame) -> DataFrame:
     """A refund must rest on timing: pass when no money is given, or the
     duration reached the location's P75."""
-    j = decisions.join(percentiles.select("location", "P75"), "location", "left")
+    j = decisions.join(broadcast_if_small(percentiles.select("location", "P75")), "location", "left")
     ok = (F.col("refund_usd") == 0) | (F.col("duration_minutes").cast("double") >= F.col("P75"))
     return j.withColumn("pass", F.coalesce(ok, F.lit(False)))
 

@@ -601,3 +601,21 @@ ORACLE["log_order_header"] = ORACLE["stream_header_complete"]
 ORACLE["log_order_times"] = ORACLE["order_times"]
 ORACLE["log_event_sequence"] = ORACLE["event_sequence"]
 ORACLE["log_completed_orders"] = ORACLE["completed_orders"]
+
+# ---- dimensions, widgets and streams in full ---------------------------------------------
+
+ORACLE["dims_loaded_values"] = with_(DIMS_A) + """
+SELECT 'brand' AS "table", id, name, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS BIGINT) AS brand_id,
+       CAST(NULL AS BIGINT) AS menu_id, CAST(NULL AS BIGINT) AS category_id FROM brand
+UNION ALL SELECT 'menu', id, name, NULL, brand_id, NULL, NULL FROM menu
+UNION ALL SELECT 'category', id, name, NULL, brand_id, menu_id, NULL FROM category
+UNION ALL SELECT 'item', id, name, price, brand_id, menu_id, category_id FROM item"""
+
+ORACLE["dash_widget_bar_brands"] = with_(SILVER_A) + """
+SELECT CAST(brand_id AS VARCHAR) AS label, round(sum(extended_price), 2) AS "sum(value)" FROM silver GROUP BY brand_id"""
+
+ORACLE["stream_items_enriched"] = with_(SILVER_A) + """
+SELECT order_id, s.item_id, pt.p_name AS item_name, 'menu' || CAST(s.menu_id AS VARCHAR) AS menu_name,
+       pt.p_type AS category_name, 'Brand#' || CAST(s.brand_id AS VARCHAR) AS brand_name, qty,
+       round(extended_price, 2) AS extended_price
+FROM silver s JOIN part pt ON pt.p_partkey = s.item_id"""

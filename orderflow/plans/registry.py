@@ -926,3 +926,45 @@ def q_log_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("log_completed_orders")
 def q_log_completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_summary(stateful.completed_orders_batch(clustered_log(spark, sf_dir)))
+
+
+# ---- dimensions, widgets and streams in full ---------------------------------------------------
+
+@query("dims_loaded_values")
+def q_dims_loaded_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions loaded into tables twice (the second load replaces the
+    first), with their values."""
+    location = scratch_path(spark, "dims-values")
+    db = "orderflow_dims_" + location.rsplit("-", 1)[-1]
+    for _ in range(2):
+        names = dims.load_dims(spark, fixtures.dims_from_part(spark, sf_dir), db, location)
+    parts = []
+    for n, t in names.items():
+        df = spark.table(t)
+        parts.append(df.select(F.lit(n).alias("table"), "id", "name", *[
+            (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
+            for c, kind in (("price", "double"), ("brand_id", "bigint"), ("menu_id", "bigint"), ("category_id", "bigint"))]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dash_widget_bar_brands")
+def q_dash_widget_bar_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar widget over a dataset of several labels: revenue by brand, largest first."""
+    d = brand_sales_a(spark, sf_dir).select(F.col("brand_id").cast("string").alias("label"),
+                                            F.col("brand_revenue").alias("value"))
+    w = dashboards.widget(d, ["label"], "value", descending=True)
+    return w.select("label", money("`sum(value)`").alias("sum(value)"))
+
+
+@query("stream_items_enriched")
+def q_stream_items_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rows of a stream joined with the dimension tables (stream-static)."""
+    root = scratch_path(spark, "stream-enriched")
+    write_events(fixtures.sales_events(spark, sf_dir), f"{root}/landing")
+    layout = layers.Layout(root)
+    layers.run_bronze(spark, f"{root}/landing", layout)
+    items = silver.order_items(layers.bronze_stream(spark, layout)).drop("item_name")
+    run_append(dims.enrich(items, fixtures.dims_from_part(spark, sf_dir)), f"{root}/enriched", f"{root}/_checkpoints/enriched")
+    return spark.read.parquet(f"{root}/enriched").select(
+        "order_id", "item_id", "item_name", "menu_name", "category_name", "brand_name", "qty",
+        money("extended_price").alias("extended_price"))

@@ -89,6 +89,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write to a new Parquet folder of the shared scratch space and read it back.
+
+    Like a reliable checkpoint, but later scans read only the columns they
+    need, and the size of the result is known to the optimizer.
+    """
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete everything the library wrote under the shared scratch folder.
 
