@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,10 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Scratch tables written inside open ``freed`` blocks, innermost last.
+_made: list[list[str]] = []
+
+
 def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write to a new folder of the shared scratch space and read it back.
 
@@ -59,9 +65,52 @@ def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if _made:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freed(spark: SparkSession):
+    """Delete the scratch tables written inside the block when it ends.
+
+    Nothing that is used later may read them lazily.  Shuffle files go when
+    the driver no longer refers to their plans, so its garbage is collected
+    as well (they would else stay until it happens to be).
+    """
+    _made.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _made.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        gc.collect()
+        jvm.System.gc()
+
+
+def settled(spark: SparkSession, tag: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``make``, stored; the scratch tables behind it go."""
+    outer = _made[-1] if _made else None
+    with freed(spark):
+        out = stored(make(), tag)
+        path = _made[-1].pop()
+    if outer is not None:
+        outer.append(path)
+    return out
+
+
+def shielded(docs: DataFrame, operator: Callable[[DataFrame], DataFrame],
+             used: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``operator`` over ``docs`` with other names for the columns that it
+    does not use, so that none of its own can clash; it must return the
+    columns that it got, in order."""
+    names = docs.columns
+    return operator(docs.toDF(*[n if n in used else f"_column_{i}" for i, n in enumerate(names)])).toDF(*names)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -151,6 +200,55 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Masks of the first 0 to 8 bytes of a little-endian 64-bit number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words up to this many bytes are hashed eight bytes at a time, together.
+_SHORT = 256
+#: Bytes of text hashed at once.
+_TEXT_BYTES = 4 << 20
+
+
+def text_groups(texts: list, most: int = _TEXT_BYTES) -> Iterator[list[bytes]]:
+    """Texts as UTF-8, A-Z lower-cased, in groups of about ``most`` bytes."""
+    held, size = [], 0
+    for t in texts:
+        blob = (t or "").encode("utf-8", "surrogatepass").lower()
+        if held and size + len(blob) > most:
+            yield held
+            held, size = [], 0
+        held.append(blob)
+        size += len(blob)
+    if held:
+        yield held
+
+
+def hashed_words(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (cut at ASCII white space) of the texts in
+    order, and where each text's words begin (one entry more than texts)."""
+    whole = b"\n" + b"\n".join(blobs) + b"\n" + bytes(8)
+    b = np.frombuffer(whole, np.uint8)[:-8]
+    blank = (b == 32) | ((b >= 9) & (b <= 13))
+    turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1  # where a word begins, where it ends, ...
+    at, size = turns[0::2], turns[1::2] - turns[0::2]
+    begins = np.cumsum([1, *[len(x) + 1 for x in blobs]])
+    edges = np.searchsorted(at, begins)
+    eight = np.ndarray((len(whole) - 7,), "<u8", whole, strides=(1,))
+    hashes = mix(size.astype(np.uint64))
+    for k in np.flatnonzero(size > _SHORT):
+        import xxhash
+
+        hashes[k] = xxhash.xxh64_intdigest(whole[at[k]:at[k] + size[k]])
+    todo = np.flatnonzero(size <= _SHORT)
+    done = 0
+    while len(todo):
+        left = size[todo] - done
+        block = eight[at[todo] + done] & _FIRST[np.minimum(left, 8)]
+        hashes[todo] = mix(hashes[todo] ^ block)
+        done += 8
+        todo = todo[left > 8]
+    return hashes, edges
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of every ``width`` consecutive word hashes, in order."""
     n = len(words) - width + 1

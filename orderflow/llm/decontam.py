@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, shingle_hashes, stored, texts_of, word_hashes
+from .common import map_batches, shielded, shingle_hashes, stored, texts_of, word_hashes
 
 WINDOW = 10
 SHINGLE = 3
@@ -134,9 +134,9 @@ def _frequencies(docs: DataFrame, sets: dict[int, np.ndarray], text: str) -> dic
 
 def _blocks(benchmark: DataFrame, block_words: int):
     """Lists of (item_id, text), together the whole table."""
-    total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    total = benchmark.select("item_id", "text").distinct().agg(F.sum(F.length("text"))).first()[0] or 0
     n = int(total // (6 * block_words)) + 1
-    rows = benchmark.select("item_id", "text")
+    rows = benchmark.select("item_id", "text").distinct()
     if n == 1:
         yield [tuple(r) for r in rows.collect()]
         return
@@ -151,6 +151,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """Every column of ``docs`` plus ``_words`` (count), ``_spans`` (start
     and end word of merged hit runs, flattened) and ``_items`` (ids of
     items with occurring windows)."""
+    docs = docs.drop("_words", "_spans", "_items")  # replaced, if there are such
     own = docs.columns
     marked = docs.withColumn("_words", F.lit(0).cast("bigint")) \
         .withColumn("_spans", F.array().cast("array<bigint>")) \
@@ -205,7 +206,7 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any benchmark window, same columns."""
-    return mark(docs, benchmark).filter(F.size("_items") == 0).select(*docs.columns)
+    return shielded(docs, lambda d: mark(d, benchmark).filter(F.size("_items") == 0).select(*d.columns))
 
 
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

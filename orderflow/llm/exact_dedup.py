@@ -1,16 +1,19 @@
 """Exact dedup over an extendible-hash index on shared files.
 
 Every row gets a 64-bit hash of its normalised text (A-Z lower-cased)
-and a digest.  Rows are pre-aggregated per key in the map tasks, so a
-group of copies costs one index entry however large it is.  The index
-directory addresses entries by leading hash bits: it starts at a depth
-that fits the entry count, and every overfull bucket doubles (its local
-depth grows by one bit) until it fits or the directory limit is met.
-Buckets are written, in key order, to files in the shared scratch
-folder; a task owns a range of buckets.  Entries that share a hash are
+and a digest.  The index directory has two levels: the leading bits of a
+hash pick a root, and the root lists its buckets by the first hash of
+each.  A bucket that holds too many hashes is doubled at the next bit
+that tells them apart, again and again, until it fits or holds one hash
+only; there is no limit to its depth.  Rows are routed by the directory
+to their bucket and pre-aggregated there in the map tasks, so a group of
+copies costs one index entry however large it is.  Entries are written
+in bucket and hash order to files in the shared scratch folder; a task
+owns a range of buckets.  Inside a bucket, entries that share a hash are
 chained by digest, and the bytes of all rows of an entry are compared
 (their smallest and largest text must be equal); an entry that fails is
-chained again by the text itself.
+chained again by the text itself.  Rows find their group by bucket, hash
+and digest.
 
 All of it is DataFrame work.  Largest groups are joined by a broadcast
 of at most ``HOT_SHARE`` entries, the rest by a shuffle join.
@@ -25,16 +28,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small, left_join_nonnull
-from .common import ascii_lower, shuffle_partitions, stored
+from .common import ascii_lower, settled, shielded, shuffle_partitions, stored
 
 #: Entries a bucket holds before it splits.
 BUCKET_ENTRIES = 20_000
-#: Bits the directory may double beyond its first depth.
-EXTRA_DEPTH = 6
 #: A group is hot when it has more than 1 / HOT_SHARE of all rows: there
 #: are fewer than HOT_SHARE such groups, whatever the input.
 HOT_SHARE = 1000
@@ -57,45 +58,61 @@ def bits(hashed: Column, depth: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - depth)
 
 
-def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
-    """(cell, bucket, depth) and the directory's bits.
+def _order(hashed: Column) -> Column:
+    """Signed numbers in the order of the unsigned hashes."""
+    return hashed.bitwiseXOR(F.lit(-(1 << 63)))
 
-    A cell is one directory slot (the leading bits at full directory
-    depth); ``depth`` is the local depth of the bucket it points to, and
-    ``bucket`` the first cell that points there.
+
+def directory(hashes: DataFrame, capacity: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
+    """((root, buckets), root bits) of distinct hashes (h).
+
+    ``buckets``: (start, depth) of the root's buckets in order; ``start``
+    is the bucket's first hash in ``_order`` and names it.
     """
-    low = first_depth(entries.count(), capacity)
-    high = low + EXTRA_DEPTH
-    cells = (entries.groupBy(bits(F.col("h"), high).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("root", F.shiftrightunsigned("cell", EXTRA_DEPTH)).repartition("root"))
-    depth = None
-    for d in range(low, high):
-        part = F.shiftrightunsigned("cell", high - d)
-        fits = F.sum("n").over(Window.partitionBy("root", part)) <= capacity
-        depth = F.when(fits, d) if depth is None else depth.when(fits, d)
-    leaf = cells.withColumn("depth", depth.otherwise(high))
-    bucket = F.expr(f"shiftleft(shiftrightunsigned(cell, {high} - depth), {high} - depth)")
-    return leaf.select("cell", bucket.alias("bucket"), "depth"), high
-
-
-def build_index(keys: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
-    """Stored index (bucket, depth, h, digest, keep_id, n) of (doc_id, h, digest)."""
-    entries = stored(keys.groupBy("h", "digest").agg(F.max("doc_id").alias("keep_id"),
-                                                     F.count(F.lit(1)).alias("n")), "dedup-entries")
-    cells, high = directory(entries, capacity)
-    placed = entries.withColumn("cell", bits(F.col("h"), high)).join(cells, "cell").drop("cell")
-    return stored(placed.repartitionByRange(shuffle_partitions(keys), "bucket", "h")
-                  .sortWithinPartitions("bucket", "h", "digest"), "dedup-index")
-
-
-def probe(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
-    """Left join of rows with their group on (h, digest), safe for hot groups."""
-    groups = groups.select("h", "digest", "keep_id", "n")
+    low = first_depth(hashes.count(), capacity)
+    live = hashes.select("h", bits(F.col("h"), low).alias("root"), F.lit(low).alias("depth"))
+    part = F.expr("shiftrightunsigned(h, 64 - depth)")
+    leaves = None
+    while True:
+        sizes = stored(live.groupBy("root", "depth", part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(_order(F.col("h"))).alias("lo"), F.max(_order(F.col("h"))).alias("hi")),
+            "dedup-directory")
+        fits = (F.col("n") <= capacity) | (F.col("lo") == F.col("hi"))
+        start = _order(F.expr("shiftleft(part, 64 - depth)"))
+        fitting = sizes.filter(fits).select("root", F.struct(start.alias("start"), "depth").alias("b"))
+        leaves = fitting if leaves is None else leaves.unionByName(fitting)
+        # The next bit that tells the smallest and largest hash of a bucket apart.
+        split = sizes.filter(~fits).select("root", "depth", "part", (
+            F.lit(65) - F.length(F.bin(F.col("lo").bitwiseXOR(F.col("hi"))))).cast("int").alias("deeper"))
+        if split.isEmpty():
+            break
+        live = live.withColumn("part", part).join(broadcast_if_small(split), ["root", "depth", "part"]).select(
+            "h", "root", F.col("deeper").alias("depth"))
+    return stored(leaves.groupBy("root").agg(F.sort_array(F.collect_list("b")).alias("buckets")), "dedup-roots"), low
+
+
+def routed(rows: DataFrame, roots: DataFrame, low: int) -> DataFrame:
+    """``rows`` (with h) with the ``bucket`` that the directory names."""
+    own = F.filter("buckets", lambda b: b["start"] <= _order(F.col("h")))
+    return rows.withColumn("root", bits(F.col("h"), low)).join(broadcast_if_small(roots), "root").withColumn(
+        "bucket", F.element_at(own, -1)["start"]).drop("root", "buckets")
+
+
+def build_index(rows: DataFrame) -> DataFrame:
+    """Stored index (bucket, h, digest, keep_id, n) of routed rows."""
+    entries = rows.groupBy("bucket", "h", "digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    return stored(entries.repartitionByRange(shuffle_partitions(rows), "bucket", _order(F.col("h")))
+                  .sortWithinPartitions("bucket", _order(F.col("h")), "digest"), "dedup-index")
+
+
+def probe(rows: DataFrame, groups: DataFrame, total: int, on: tuple[str, ...] = ("h", "digest")) -> DataFrame:
+    """Left join of rows with their group (keep_id, n), safe for hot groups."""
+    groups = groups.select(*on, "keep_id", "n")
     limit = max(1, total // HOT_SHARE)
     hot = groups.filter(F.col("n") > limit)  # fewer than HOT_SHARE rows
-    first = rows.join(F.broadcast(hot.select("h", "digest", F.col("keep_id").alias("hot_id"),
-                                             F.col("n").alias("hot_n"))), ["h", "digest"], "left")
-    key = F.struct("h", "digest")
+    first = rows.join(F.broadcast(hot.select(*on, F.col("keep_id").alias("hot_id"),
+                                             F.col("n").alias("hot_n"))), list(on), "left")
+    key = F.struct(*on)
     cold = groups.filter(F.col("n") <= limit).select(key.alias("cold_key"), F.col("keep_id").alias("cold_id"),
                                                      F.col("n").alias("cold_n"))
     # Rows that are settled have no key here and are spread by the helper.
@@ -106,14 +123,18 @@ def probe(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
             .drop("hot_id", "hot_n", "row_key", "cold_key", "cold_id", "cold_n"))
 
 
-def mixed_entries(docs: DataFrame, keys: DataFrame, groups: DataFrame, keyed: Callable,
-                  text: str) -> DataFrame:
-    """(h, digest) of entries whose rows are not all the same bytes."""
-    ids = keys.join(broadcast_if_small(groups.select("h", "digest")), ["h", "digest"], "left_semi")
-    some = docs.select("doc_id", text).join(
-        broadcast_if_small(ids.select("doc_id").distinct()), "doc_id", "left_semi")
-    return (keyed(some).join(broadcast_if_small(groups.select("h", "digest")), ["h", "digest"], "left_semi")
-            .groupBy("h", "digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
+def mixed_entries(docs: DataFrame, groups: DataFrame, text: str, hash_of: Callable, digest_of: Callable) -> DataFrame:
+    """(h, digest) of entries of several rows that are not all the same bytes.
+
+    Rows without id take part as any other.  Only texts whose hash is that
+    of a group go on to the comparison, the smallest and largest of each
+    map task's share.
+    """
+    wanted = stored(groups.select("h").distinct(), "dedup-group-hashes")
+    some = docs.select(normalised(text).alias("norm")).withColumn("h", hash_of(F.col("norm"))).join(
+        broadcast_if_small(wanted), "h", "left_semi")
+    return (some.groupBy("h", digest_of(F.col("norm")).alias("digest"))
+            .agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
             .filter(F.col("lo") != F.col("hi")).select("h", "digest"))
 
 
@@ -127,15 +148,16 @@ def groups_of(docs: DataFrame, text: str = "text", hash_of: Callable = F.xxhash6
 
     keys = stored(keyed(docs).select("doc_id", "h", "digest", F.unhex("sha256").alias("sha256")),
                   "dedup-keys")
-    index = build_index(keys, capacity)
+    roots, low = directory(stored(keys.select("h").distinct(), "dedup-hashes"), capacity)
+    placed = routed(keys, roots, low)
     total = keys.count()
-    groups = index.filter(F.col("n") > 1)
-    mixed = stored(mixed_entries(docs, keys, groups, keyed, text), "dedup-mixed")
+    groups = build_index(placed).filter(F.col("n") > 1)
+    mixed = stored(mixed_entries(docs, groups, text, hash_of, digest_of), "dedup-mixed")
     collisions = not mixed.isEmpty()
-    plain = keys
+    plain = placed
     if collisions:
-        plain = keys.join(broadcast_if_small(mixed), ["h", "digest"], "left_anti")
-    out = probe(plain, groups, total).select(
+        plain = placed.join(broadcast_if_small(mixed), ["h", "digest"], "left_anti")
+    out = probe(plain, groups, total, ("bucket", "h", "digest")).select(
         "doc_id", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("bigint")).alias("n"), F.lower(F.hex("sha256")).alias("sha256"))
     if collisions:  # chain by the text itself
@@ -157,8 +179,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A row goes by its id and text: an id may repeat with other texts, and
     a row without id goes if its group has one with an id.
     """
-    gone = groups_of(docs.select("doc_id", "text")).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_gone_id"), F.unhex("sha256").alias("_gone_sha")).distinct()
-    rows = docs.withColumn("_text_sha", text_digest(normalised()))
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_sha") == F.col("_gone_sha"))
-    return rows.join(broadcast_if_small(stored(gone, "dedup-gone")), same, "left_anti").drop("_text_sha")
+    def run(docs: DataFrame) -> DataFrame:
+        gone = settled(docs.sparkSession, "dedup-gone", lambda: groups_of(docs.select("doc_id", "text")).filter(
+            ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+            F.col("doc_id").alias("_gone_id"), F.unhex("sha256").alias("_gone_sha")).distinct())
+        rows = docs.withColumn("_text_sha", text_digest(normalised()))
+        same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_sha") == F.col("_gone_sha"))
+        return rows.join(broadcast_if_small(gone), same, "left_anti").drop("_text_sha")
+
+    return shielded(docs, run)

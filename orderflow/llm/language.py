@@ -31,6 +31,8 @@ from .common import held_out, map_batches, texts_of, worker_cache
 
 #: Bound of the training sample: documents per language.
 SAMPLE_DOCS = 500
+#: A language's sample ends with the text that reaches so many characters.
+SAMPLE_CHARS = 8_000_000
 #: Words of a language's lexicon, and sample occurrences a word needs.
 LEXICON_WORDS = 5000
 LEXICON_COUNT = 3
@@ -86,7 +88,7 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # (BUCKETS, languages)
     lexicon_weights: np.ndarray  # (languages, languages)
-    lexicons: dict[str, int]  # word -> bit mask of languages
+    lexicons: dict[str, list[int]]  # word -> numbers of the languages that list it
     transitions: np.ndarray  # (languages, languages)
 
     def emissions(self, words: list[str]) -> np.ndarray:
@@ -96,9 +98,17 @@ class Model:
         out = np.empty((len(words), k))
         for j in range(k):
             out[:, j] = np.bincount(index, self.weights[feature, j], len(words))
-        masks = np.fromiter((self.lexicons.get(w, 0) for w in words), np.int64, len(words))
-        member = (masks[:, None] >> np.arange(k)) & 1
-        return out + member @ self.lexicon_weights
+        return out + membership(self.lexicons, words, k) @ self.lexicon_weights
+
+
+def membership(lexicons: dict[str, list[int]], words: list[str], k: int) -> np.ndarray:
+    """(words x languages) whether a language's lexicon lists the word."""
+    out = np.zeros((len(words), k))
+    for i, w in enumerate(words):
+        listed = lexicons.get(w)
+        if listed:
+            out[i, listed] = 1
+    return out
 
 
 def forward_backward(emission: np.ndarray, transitions: np.ndarray, counts: np.ndarray,
@@ -140,7 +150,8 @@ def forward_backward(emission: np.ndarray, transitions: np.ndarray, counts: np.n
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """(lang, text) rows to learn from: at most ``SAMPLE_DOCS`` a language."""
+    """(lang, text) rows to learn from: at most ``SAMPLE_DOCS`` whole texts a
+    language, and no further one beyond ``SAMPLE_CHARS`` characters."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000))
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -149,22 +160,25 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     near = wide.join(F.broadcast(sizes), "lang").filter(
         F.col("draw") * F.col("n") < 2 * SAMPLE_DOCS * 1_000_000)
     order = Window.partitionBy("lang").orderBy("draw", "text")
-    rows = near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= SAMPLE_DOCS)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = near.withColumn("_r", F.row_number().over(order)).withColumn(
+        "_c", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0))).filter(
+        (F.col("_r") <= SAMPLE_DOCS) & (F.col("_c") < SAMPLE_CHARS))
     return sorted((r["lang"], r["text"]) for r in rows.select("lang", "text").collect())
 
 
-def _lexicons(texts: list[tuple[int, list[str]]], k: int) -> dict[str, int]:
+def _lexicons(texts: list[tuple[int, list[str]]], k: int) -> dict[str, list[int]]:
     counts: dict[str, np.ndarray] = {}
     for lang, words in texts:
         for w in words:
             if w not in counts:
                 counts[w] = np.zeros(k)
             counts[w][lang] += 1
-    out: dict[str, int] = {}
+    out: dict[str, list[int]] = {}
     for j in range(k):
         mine = [(-c[j], w) for w, c in counts.items() if c[j] >= LEXICON_COUNT and 2 * c[j] > c.sum()]
         for _, w in sorted(mine)[:LEXICON_WORDS]:
-            out[w] = out.get(w, 0) | 1 << j
+            out.setdefault(w, []).append(j)
     return out
 
 
@@ -182,8 +196,7 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 11) ->
     index, feature = word_features(vocabulary)
     first = np.searchsorted(index[np.argsort(index, kind="stable")], np.arange(len(vocabulary) + 1))
     by_word = feature[np.argsort(index, kind="stable")]
-    masks = np.array([model.lexicons.get(w, 0) for w in vocabulary])
-    member = ((masks[:, None] >> np.arange(k)) & 1).astype(float)
+    member = membership(model.lexicons, vocabulary, k)
     rng = np.random.default_rng(seed)
     runs = [(lang, words[i:i + RUN_WORDS]) for lang, words in texts for i in range(0, len(words), RUN_WORDS)]
     square, lex_square, move_square = (np.full(x.shape, 1e-3) for x in

@@ -5,9 +5,12 @@ Pieces of at most ``SEQUENCE`` tokens are counted per length (at most
 multiset of lengths that fits a sequence; the program covers all counts
 with as few configurations as it can.  Multiplicative weights raise the
 price of lengths that lag behind in coverage, and a knapsack dynamic
-program finds the best-priced configuration of each round.  The solution
-is rounded down to whole sequences, and what is left over goes best fit
-into open sequences, by length and count.  Pieces then get numbers
+program finds the best-priced configuration of each round; the prices
+also bound from below what any cover needs.  The solution is rounded down
+to whole sequences, what is left is solved again, and the rest goes best
+fit into open sequences, by length and count.  Where counts are spread so
+thin over lengths that rounding costs more than it gains, best fit alone
+is taken.  Pieces then get numbers
 within their length, and the number alone tells sequence and offset, so
 no task holds more than a share of a length.
 
@@ -31,9 +34,18 @@ from .tokens import encoder
 
 SEQUENCE = 4096
 END_ID = 1
-#: Rounds of multiplicative weights, and how fast prices move.
-ROUNDS = 240
-RATE = 8.0
+#: Rounds of a phase, steps of multiplicative weights in a round, the phases'
+#: step sizes, and the gap between cover and lower bound at which they end.
+ROUNDS = 12
+STEPS = 2000
+RATES = (0.1, 0.03, 0.01, 0.003, 0.001)
+GAP = 0.005
+#: Beyond so many lengths a round has fewer steps and one knapsack, and what
+#: rounding leaves is not solved again.
+FEW = 512
+#: Knapsacks of a round with changed prices, and configurations of best fit to start from.
+CHANGED = 4
+MOST_KNOWN = 2000
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 200_000
 
@@ -89,30 +101,89 @@ def best_configuration(price: np.ndarray, capacity: int) -> Pattern:
     return tuple(sorted(found.items(), reverse=True))
 
 
-def cover(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Pattern, float]:
-    """Fractional use of configurations that covers about all counts."""
+class Pool:
+    """Configurations found so far, as a sparse matrix of lengths x configurations."""
+
+    def __init__(self, demand: dict[int, float]):
+        self.place = {k: i for i, k in enumerate(demand)}
+        self.demand = np.array(list(demand.values()), float)
+        self.found: dict[Pattern, int] = {}
+        self.index: list[np.ndarray] = []
+        self.count: list[np.ndarray] = []
+
+    def add(self, config: Pattern) -> None:
+        if config and config not in self.found:
+            self.found[config] = len(self.found)
+            self.index.append(np.array([self.place[k] for k, _ in config]))
+            self.count.append(np.array([float(n) for _, n in config]))
+
+    def flat(self):
+        """(length index, count, share of the length's count, first entry of each configuration)."""
+        index, count = np.concatenate(self.index), np.concatenate(self.count)
+        first = np.concatenate([[0], np.cumsum([len(x) for x in self.index])])
+        return index, count, count / self.demand[index], first
+
+
+def cover(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[dict[Pattern, float], float]:
+    """(fractional use of configurations that covers all counts, lower bound).
+
+    Multiplicative weights in phases of finer and finer steps: a step uses
+    the best-priced configuration known, and the prices of its lengths fall
+    by how much of their counts it covers.  A round prices all multisets by
+    a knapsack, once as the prices are and a few times with small random
+    changes, which gives new configurations; at the prices as they are it
+    also gives the bound (the demand's price over the best price of one
+    sequence is what any cover needs at least).  Configurations of best fit
+    are known from the start, and a phase counts its own uses only.  The
+    last phase ends when cover and bound are within ``GAP``.
+    """
     lengths = np.array(sorted(counts), np.int64)
-    demand = np.zeros(capacity + 1)
-    demand[lengths] = [counts[int(k)] for k in lengths]
-    done = np.zeros(capacity + 1)
-    bins = (lengths * demand[lengths]).sum() / capacity
-    use: dict[Pattern, float] = {}
-    for step in range(rounds):
-        lag = np.maximum(0.0, 1 - done[lengths] / demand[lengths])
-        if not lag.any():
-            break
-        price = np.full(capacity + 1, -1.0)
-        # A length's price: its share of the sequence, more when it lags behind.
-        price[lengths] = np.where(lag > 0, lengths / capacity * np.exp(RATE * (lag - lag.max())), -1.0)
-        config = best_configuration(price, capacity)
-        if not config:
-            break
-        left = min((demand[k] - done[k]) / n for k, n in config)
-        amount = min(left, max(bins / rounds, 1.0))
-        for k, n in config:
-            done[k] += n * amount
-        use[config] = use.get(config, 0.0) + amount
-    return use
+    demand = np.array([counts[int(k)] for k in lengths], float)
+    pool = Pool({int(k): counts[int(k)] for k in lengths})
+    for k in lengths:  # each length alone: every count can be covered
+        pool.add(((int(k), capacity // int(k)),))
+    for pattern, _ in best_fit(counts, capacity)[:MOST_KNOWN]:
+        pool.add(_merged(pattern))
+    few = len(lengths) <= FEW
+    rng = np.random.default_rng(1)
+    price_of = lengths / demand  # per piece
+    best, bound = None, float((lengths * demand).sum() / capacity)
+    price = np.full(capacity + 1, -1.0)
+    for rate in RATES:
+        use = np.zeros(0)
+        for _ in range(rounds):
+            price[lengths] = price_of / price_of.max()
+            config = best_configuration(price, capacity)
+            pool.add(config)
+            bound = max(bound, float((price[lengths] * demand).sum() / sum(n * price[k] for k, n in config)))
+            for _ in range(CHANGED if few else 0):
+                price[lengths] = price_of / price_of.max() * (1 + 0.02 * rng.random(len(lengths)))
+                pool.add(best_configuration(price, capacity))
+            index, count, share, first = pool.flat()
+            use = np.concatenate([use, np.zeros(len(pool.found) - len(use))])
+            size = rate / np.maximum.reduceat(share, first[:-1])  # sequences of one step
+            fall = np.exp(-share * np.repeat(size, np.diff(first)))
+            for _ in range(STEPS if few else STEPS // 16):
+                j = int(np.add.reduceat(price_of[index] * count, first[:-1]).argmax())
+                use[j] += size[j]
+                own = slice(first[j], first[j + 1])
+                price_of[index[own]] *= fall[own]
+            price_of = price_of / price_of.max()
+            covered = np.bincount(index, count * np.repeat(use, np.diff(first)), len(lengths))
+            total = use.sum() * (demand / np.maximum(covered, 1e-12)).max()
+            if best is None or total < best[0]:
+                best = (total, use * (total / use.sum()))
+            if best[0] <= (1 + GAP) * bound:
+                break
+    patterns = list(pool.found)
+    return {patterns[j]: float(best[1][j]) for j in np.flatnonzero(best[1])}, bound
+
+
+def _merged(pattern: Pattern) -> Pattern:
+    found: dict[int, int] = {}
+    for k, n in pattern:
+        found[k] = found.get(k, 0) + n
+    return tuple(sorted(found.items(), reverse=True))
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -151,20 +222,35 @@ def _open(open_at: dict, rooms: list, room: int, pattern: list, times: int) -> N
     open_at[room].append((pattern, times))
 
 
+def rounded(counts: dict[int, int], capacity: int) -> tuple[list[tuple[Pattern, int]], int]:
+    """(sequences by the program, pieces that it places): its solution cut to
+    whole sequences, again for what is left until that places little, then
+    best fit."""
+    left, out, placed, every = dict(counts), [], 0, sum(counts.values())
+    while left:
+        before = placed
+        for config, amount in sorted(cover(left, capacity)[0].items(), key=lambda x: -x[1]):
+            times = min([int(amount + 1e-9)] + [left[k] // n for k, n in config])
+            if times > 0:
+                out.append((config, times))
+                placed += times * sum(n for _, n in config)
+                for k, n in config:
+                    left[k] -= n * times
+        left = {k: n for k, n in left.items() if n}
+        if placed - before < 0.2 * every or len(left) > FEW:
+            break
+    return out + best_fit(left, capacity), placed
+
+
 def solve(counts: dict[int, int], capacity: int = SEQUENCE) -> list[tuple[Pattern, int]]:
-    """(configuration, sequences) that hold exactly all pieces."""
+    """(configuration, sequences) that hold exactly all pieces: the rounded
+    program, or best fit alone where that needs fewer sequences."""
     left = {k: n for k, n in counts.items() if n}
     whole = left.pop(capacity, 0)
     out: list[tuple[Pattern, int]] = [(((capacity, 1),), whole)] if whole else []
     if not left:
         return out
-    for config, amount in cover(left, capacity).items():
-        times = min([int(amount + 1e-9)] + [left[k] // n for k, n in config])
-        if times > 0:
-            out.append((config, times))
-            for k, n in config:
-                left[k] -= n * times
-    return out + best_fit({k: n for k, n in left.items() if n}, capacity)
+    return out + min(rounded(left, capacity)[0], best_fit(left, capacity), key=lambda s: sum(n for _, n in s))
 
 
 class Places:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, map_batches, stored, texts_of
+from .common import freed, shielded, held_out, map_batches, stored, texts_of
 
 #: Shrinkage of a class covariance towards the pooled one and the sphere.
 TO_POOLED = 0.10
@@ -220,9 +220,10 @@ def with_score(docs: DataFrame, model: Discriminant, name: str, text: str = "tex
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that the classifier does not reject, same columns."""
-    model, _ = train(docs, labels)
-    return with_score(docs, model, "_quality_score").filter(
-        F.col("_quality_score") >= threshold).drop("_quality_score")
+    with freed(docs.sparkSession):
+        model, _ = train(docs.select("doc_id", "text"), labels)
+    return shielded(docs, lambda d: with_score(d, model, "_quality_score").filter(
+        F.col("_quality_score") >= threshold).drop("_quality_score"))
 
 
 def op10(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -45,18 +46,50 @@ def test_colliding_hashes_are_chained_by_bytes(docs):
 
 
 def test_directory_splits_overfull_buckets(spark):
-    keys = spark.range(3000).select(F.xxhash64("id").alias("h"))
-    cells, bits = exact_dedup.directory(keys, capacity=40)
-    got = keys.withColumn("cell", exact_dedup.bits(F.col("h"), bits)).join(cells, "cell")
-    sizes = got.groupBy("bucket", "depth").count().collect()
-    assert sum(r["count"] for r in sizes) == 3000
-    assert all(r["count"] <= 40 or r.depth == bits for r in sizes)
-    assert len({r.depth for r in sizes}) > 1
+    """Even hashes, hashes that agree in many leading bits, and one hash alone."""
+    rng = random.Random(2)
+    hashes = [rng.getrandbits(64) for _ in range(3000)] + [0x7F << 56 | rng.getrandbits(20) for _ in range(500)]
+    signed = sorted({h - (1 << 64) if h >> 63 else h for h in hashes})
+    keys = spark.createDataFrame([(h,) for h in signed], "h bigint")
+    roots, low = exact_dedup.directory(keys, capacity=40)
+    got = exact_dedup.routed(keys, roots, low).collect()
+    assert sorted(r.h for r in got) == signed
+    sizes, least = {}, {}
+    for r in got:
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + 1
+        order = (r.h & (1 << 64) - 1) - (1 << 63)
+        assert r.bucket <= order
+        least[r.bucket] = max(least.get(r.bucket, order), order)
+    assert max(sizes.values()) <= 40
+    starts = sorted(least)
+    assert all(least[a] < b for a, b in zip(starts, starts[1:]))  # buckets are ranges of hashes
+    depths = {b["depth"] for r in roots.collect() for b in r.buckets}
+    assert max(depths) > 44 and len(depths) > 2
+
+
+def test_groups_need_the_directory(docs, monkeypatch):
+    """Rows reach their group through the directory only."""
+    rows = [(i, f"text {i % 9}") for i in range(40)]
+    whole = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda *a: (whole(*a)[0].limit(0), whole(*a)[1]))
+    assert exact_dedup.op6(docs(rows)).count() == 0
+
+
+def test_rows_without_id_are_compared_too(docs):
+    rows = [(None, "a"), (None, "b"), (1, "c"), (2, "a"), (None, "b")]
+    weak = exact_dedup.groups_of(docs(rows), hash_of=lambda t: F.lit(5).cast("bigint"), digest_of=lambda t: F.lit(b"x"))
+    assert sorted(((r.doc_id, r.keep_id, r.n) for r in weak.collect()), key=str) == sorted(
+        ((d, k, n) for d, k, n, _ in expected(rows)), key=str)
 
 
 def test_keep_one_drops_rows_not_ids(docs, clash):
     rows = [(5, "a"), (5, "b"), (7, "A"), (None, "a"), (None, "lone"), (9, "c"), (9, "c"), (8, "C"), (3, None), (4, "")]
-    kept = Counter((r.doc_id, r.text) for r in exact_dedup.keep_one(clash(docs(rows))).collect())
+    own = clash(docs(rows))
+    for name in ("_gone_id", "_gone_sha", "_text_sha", "bucket", "buckets", "root"):
+        own = own.withColumn(name, F.lit("mine"))
+    out = exact_dedup.keep_one(own)
+    assert out.columns == own.columns and out.filter("_text_sha <> 'mine' OR _gone_id <> 'mine'").count() == 0
+    kept = Counter((r.doc_id, r.text) for r in out.collect())
     assert kept == Counter([(5, "b"), (7, "A"), (None, "lone"), (9, "c"), (9, "c"), (4, "")])
 
 

@@ -111,6 +111,26 @@ def test_sample_has_whole_texts(docs):
     assert got and all(t.startswith("word ") and t.split()[-1].startswith("late") for _, t in got)
 
 
+def test_a_hundred_languages(docs):
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(100)]
+    rows = [(100 * k + i, f"{x}xa {x}xb {x}xc {x}xd " * 3, x) for k, x in enumerate(names) for i in range(4)]
+    model = language.train(language.sample(docs(rows)), epochs=2)
+    assert len(model.languages) == 100
+    member = language.membership(model.lexicons, [names[99] + "xa", "none", names[3] + "xb"], 100)
+    assert member.sum(axis=1).tolist() == [1, 0, 1] and member[0, model.languages.index(names[99])] == 1
+    got = {r.doc_id: r.lang_pred for r in language.with_language(docs(rows[:40]), model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows[:40]) >= 36
+
+
+def test_sample_is_bounded_in_characters(docs, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 1000)
+    got = language.sample(docs([(i, "word " * 60, "en") for i in range(40)] + [(100 + i, "lang " * 3000, "de") for i in range(9)]))
+    sizes = {}
+    for lang, t in got:
+        sizes.setdefault(lang, []).append(len(t))
+    assert sizes == {"en": [300] * 4, "de": [15000]}
+
+
 def test_language_cases(docs, clash):
     rows = [(i, "the cat and the dog are here with that", "en") for i in range(20)] + \
            [(i, "der Hund und die Katze sind hier mit dem", "de") for i in range(20, 40)]
@@ -222,7 +242,37 @@ def test_solution_holds_every_piece():
                 used[k] = used.get(k, 0) + n * times
         assert used == {k: n for k, n in counts.items() if n}
         plain = packing.best_fit({k: n for k, n in counts.items() if n}, cap)
-        assert sum(t for _, t in out) <= 1.03 * sum(t for _, t in plain) + 3
+        assert sum(t for _, t in out) <= sum(t for _, t in plain)
+
+
+def test_program_is_near_its_bound_and_better_than_best_fit():
+    rng = random.Random(1)
+    counts = {k: rng.randrange(50, 900) for k in rng.sample(range(1100, 2900), 60)}
+    use, bound = packing.cover(counts, 4096)
+    covered = {k: sum(x * dict(c).get(k, 0) for c, x in use.items()) for k in counts}
+    assert all(covered[k] >= counts[k] * (1 - 1e-9) for k in counts)
+    assert bound <= sum(use.values()) + 1e-6 <= 1.01 * bound
+    found = sum(n for _, n in packing.solve(counts, 4096))
+    assert bound <= found + 1e-6 and found <= 1.005 * bound
+    assert found < sum(n for _, n in packing.best_fit(counts, 4096))
+
+
+def test_never_above_best_fit(monkeypatch):
+    monkeypatch.setattr(packing, "STEPS", 200)
+    monkeypatch.setattr(packing, "RATES", (0.1, 0.01))
+    for seed in range(20):
+        rng = random.Random(seed)
+        counts = {k: rng.randrange(50, 900) for k in rng.sample(range(270, 720), 30)}
+        use, bound = packing.cover(counts, 1024, 2)
+        found = sum(n for _, n in packing.solve(counts, 1024))
+        assert bound <= min(found, sum(use.values())) + 1e-6
+        assert found <= sum(n for _, n in packing.best_fit(counts, 1024))
+
+
+def test_mixed_length_lists_are_placed_by_the_program():
+    counts = {k: 1000 for k in (500, 700, 1100, 1300, 1900, 2300)}
+    out, placed = packing.rounded(counts, 4096)
+    assert placed >= 0.9 * 6000, placed
 
 
 def test_knapsack_against_enumeration():

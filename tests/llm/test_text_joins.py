@@ -7,7 +7,9 @@ import random
 import numpy as np
 import pytest
 
-from orderflow.llm import decontam, jaccard_join, suffix_dedup
+from pyspark.sql import functions as F
+
+from orderflow.llm import common, decontam, jaccard_join, quality, suffix_dedup
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -43,6 +45,21 @@ def test_windows_match_brute_force(spark, docs, clash, block):
     assert got == want and sum(v[1] > 0 for v in got.values()) > 5
 
 
+def test_clashing_columns_stay(spark, docs):
+    rows, items = bench_rows()
+    bench = spark.createDataFrame(items * 50, "item_id bigint, text string")  # repeated rows are one
+    own = docs(rows).withColumn("_words", F.lit("mine")).withColumn("_spans", F.lit(1)).withColumn("_items", F.lit(2.5))
+    out = decontam.keep_clean(own, bench)
+    assert out.columns == own.columns and 0 < out.count() < len(rows)
+    assert out.filter("_words <> 'mine' OR _spans <> 1 OR _items <> 2.5").count() == 0
+    marked = decontam.mark(own, bench)
+    assert marked.columns[-3:] == ["_words", "_spans", "_items"] and dict(marked.dtypes)["_words"] == "bigint"
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(26)], "doc_id bigint, quality int, toxic int")
+    own = own.withColumn("_quality_score", F.lit("mine"))
+    good = quality.keep_good(own, labels)
+    assert good.columns == own.columns and good.filter("_quality_score <> 'mine'").count() == 0
+
+
 def test_windows_on_empty_tables(spark, docs):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert [r.contaminated for r in decontam.op9(docs([(1, "a b")]), bench).collect()] == [False]
@@ -94,6 +111,53 @@ def test_near_classes_match_brute_force(docs, clash, width, percent):
     assert got == near_brute(rows, width, percent)
 
 
+def test_word_hashes_are_those_of_the_words():
+    rng = random.Random(8)
+    odd = ["", "  ", "a", "one two", "Ünï  x\x0by\x1cz\x00 q", "w" * 300 + " x " + "w" * 300 + " " + "w" * 301,
+           "a" * 8 + " " + "a" * 9 + " " + "a" * 7 + " A", None, "\x00 \x00\x00", "é" * 5]
+    texts = odd + ["".join(rng.choice("ab \x00\n") for _ in range(200)) for _ in range(50)]
+    known: dict = {}
+    for blobs in common.text_groups(texts, 500):
+        hashes, edges = common.hashed_words(blobs)
+        assert len(edges) == len(blobs) + 1 and edges[0] == 0 and edges[-1] == len(hashes)
+        for k, blob in enumerate(blobs):
+            words = blob.split()
+            assert len(words) == edges[k + 1] - edges[k]
+            for w, h in zip(words, hashes[edges[k]:edges[k + 1]]):
+                assert known.setdefault(w, int(h)) == int(h)
+    assert len(set(known.values())) == len(known) > 100
+    for t in texts:
+        words = jaccard_join.words_of(t)
+        n = min(3, len(words))
+        want = {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if words else set()
+        assert len(jaccard_join.token_set(t, 3)) == len(want)
+
+
+def test_crowded_groups_send_a_forest(docs, monkeypatch):
+    """Links that leave a block join trees: fewer than its nodes, not all pairs."""
+    monkeypatch.setattr(jaccard_join, "HOT_ENTRY", 4)
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 0)
+    seen = []
+    whole = jaccard_join.hot_links
+
+    def counted(*args):
+        out = common.stored(whole(*args), "test-hot")
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "hot_links", counted)
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        w[rng.randrange(len(w))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in jaccard_join.classes(docs(rows), 3, 90).collect()}
+    assert set(got.values()) == {0} and len(got) == 90
+    assert seen and max(seen) < 90, seen
+
+
 def test_crowded_entries(docs, monkeypatch):
     """A large group of near copies, with the hot path and frequent tokens forced."""
     monkeypatch.setattr(jaccard_join, "HOT_ENTRY", 4)
