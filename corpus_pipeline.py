@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.llm import decontam, exact_dedup, jaccard_join, packing, quality
 from orderflow.llm.common import bounded_batches, stored, table
 from orderflow.llm.queries import vocabulary
+from orderflow.session import prepare
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +44,14 @@ STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("near_dedup
           ("decontamination", decontamination_stage),
           ("packing", packing_stage)]
 
-#: Tokenising and model fitting have no SQL form; tests/llm compares the
-#: pipeline with a brute-force version.
+#: Tokenising and model fitting have no SQL form; tests/llm/test_pipeline.py
+#: compares all stages together with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
+    bounded_batches(prepare(spark))
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
