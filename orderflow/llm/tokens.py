@@ -3,8 +3,8 @@
 Neither public vocabulary merges across a blank or line break between
 two other characters, so a text's ids are the ids of its blank-separated
 pieces in order.  A worker keeps the ids of pieces it has seen (bounded)
-and asks the tokenizers library only for new ones; the library
-normalises, cuts and merges each piece itself.  With a byte-level
+and asks the tokenizers library only for new ones, those of a group of
+texts as one text; the library normalises, cuts and merges them itself.  With a byte-level
 vocabulary a run of white space is cut as a whole: a text with a blank
 or line break next to other white space is encoded in one call instead.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import unicodedata
 from contextlib import suppress
+from operator import itemgetter
 
 import numpy as np
 
@@ -27,6 +28,8 @@ from .common import worker_cache
 CACHE_PIECES = 600_000
 #: Longer pieces are not remembered.
 CACHE_CHARS = 64
+#: Characters of texts looked up together (one text may be longer).
+GROUP_CHARS = 1 << 20
 #: Marks that a vocabulary always cuts off the letters before them.
 ENDS = ".,;:!?"
 
@@ -47,10 +50,25 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece (with the white space before it, and none else),
+        from one call over all of them: a token belongs to the piece that it
+        starts in."""
+        text = "".join(pieces)
+        if any(a in text for a in self.added):  # only across pieces: no piece has one
+            return self._encode(pieces)
+        found = self.tokenizer.encode_batch([text], add_special_tokens=False)[0]
+        ids = np.asarray(found.ids, "<u4")
+        starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(ids))
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        cuts = (4 * np.searchsorted(starts, ends)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
     def _letters(self, word: str) -> bool:
         """Whether the vocabulary cuts the word only into letters, also after
         its normaliser (which takes some letters apart, into letter and
@@ -77,11 +95,8 @@ class Encoder:
             else:
                 unknown[p] = None
         new = list(unknown)
-        if self.drops_space:
-            texts = new
-        else:  # a piece carries the blank or line break before it
-            texts = [p if p[0] == "\n" else " " + p for p in new]
-        young.update(zip(new, self._encode(texts)))
+        if new:  # a piece carries the blank or line break before it
+            young.update(zip(new, self._encode_pieces([p if p[0] == "\n" else " " + p for p in new])))
         for p, word, marks in ended:
             if marks not in self.marks:
                 self.marks[marks] = self._encode([marks])[0]
@@ -89,10 +104,10 @@ class Encoder:
                 young[word] = old[word]
             young[p] = young[word] + self.marks[marks]
 
-    def _one(self, text: str) -> bytes:
+    def _cut(self, text: str) -> tuple[str, list[str]] | None:
+        """First piece and the others; None if only the whole text will do."""
         if any(a in text for a in self.added):
-            return self._encode([text])[0]
-        whole = text
+            return None
         if self.drops_space:
             try:  # lower() works letter by letter here, as the vocabulary's own normaliser
                 text.encode("latin-1")
@@ -100,46 +115,67 @@ class Encoder:
             except UnicodeEncodeError:
                 pass
             if any(a in text for a in self.added):  # the library looks before it lower-cases
-                return self._encode([whole])[0]
-            pieces = text.replace("\n", " ").split(" ")
-            first = b""
-        else:
-            pieces = text.replace("\n", " \n").split(" ")
-            first = pieces.pop(0)
+                return None
+            return "", text.replace("\n", " ").split(" ")
+        if text.replace("\n", " ") != " ".join(text.split()):  # other white space, or runs of it
+            return None
+        first, *pieces = text.replace("\n", " \n").split(" ")
+        return first, pieces
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """Ids of the texts, new pieces of all of them in one call."""
         young = self.young
-        got = list(map(young.get, pieces))
-        gaps = []
-        with suppress(ValueError):  # index() raises after the last one
-            at = got.index(None)
-            while True:
-                gaps.append(at)
-                at = got.index(None, at + 1)
-        new = [pieces[k] for k in gaps]
-        if not self.drops_space:
-            if first[-1:].isspace() or first[:1].isspace() or not first:
-                return self._encode([text])[0]
-            for p in new:
-                if not p or p[-1].isspace() or (p[0].isspace() and (p[0] != "\n" or p[1].isspace())):
-                    return self._encode([text])[0]
-            first = self._encode([first])[0]
-        if new:
-            self._learn(new)
+        rows: list[tuple | None] = []
+        unknown: dict[str, None] = {}
+        for text in texts:
+            row = self._cut(text)
+            if row is not None:
+                first, pieces = row
+                got = list(map(young.get, pieces))
+                gaps = []
+                with suppress(ValueError):  # index() raises after the last one
+                    at = got.index(None)
+                    while True:
+                        gaps.append(at)
+                        at = got.index(None, at + 1)
+                new = [pieces[k] for k in gaps]
+                unknown.update(dict.fromkeys(new))
+                row = first, got, gaps, new
+            rows.append(row)
+        self._learn(list(unknown))
+        alone = iter(self._encode([row[0] if row else text for row, text in zip(rows, texts)
+                                   if not row or row[0]]))
+        out = []
+        for row in rows:
+            if row is None:
+                out.append(next(alone))
+                continue
+            first, got, gaps, new = row
             for k, p in zip(gaps, new):
                 got[k] = young[p]
-            for p in new:
-                if len(p) > CACHE_CHARS:
-                    young.pop(p, None)
+            out.append((next(alone) if first else b"") + b"".join(got))
+        for p in unknown:
+            if len(p) > CACHE_CHARS:
+                young.pop(p, None)
         if len(self.marks) > CACHE_PIECES:
             self.marks.clear()
-        return first + b"".join(got)
+        return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (None: empty)."""
-        out = []
-        for text in texts:
-            if len(self.young) > CACHE_PIECES:
-                self.old, self.young = self.young, {"": b""} if self.drops_space else {}
-            out.append(self._one(text) if text else b"")
+        out: list[bytes] = [b""] * len(texts)
+        held: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if text:
+                held.append(k)
+                size += len(text)
+            if held and (size > GROUP_CHARS or k + 1 == len(texts)):
+                if len(self.young) > CACHE_PIECES:
+                    self.old, self.young = self.young, {"": b""} if self.drops_space else {}
+                for at, found in zip(held, self._group([texts[i] for i in held])):
+                    out[at] = found
+                held, size = [], 0
         return out
 
 
