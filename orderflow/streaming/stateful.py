@@ -1,13 +1,19 @@
 """Orders held in streaming state until delivered.
 
-Keyed by order_id, each order's events are kept in a list state.  When a
+Each order's events are kept in a map state.  When a
 ``delivered`` event arrives the order is released as one row with all
 its events (by time, type and body) and its state is cleared.  Orders still in
 state are the orders in progress; they are read back from the
 checkpoint with the state data source.
 
-State per key is one order's events, so memory grows with the number of
-open orders, not with the log.  Known behaviour kept from the original:
+The streams are keyed by a bucket of orders (a hash of order_id), not by the
+order: a call of a Python processor, with its key, its clock and an Arrow
+batch of results, costs some ten times what an order's few events do, so
+a call handles all orders of a bucket.  A state call costs as much as well,
+so a bucket's state has one map entry per cell, a share of its orders.
+
+State is the events of open orders, so it grows with the number of
+open orders, not with the log; a batch rewrites the cells it touches.  Known behaviour kept from the original:
 an event arriving after ``delivered`` opens a new state that never
 closes, and a second ``delivered`` releases a second row.
 """
@@ -21,7 +27,7 @@ from datetime import timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,6 +39,17 @@ STATE_VAR = "events"
 CLOSED_VAR = "closed"
 DEADLINE_VAR = "deadline"
 NEXT_VAR = "next"
+CELL_KEY = "cell int"
+HELD_EVENTS = f"events array<{STATE_EVENT.simpleString()}>"
+#: Buckets of orders, the keys of the streams, and cells of a bucket (both are
+#: part of a checkpoint's format).
+BUCKETS = 4096
+CELLS = 16
+#: Up to so many cells of a bucket are read one by one.
+FEW_CELLS = 3
+OUT = Row("event_type", "ts", "body")
+COLLECTED = Row(*COMPLETED_STATE.names)
+EXPIRED = Row(*EXPIRING_STATE.names)
 STATE_COLUMNS = ["event_type", "ts", "body", "order_id", "location"]
 EVENT_COLUMNS = EVENT.names
 
@@ -54,24 +71,61 @@ def _event_order(e: tuple) -> tuple:
     return (e[1] is None, e[1] or 0, *((x is not None, x or "") for x in (e[0], e[2], e[4])))
 
 
-def _release(key, prior: list, new: list) -> tuple[str, str, list]:
+def _release(order_id: str, events: list) -> tuple[str, str, list]:
     """All events of a delivered order in event order; the location is
     that of the first."""
-    stored = sorted(prior + new, key=_event_order)
-    return key[0], stored[0][4], stored
+    stored = sorted(events, key=_event_order)
+    return order_id, stored[0][4], stored
+
+
+def _state_row(r: Row) -> tuple[int, tuple]:
+    return r.cell, (r.event_type, r.ts, r.body, r.order_id, r.location)
+
+
+def _by_order(rows) -> dict[str, list]:
+    """State rows per order."""
+    found: dict[str, list] = {}
+    for r in rows:
+        found.setdefault(r[3], []).append(r)
+    return found
+
+
+def _by_cell(rows) -> dict[int, dict[str, list]]:
+    """State rows of a bucket's events per cell and order."""
+    found: dict[int, dict[str, list]] = {}
+    for cell, r in rows:
+        found.setdefault(cell, {}).setdefault(r[3], []).append(r)
+    return found
+
+
+def _read(state, cells) -> dict[int, tuple]:
+    """What a map state holds for ``cells`` of the bucket."""
+    if len(cells) > FEW_CELLS:  # the bucket as a whole, in a few calls
+        return {k[0]: value for k, value in state.iterator() if k[0] in cells}
+    found = ((c, state.getValue((c,))) for c in cells)
+    return {c: value for c, value in found if value is not None}
+
+
+def _write(state, cell: int, value: tuple, was: bool) -> None:
+    """New value of a cell; a cell without orders (empty first list) has no entry."""
+    if value[0]:
+        state.updateValue((cell,), value)
+    elif was:
+        state.removeKey((cell,))
 
 
 class OrderEventCollector(StatefulProcessor):
-    """List-state collector on Rows; emits an order when it is delivered.
+    """Collector on Rows, one call per bucket of orders; emits an order when
+    it is delivered.
 
-    State never holds a delivered event (it is cleared on release), so a
-    key whose new rows bring no ``delivered`` only appends (one state
-    call); otherwise the earlier events are fetched, the order released
-    and its state cleared.
+    A map state holds the events of the open orders of each cell.  State
+    never holds a delivered event (the order's events go on release), so an
+    order whose new rows bring no ``delivered`` keeps its events and the
+    new ones; otherwise the order is released and leaves its cell.
 
-    ``remember_delivered=True`` keeps a one-boolean flag per released
-    order, and later events of that order are dropped instead of opening
-    state that never closes.  The flag has no expiry: a TTL needs
+    ``remember_delivered=True`` keeps the id of each released order, and
+    later events of that order are dropped instead of opening
+    state that never closes.  The ids have no expiry: a TTL needs
     processing-time mode, whose pending expiries keep a one-shot
     (availableNow) run from finishing.
     """
@@ -80,27 +134,35 @@ class OrderEventCollector(StatefulProcessor):
         self.remember = remember_delivered
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.events = handle.getListState(STATE_VAR, STATE_EVENT)
+        self.events = handle.getMapState(STATE_VAR, CELL_KEY, HELD_EVENTS)
         if self.remember:
-            self.closed = handle.getValueState(CLOSED_VAR, "closed boolean")
+            self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders array<string>")
+
+    def _released(self, by_cell: dict[int, dict[str, list]]) -> Iterator[tuple[str, str, list]]:
+        gone = _read(self.closed, by_cell) if self.remember else {}
+        held = _read(self.events, by_cell)
+        for cell, by_order in by_cell.items():
+            flags = list(gone[cell][0]) if cell in gone else []
+            for order_id in flags:  # orders already released: drop late events
+                by_order.pop(order_id, None)
+            if not by_order:
+                continue
+            still = _by_order(map(tuple, held[cell][0])) if cell in held else {}
+            done = []
+            for order_id, new in by_order.items():
+                events = still.pop(order_id, []) + new
+                if any(e[0] == "delivered" for e in new):
+                    done.append(order_id)
+                    yield _release(order_id, events)
+                else:
+                    still[order_id] = events
+            _write(self.events, cell, ([e for events in still.values() for e in events],), cell in held)
+            if self.remember and done:
+                self.closed.updateValue((cell,), (flags + done,))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if self.remember and self.closed.exists():
-            for _ in rows:  # order already released: drop late events
-                pass
-            return
-        new = [(r.event_type, r.ts, r.body, r.order_id, r.location) for r in rows]
-        if not any(e[0] == "delivered" for e in new):
-            self.events.appendList(new)
-            return
-        prior = list(self.events.get())
-        if prior:
-            self.events.clear()
-        if self.remember:
-            self.closed.update((True,))
-        order_id, location, stored = _release(key, prior, new)
-        yield Row(order_id=order_id, location=location,
-                  events=[Row(event_type=e[0], ts=e[1], body=e[2]) for e in stored])
+        for order_id, location, stored in self._released(_by_cell(map(_state_row, rows))):
+            yield COLLECTED(order_id, location, [OUT(*e[:3]) for e in stored])
 
     def close(self) -> None:
         pass
@@ -108,21 +170,27 @@ class OrderEventCollector(StatefulProcessor):
 
 class SeededOrderEventCollector(OrderEventCollector):
     """The collector, started from orders that were open before the stream:
-    one initial row per order, with its events as state rows."""
+    one initial row per cell, with the events of its orders as state rows."""
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self.events.appendList([tuple(e[c] for c in STATE_COLUMNS) for e in initialState.events])
+        events = [tuple(e[c] for c in STATE_COLUMNS) for e in initialState.events]
+        _write(self.events, initialState.cell, (events,), False)
 
 
 class ExpiringOrderEventCollector(StatefulProcessor):
-    """The collector with an event-time timer per order.
-
-    The timer stands ``delay_ms`` after the latest event of the order.  If
-    it fires before the order is delivered, the order is handed out as
-    ``expired`` with the events it has; after delivery it removes the flag
-    that keeps later events out and hands out ``forgotten``.  So no state
-    outlives the watermark by more than the delay.  Orders whose events
-    carry no time count from the watermark of the batch that brings them.
+    """The collector with a deadline per order, and an event-time timer per
+    bucket at the earliest of them.
+
+    The deadline is ``delay_ms`` after the latest event of the order.  If
+    the watermark passes it before the order is delivered, the order is
+    handed out as ``expired`` with the events it has; after delivery it
+    removes the flag that keeps later events out and hands out
+    ``forgotten``.  So no state outlives the watermark by more than the
+    delay.  Orders whose events carry no time count from the watermark of
+    the batch that brings them.
+
+    A timer that fires reads its bucket and sets the next one; it may find
+    nothing due, if the earliest deadline has moved on.
     """
 
     def __init__(self, delay_ms: int):
@@ -130,56 +198,92 @@ class ExpiringOrderEventCollector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState(STATE_VAR, STATE_EVENT)
-        self.closed = handle.getValueState(CLOSED_VAR, "location string")
+        self.events = handle.getMapState(STATE_VAR, CELL_KEY, f"{HELD_EVENTS}, due array<struct<order_id:string,ms:bigint>>")
+        self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders array<struct<order_id:string,location:string,ms:bigint>>")
         self.deadline = handle.getValueState(DEADLINE_VAR, "ms bigint")
 
-    def _move_timer(self, new: list, timerValues) -> None:
-        times = [e[1] // 1000 for e in new if e[1] is not None]
-        due = (max(times) if times else timerValues.getCurrentWatermarkInMs()) + self.delay_ms
-        old = self.deadline.get()[0] if self.deadline.exists() else None
-        if old is not None and old >= due:
+    def _set_timer(self, due: int) -> None:
+        old = self.deadline.get()
+        if old is not None and old[0] <= due:
             return
         if old is not None:
-            self.handle.deleteTimer(old)
+            self.handle.deleteTimer(old[0])
         self.handle.registerTimer(due)
         self.deadline.update((due,))
 
+    def _keep(self, cell: int, still: dict[str, list], due: dict[str, int], was: bool) -> None:
+        _write(self.events, cell, ([e for events in still.values() for e in events],
+                                   [(order_id, due[order_id]) for order_id in still]), was)
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [(r.event_type, r.ts, r.body, r.order_id, r.location) for r in rows]
-        if self.closed.exists():  # released before: late events stay out, and the flag waits no longer for them
-            return
-        self._move_timer(new, timerValues)
-        if not any(e[0] == "delivered" for e in new):
-            self.events.appendList(new)
-            return
-        order_id, location, stored = _release(key, list(self.events.get()), new)
-        self.events.clear()
-        self.closed.update((location,))
-        yield self._row(order_id, location, "delivered", stored)
+        by_cell = _by_cell(map(_state_row, rows))
+        gone, held = _read(self.closed, by_cell), _read(self.events, by_cell)
+        earliest = []
+        for cell, by_order in by_cell.items():
+            flags = [tuple(f) for f in gone[cell][0]] if cell in gone else []
+            for order_id, _, _ in flags:
+                # released before: late events stay out, and the flag waits no longer for them
+                by_order.pop(order_id, None)
+            if not by_order:
+                continue
+            still = _by_order(map(tuple, held[cell][0])) if cell in held else {}
+            due = {order_id: ms for order_id, ms in held[cell][1]} if cell in held else {}
+            done = []
+            for order_id, new in by_order.items():
+                events = still.pop(order_id, []) + new
+                times = [e[1] // 1000 for e in new if e[1] is not None]
+                ms = (max(times) if times else timerValues.getCurrentWatermarkInMs()) + self.delay_ms
+                ms = due[order_id] = max(ms, due.get(order_id, ms))
+                earliest.append(ms)
+                if any(e[0] == "delivered" for e in new):
+                    order_id, location, stored = _release(order_id, events)
+                    done.append((order_id, location, ms))
+                    yield EXPIRED(order_id, location, [OUT(*e[:3]) for e in stored], "delivered")
+                else:
+                    still[order_id] = events
+            self._keep(cell, still, due, cell in held)
+            if done:
+                self.closed.updateValue((cell,), (flags + done,))
+        if earliest:
+            self._set_timer(min(earliest))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.deadline.clear()
-        if self.closed.exists():
-            location = self.closed.get()[0]
-            self.closed.clear()
-            yield self._row(key[0], location, "forgotten", [])
-            return
-        order_id, location, stored = _release(key, list(self.events.get()), [])
-        self.events.clear()
-        yield self._row(order_id, location, "expired", stored)
-
-    @staticmethod
-    def _row(order_id, location, outcome, stored) -> Row:
-        return Row(order_id=order_id, location=location,
-                   events=[Row(event_type=e[0], ts=e[1], body=e[2]) for e in stored], outcome=outcome)
+        fired, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        left = []
+
+        def over(ms: int) -> bool:
+            if ms <= fired or ms < watermark:
+                return True
+            left.append(ms)
+            return False
+
+        for (cell,), (flags,) in list(self.closed.iterator()):
+            past = [over(f[2]) for f in flags]
+            if any(past):
+                _write(self.closed, cell, ([tuple(f) for f, p in zip(flags, past) if not p],), True)
+            for f, p in zip(flags, past):
+                if p:
+                    yield EXPIRED(f[0], f[1], [], "forgotten")
+        for (cell,), (events, deadlines) in list(self.events.iterator()):
+            past = [order_id for order_id, ms in deadlines if over(ms)]
+            if not past:
+                continue
+            still = _by_order(map(tuple, events))
+            for order_id in past:
+                order_id, location, stored = _release(order_id, still.pop(order_id))
+                yield EXPIRED(order_id, location, [OUT(*e[:3]) for e in stored], "expired")
+            self._keep(cell, still, {order_id: ms for order_id, ms in deadlines}, True)
+        if left:
+            self._set_timer(min(left))
 
     def close(self) -> None:
         pass
 
 
 class SequenceNumberer(StatefulProcessor):
-    """Numbers an order's events 0, 1, 2, ... across micro-batches.
+    """Numbers an order's events 0, 1, 2, ... across micro-batches, one call
+    per bucket of orders.
 
     A micro-batch is numbered by time, then event id (none last), as
     ``quality.with_sequence`` does; numbers go on where the last batch of
@@ -187,49 +291,45 @@ class SequenceNumberer(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.next = handle.getValueState(NEXT_VAR, "n bigint")
+        self.next = handle.getMapState(NEXT_VAR, CELL_KEY, "orders array<struct<order_id:string,n:bigint>>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        n = self.next.get()[0] if self.next.exists() else 0
-        batch = sorted(rows, key=lambda r: (r.at is None, r.at or 0, r.event_id is None, r.event_id or ""))
-        for r in batch:
-            yield Row(**{c: r[c] for c in EVENT_COLUMNS if c != "sequence"}, sequence=n)
-            n += 1
-        self.next.update((n,))
+        by_cell: dict[int, dict[str, list]] = {}
+        for r in rows:
+            fields = r.__fields__
+            by_cell.setdefault(r.cell, {}).setdefault(r.order_id, []).append(tuple(r))
+        event_id, at = fields.index("event_id"), fields.index("at")
+        columns = [fields.index(c) for c in NUMBERED.names[:-1]]
+        numbered = Row(*NUMBERED.names)
+        held = _read(self.next, by_cell)
+        for cell, by_order in by_cell.items():
+            counts = {order_id: n for order_id, n in held[cell][0]} if cell in held else {}
+            for order_id, batch in by_order.items():
+                n = counts.get(order_id, 0)
+                batch.sort(key=lambda r: (r[at] is None, r[at] or 0, r[event_id] is None, r[event_id] or ""))
+                for k, r in enumerate(batch, n):
+                    yield numbered(*[r[c] for c in columns], k)
+                counts[order_id] = n + len(batch)
+            self.next.updateValue((cell,), (list(counts.items()),))
 
     def close(self) -> None:
         pass
 
 
-class PandasOrderEventCollector(StatefulProcessor):
-    """The same collector on pandas frames (``transformWithStateInPandas``).
-
-    Measured about 3x slower than the Row form for order-sized groups
-    (a pandas frame per key in and out); kept for pandas-based callers.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.events = handle.getListState(STATE_VAR, STATE_EVENT)
+class PandasOrderEventCollector(OrderEventCollector):
+    """The same collector on pandas frames (``transformWithStateInPandas``),
+    kept for pandas-based callers."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = [pdf[STATE_COLUMNS] for pdf in rows]
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        new = [tuple(_py(v) for v in r) for r in batch.itertuples(index=False, name=None)]
-        if not bool((batch["event_type"] == "delivered").any()):
-            self.events.appendList(new)
-            return
-        prior = list(self.events.get())
-        if prior:
-            self.events.clear()
-        order_id, location, stored = _release(key, prior, new)
-        yield pd.DataFrame({
-            "order_id": [order_id],
-            "location": [location],
-            "events": [[{"event_type": e[0], "ts": e[1], "body": e[2]} for e in stored]],
-        })
-
-    def close(self) -> None:
-        pass
+        new = ((int(r[0]), tuple(_py(v) for v in r[1:]))
+               for pdf in rows for r in pdf[["cell", *STATE_COLUMNS]].itertuples(index=False, name=None))
+        done = list(self._released(_by_cell(new)))
+        if done:
+            yield pd.DataFrame({
+                "order_id": [d[0] for d in done],
+                "location": [d[1] for d in done],
+                "events": [[{"event_type": e[0], "ts": e[1], "body": e[2]} for e in d[2]] for d in done],
+            })
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -242,6 +342,17 @@ def use_rocksdb(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def _bucketed(df: DataFrame) -> DataFrame:
+    """Add the bucket of an order and its cell there."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).cast("int")).withColumn(
+        "cell", (F.crc32(F.encode("order_id", "UTF-8")) % CELLS).cast("int"))
+
+
+def _cells_of(opened: DataFrame) -> DataFrame:
+    """(bucket, cell, events) of open orders (order_id, events)."""
+    return _bucketed(opened).groupBy("bucket", "cell").agg(F.flatten(F.collect_list("events")).alias("events"))
+
+
 def state_input(events: DataFrame, strict: bool = True) -> DataFrame:
     """Project the envelope to the state row; ts cast strictly by default.
 
@@ -266,7 +377,7 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
                      remember_delivered: bool = False, opened: DataFrame | None = None) -> DataFrame:
     """Stream of delivered orders with all their events (append).
 
-    Keyed by order_id (one shuffle to the state partitions), no timers.
+    Keyed by buckets of orders (one shuffle to the state partitions), no timers.
     ``pandas=True`` runs the pandas form of the processor;
     ``remember_delivered=True`` drops events that arrive after an order
     was released (see ``OrderEventCollector``).  ``opened`` (see
@@ -274,7 +385,7 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
     were open before it; a restart from the checkpoint does not read it.
     """
     use_rocksdb(events_stream.sparkSession)
-    grouped = state_input(events_stream, strict).groupBy("order_id")
+    grouped = _bucketed(state_input(events_stream, strict)).groupBy("bucket")
     if pandas:
         return _with_times(grouped.transformWithStateInPandas(
             statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED_STATE,
@@ -282,7 +393,7 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
     if opened is not None:
         return _with_times(grouped.transformWithState(
             statefulProcessor=SeededOrderEventCollector(remember_delivered), outputStructType=COMPLETED_STATE,
-            outputMode="Append", timeMode="None", initialState=opened.groupBy("order_id")))
+            outputMode="Append", timeMode="None", initialState=_cells_of(opened).groupBy("bucket")))
     return _with_times(grouped.transformWithState(
         statefulProcessor=OrderEventCollector(remember_delivered),
         outputStructType=COMPLETED_STATE, outputMode="Append", timeMode="None"))
@@ -298,7 +409,7 @@ def expiring_orders(events_stream: DataFrame, delay: timedelta = timedelta(days=
     """
     use_rocksdb(events_stream.sparkSession)
     rows = state_input(events_stream, strict).withColumn("at", F.timestamp_micros("ts")).withWatermark("at", lateness)
-    return _with_times(rows.groupBy("order_id").transformWithState(
+    return _with_times(_bucketed(rows).groupBy("bucket").transformWithState(
         statefulProcessor=ExpiringOrderEventCollector(int(delay.total_seconds() * 1000)),
         outputStructType=EXPIRING_STATE, outputMode="Append", timeMode="EventTime"))
 
@@ -308,7 +419,7 @@ def numbered_events(events_stream: DataFrame) -> DataFrame:
     ``SequenceNumberer``).  Events without an order id have no number."""
     use_rocksdb(events_stream.sparkSession)
     own = events_stream.filter(F.col("order_id").isNotNull()).withColumn("at", F.unix_micros(parse_ts("ts")))
-    numbered = own.groupBy("order_id").transformWithState(
+    numbered = _bucketed(own).groupBy("bucket").transformWithState(
         statefulProcessor=SequenceNumberer(), outputStructType=NUMBERED, outputMode="Append", timeMode="None")
     rest = events_stream.filter(F.col("order_id").isNull()).withColumn("sequence", F.lit(None).cast("bigint"))
     return numbered.select(*EVENT_COLUMNS).unionByName(rest.select(*EVENT_COLUMNS))
@@ -344,16 +455,16 @@ def completed_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
 def orders_in_progress(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """Orders still held in the collector's state, with their events.
 
-    Reads the list state from the checkpoint (state data source, one row
-    per element) and regroups it per order; ``batch_id`` reads the state as
+    Reads the map state from the checkpoint (state data source, one row
+    per cell) and regroups it per order; ``batch_id`` reads the state as
     it was after that batch instead of the newest.
     """
     reader = spark.read.format("statestore").option("stateVarName", STATE_VAR)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    e = F.col("list_element")
-    g = reader.load(checkpoint).groupBy(F.col("key.order_id").alias("order_id")).agg(
-        _ordered(e["event_type"], e["ts"], e["body"], e["location"]).alias("events"))
+    e = F.col("e")
+    g = reader.load(checkpoint).select(F.explode("user_map_value.events").alias("e")).groupBy(
+        e["order_id"].alias("order_id")).agg(_ordered(e["event_type"], e["ts"], e["body"], e["location"]).alias("events"))
     return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))
 
 
@@ -362,21 +473,24 @@ def orders_opened_closed(spark: SparkSession, checkpoint: str, first_batch: int
     state: ``opened`` (events held where none were) or ``closed``.
 
     Read from the change feed of the state store, whose size is that of the
-    batches, not of the state.  A batch either adds to an order's list or
-    clears it, so an order was opened where its last change before was no
-    addition.  From a later ``first_batch`` on, an order's first addition
-    is taken for an opening unless it was open before that batch.
+    cells that the batches touched, not of the state.  An order was opened
+    where the cell holds it and did not before, and closed the other way
+    round.  From a later ``first_batch`` on, the state before that batch
+    tells what a cell held.
     """
-    feed = (spark.read.format("statestore").option("stateVarName", STATE_VAR).option("readChangeFeed", True)
-            .option("changeStartBatchId", first_batch).load(checkpoint))
-    held = F.max((F.col("change_type") != "delete").cast("int")).alias("held")
-    changes = feed.groupBy(F.col("key.order_id").alias("order_id"), "batch_id").agg(held)
+    def cells(df: DataFrame, batch: Column, orders: Column) -> DataFrame:
+        return df.select(F.col("key.bucket").alias("bucket"), F.col("user_map_key.cell").alias("cell"),
+                         batch.cast("bigint").alias("batch_id"), orders.alias("orders"))
+
+    reader = spark.read.format("statestore").option("stateVarName", STATE_VAR)
+    feed = reader.option("readChangeFeed", True).option("changeStartBatchId", first_batch).load(checkpoint)
+    orders, none = F.array_distinct(F.col("user_map_value.events.order_id")), F.array().cast("array<string>")
+    changes = cells(feed, F.col("batch_id"), F.when(F.col("change_type") == "delete", none).otherwise(orders))
     if first_batch:
         before = spark.read.format("statestore").option("stateVarName", STATE_VAR).option(
             "batchId", first_batch - 1).load(checkpoint)
-        changes = changes.unionByName(before.groupBy(F.col("key.order_id").alias("order_id")).agg(
-            F.lit(first_batch - 1).cast("bigint").alias("batch_id"), F.lit(1).alias("held")))
-    w = Window.partitionBy("order_id").orderBy("batch_id")
-    moved = changes.withColumn("was", F.coalesce(F.lag("held").over(w), F.lit(0))).filter("held <> was")
-    return moved.filter(F.col("batch_id") >= first_batch).select(
-        "batch_id", "order_id", F.when(F.col("held") == 1, "opened").otherwise("closed").alias("change"))
+        changes = changes.unionByName(cells(before, F.lit(first_batch - 1), orders))
+    w = Window.partitionBy("bucket", "cell").orderBy("batch_id")
+    turns = changes.withColumn("was", F.coalesce(F.lag("orders").over(w), none)).filter(F.col("batch_id") >= first_batch)
+    return turns.select("batch_id", F.explode(F.array_except("orders", "was")).alias("order_id"), F.lit("opened").alias("change")).unionByName(
+        turns.select("batch_id", F.explode(F.array_except("was", "orders")).alias("order_id"), F.lit("closed").alias("change")))

@@ -95,3 +95,31 @@ def test_change_feed_and_snapshots(spark, events):
     assert changes(2) == every[4:]
     held = [sorted(r.order_id for r in stateful.orders_in_progress(spark, runs.checkpoint, b).collect()) for b in range(3)]
     assert held == [["a", "b"], ["b", "d"], ["a", "d"]]
+
+
+def test_a_call_handles_a_bucket_of_orders(spark, events, monkeypatch):
+    """Many orders, few keys of the state store; rows as with a key per order."""
+    monkeypatch.setattr(stateful, "BUCKETS", 2)
+    names = [f"o{k:02d}" for k in range(60)]
+    loads = [[("order_created", f"01 10:00:{k:02d}", o) for k, o in enumerate(names)],
+             [("delivered", "01 11:00:00", o) for o in names[:40:2]] + [("driver_ping", "01 11:00:00", names[1])],
+             [("driver_ping", "01 12:00:00", names[0]), ("delivered", "01 12:00:00", names[1])]]
+    runs = Runs(spark, events, stateful.completed_orders)
+    for rows in loads:
+        done = runs.land(rows)
+    state = spark.read.format("statestore").option("stateVarName", stateful.STATE_VAR).load(runs.checkpoint)
+    assert 1 <= state.select("key").distinct().count() <= 2
+    assert {r.order_id: [e.event_type for e in r.events] for r in done.collect()} == {
+        **{o: ["order_created", "delivered"] for o in names[:40:2]}, names[1]: ["order_created", "driver_ping", "delivered"]}
+    waiting = {r.order_id: len(r.events) for r in stateful.orders_in_progress(spark, runs.checkpoint).collect()}
+    assert waiting == {names[0]: 1, **{o: 1 for o in names[3:40:2] + names[40:]}}
+    changes = {b: sorted((r.order_id, r.change) for r in stateful.orders_opened_closed(spark, runs.checkpoint).collect()
+                         if r.batch_id == b) for b in range(3)}
+    assert changes == {0: [(o, "opened") for o in names], 1: [(o, "closed") for o in names[:40:2]],
+                       2: [(names[0], "opened"), (names[1], "closed")]}
+    numbered = Runs(spark, events, stateful.numbered_events)
+    for rows in loads:
+        got = numbered.land(rows)
+    assert {(r.order_id, r.event_type): r.sequence for r in got.collect() if r.order_id in names[:2]} == {
+        (names[0], "order_created"): 0, (names[0], "delivered"): 1, (names[0], "driver_ping"): 2,
+        (names[1], "order_created"): 0, (names[1], "driver_ping"): 1, (names[1], "delivered"): 2}
