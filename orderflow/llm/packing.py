@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, texts_of
+from .common import map_batches, released, stored, texts_of
 from .tokens import encoder
 
 SEQUENCE = 4096
@@ -46,6 +46,10 @@ FEW = 512
 #: Knapsacks of a round with changed prices, and configurations of best fit to start from.
 CHANGED = 4
 MOST_KNOWN = 2000
+#: Pieces of text a worker's encoder remembers, and characters it looks up
+#: together: packing may follow stages that left the executor little memory.
+KNOWN_PIECES = 150_000
+GROUP_CHARS = 1 << 18
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 200_000
 
@@ -58,11 +62,12 @@ def pieces_of(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE,
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        known = encoder(vocabulary, KNOWN_PIECES, GROUP_CHARS)
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch = whole.slice(first, 512)
                 rows, piece, start, length, crc = [], [], [], [], []
-                for k, ids in enumerate(encoder(vocabulary).ids(texts_of(batch))):
+                for k, ids in enumerate(known.ids(texts_of(batch))):
                     ids += tail
                     for p, at in enumerate(range(0, len(ids), 4 * sequence)):
                         part = ids[at:at + 4 * sequence]
@@ -77,7 +82,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE,
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+        released(run), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def best_configuration(price: np.ndarray, capacity: int) -> Pattern:

@@ -35,9 +35,14 @@ ENDS = ".,;:!?"
 
 
 class Encoder:
-    """Ids of whole texts under one vocabulary file."""
+    """Ids of whole texts under one vocabulary file.
 
-    def __init__(self, path: str):
+    ``pieces`` bounds what is remembered (two generations of so many),
+    ``group`` the characters of texts looked up together.
+    """
+
+    def __init__(self, path: str, pieces: int = CACHE_PIECES, group: int = GROUP_CHARS):
+        self.pieces, self.group = pieces, group
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -157,7 +162,7 @@ class Encoder:
         for p in unknown:
             if len(p) > CACHE_CHARS:
                 young.pop(p, None)
-        if len(self.marks) > CACHE_PIECES:
+        if len(self.marks) > self.pieces:
             self.marks.clear()
         return out
 
@@ -170,8 +175,8 @@ class Encoder:
             if text:
                 held.append(k)
                 size += len(text)
-            if held and (size > GROUP_CHARS or k + 1 == len(texts)):
-                if len(self.young) > CACHE_PIECES:
+            if held and (size > self.group or k + 1 == len(texts)):
+                if len(self.young) > self.pieces:
                     self.old, self.young = self.young, {"": b""} if self.drops_space else {}
                 for at, found in zip(held, self._group([texts[i] for i in held])):
                     out[at] = found
@@ -179,5 +184,7 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    return worker_cache("encoder_" + os.path.basename(path), lambda: Encoder(path))
+def encoder(path: str, pieces: int = CACHE_PIECES, group: int = GROUP_CHARS) -> Encoder:
+    """The worker's encoder; what other stages kept in the worker goes."""
+    return worker_cache(f"encoder_{os.path.basename(path)}_{pieces}_{group}", lambda: Encoder(path, pieces, group),
+                        alone=True)

@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import language, packing, quality, token_files, warc
+from orderflow.llm import common, language, packing, quality, token_files, warc
 from orderflow.llm.queries import ORACLE, QUERIES, vocabulary
 from orderflow.llm.tokens import ENDS, Encoder
 from orderflow.session import checkpoint_root, scratch_path
@@ -188,6 +188,21 @@ def test_every_letter_before_every_mark(name):
     assert not wrong, (len(wrong), wrong[:5])
 
 
+def test_bounded_encoder_and_worker_memory():
+    """An encoder that remembers little gives the same ids, and building one
+    frees what other stages left in the worker."""
+    path = vocabulary("word_bpe_49k.json")
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}x" for _ in range(60)) for _ in range(80)]
+    small = Encoder(path, pieces=50, group=1000)
+    assert small.ids(texts) == Encoder(path).ids(texts)
+    assert len(small.old) + len(small.young) < 400  # of 900 words and more
+    common.word_hashes()
+    assert packing.encoder(path, packing.KNOWN_PIECES, packing.GROUP_CHARS).pieces == packing.KNOWN_PIECES < 600_000
+    assert [k for k in vars(sys.modules["_orderflow_llm_worker"]) if not k.startswith("__")] == [
+        f"encoder_word_bpe_49k.json_{packing.KNOWN_PIECES}_{packing.GROUP_CHARS}"]
+
+
 def test_token_files(spark, docs, clash):
     rows = [(7, "b"), (3, None), (5, ""), (7, "a"), (1, "long text " * 9000), (None, "no id")] + [
         (100 + i, t) for i, t in enumerate(ODD)]
