@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
-from .common import mix, released, shuffle_partitions, stored
+from .common import mix, released, settled, shuffle_partitions, stored
 
 WINDOW = 50
 GRAM = 16
@@ -617,9 +617,14 @@ def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     single = full.withColumn("digest", digest).join(
         broadcast_if_small(copies.select("doc_id", "digest")), ["doc_id", "digest"], "left_anti")
     packs = packs_of(single)
-    keys = stored(shared_keys(packs, shards), "shared-keys")
-    segments = stored(segments_of(packs, keys, shards), "segments")
-    spans = stored(removed_windows(segments, shards), "removed-windows")
+    spark = docs.sparkSession
+
+    def segments() -> DataFrame:
+        keys = settled(spark, "shared-keys", lambda: shared_keys(packs, shards))
+        return segments_of(packs, keys, shards)
+
+    # Each step's tables and shuffle files go as soon as the next one is stored.
+    spans = settled(spark, "removed-windows", lambda: removed_windows(settled(spark, "segments", segments), shards))
     done = cut(packs, spans)
     goes = F.col("n_bytes") >= WINDOW
     whole = rows.filter(F.col("doc_id").isNull()).select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"),

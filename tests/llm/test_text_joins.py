@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.llm import common, decontam, jaccard_join, quality, suffix_dedup
+from orderflow.session import scratch_path
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -228,6 +230,20 @@ def test_strings_match_brute_force(docs, clash, monkeypatch):
     assert got == suffix_dedup.brute_force(rows)
 
 
+def test_substring_dedup_frees_its_steps(spark, docs, monkeypatch):
+    """Keys and segments are gone when the result is there to be read."""
+    made = []
+    monkeypatch.setattr(common, "scratch_path", lambda spark, tag: made.append(
+        (tag, scratch_path(spark, tag))) or made[-1][1])
+    text = "a passage that two documents share, of well over fifty bytes in all"
+    rows = [(k, f"{k} begins {text} and ends {k}") for k in range(8)]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op3(docs(rows)).collect()}
+    assert got == suffix_dedup.brute_force(rows)
+    left = {tag: Path(path.removeprefix("file:")).exists() for tag, path in made}
+    assert left["llm-text-packs"] and left["llm-removed-windows"]
+    assert not left["llm-shared-keys"] and not left["llm-segments"]
+
+
 def test_hot_keys_are_split(spark, docs, monkeypatch):
     """A phrase in every document: no key may bring more than the bound to a shard."""
     for name, value in (("PACK_DOCS", 4), ("HOT_BYTES", 600), ("HOT_ROW_BYTES", 200), ("BLOCK_BYTES", 500)):
