@@ -51,7 +51,7 @@ EVENT_TYPES = [
     "driver_picked_up", "driver_ping", "delivered",
 ]
 
-# Row kept in the stateful collector's list state; ts in epoch microseconds.
+# Row kept in the stateful collector's state; ts in epoch microseconds.
 STATE_EVENT = T.StructType([
     T.StructField("event_type", T.StringType()),
     T.StructField("ts", T.LongType()),
