@@ -15,9 +15,11 @@ in one call.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import unicodedata
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from operator import itemgetter
 
 import numpy as np
@@ -32,6 +34,21 @@ CACHE_CHARS = 64
 GROUP_CHARS = 1 << 20
 #: Marks that a vocabulary always cuts off the letters before them.
 ENDS = ".,;:!?"
+#: White space other than a blank or line break (as ``str.split`` knows it).
+OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+@contextmanager
+def uncollected():
+    """No cyclic garbage collection inside the block: the many small tuples
+    and lists of an encoding hold no cycles, and are only walked in vain."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 class Encoder:
@@ -122,9 +139,10 @@ class Encoder:
             if any(a in text for a in self.added):  # the library looks before it lower-cases
                 return None
             return "", text.replace("\n", " ").split(" ")
-        if text.replace("\n", " ") != " ".join(text.split()):  # other white space, or runs of it
-            return None
         first, *pieces = text.replace("\n", " \n").split(" ")
+        # Runs of white space, at the ends too, or other white space.
+        if not first or "" in pieces or "\n" in pieces or OTHER_SPACE.search(text):
+            return None
         return first, pieces
 
     def _group(self, texts: list[str]) -> list[bytes]:
@@ -178,8 +196,9 @@ class Encoder:
             if held and (size > self.group or k + 1 == len(texts)):
                 if len(self.young) > self.pieces:
                     self.old, self.young = self.young, {"": b""} if self.drops_space else {}
-                for at, found in zip(held, self._group([texts[i] for i in held])):
-                    out[at] = found
+                with uncollected():
+                    for at, found in zip(held, self._group([texts[i] for i in held])):
+                        out[at] = found
                 held, size = [], 0
         return out
 

@@ -383,3 +383,23 @@ def test_query_matches_oracle(spark, name):
 
     res = compare(spark, name, QUERIES[name], ORACLE[name], SF, duck(SF))
     assert res["spark_rows"] == res["oracle_rows"] and res["schema_ok"] and res["hash_ok"], res
+
+
+def test_byte_level_texts_with_runs_of_white_space_are_not_cut():
+    import gc
+
+    from orderflow.llm import tokens
+
+    e = tokens.Encoder.__new__(tokens.Encoder)
+    e.added, e.drops_space = [], False
+    parts = ["a", "b", " ", "\n", "\t", "\u00a0", "\x1c", ""]
+    texts = [a + b + c + d for a in parts for b in parts for c in parts for d in parts]
+    for text in filter(None, texts):
+        runs = text.replace("\n", " ") != " ".join(text.split())
+        assert (e._cut(text) is None) == runs, repr(text)
+        if not runs:
+            assert [e._cut(text)[0], *e._cut(text)[1]] == text.replace("\n", " \n").split(" ")
+    assert gc.isenabled()
+    with tokens.uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
