@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orderflow.operators import delivery
-from orderflow.operators.joins import left_join_nonnull
+from orderflow.operators.joins import broadcast_if_small, left_join_nonnull, plan_size_bytes
 
 
 def test_percentiles_exact_with_hot_location(spark):
@@ -52,3 +52,21 @@ def test_null_key_join_spreads_without_broadcast(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert parts > 1
+
+
+def test_size_estimate_is_read_and_decides_the_broadcast(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/small")
+    small = spark.read.parquet(f"{tmp_path}/small")
+    size = plan_size_bytes(small)
+    assert size is not None and 0 < size < 100_000
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def plan(limit):
+            joined = spark.range(5000).join(broadcast_if_small(small, limit), "id", "left_anti")
+            return joined._jdf.queryExecution().executedPlan().toString()
+
+        assert "BroadcastHashJoin" in plan(size)
+        assert "SortMergeJoin" in plan(size - 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
