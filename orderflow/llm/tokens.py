@@ -32,8 +32,8 @@ CACHE_PIECES = 600_000
 CACHE_CHARS = 64
 #: Characters of texts looked up together (one text may be longer).
 GROUP_CHARS = 1 << 20
-#: Marks that a vocabulary always cuts off the letters before them.
-ENDS = ".,;:!?"
+#: Marks that a vocabulary always cuts off the letters before them: all of ASCII.
+ENDS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: White space other than a blank or line break (as ``str.split`` knows it).
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
@@ -51,6 +51,12 @@ def uncollected():
             gc.enable()
 
 
+def _slices(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The ids as bytes, cut at ``ends``."""
+    raw, cuts = ids.tobytes(), (4 * ends).tolist()
+    return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+
 class Encoder:
     """Ids of whole texts under one vocabulary file.
 
@@ -61,21 +67,46 @@ class Encoder:
     def __init__(self, path: str, pieces: int = CACHE_PIECES, group: int = GROUP_CHARS):
         self.pieces, self.group = pieces, group
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         #: Texts of added tokens, which the library finds before it cuts pieces.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: With a normaliser, white space only separates pieces.
         self.drops_space = self.tokenizer.normalizer is not None
+        #: Which ids end a word; None if the vocabulary does not mark that.
+        self.word_end: np.ndarray | None = None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            known = self.tokenizer.get_vocab()
+            self.word_end = np.zeros(max(known.values()) + 1, bool)
+            self.word_end[[i for token, i in known.items() if token.endswith(suffix)]] = True
+            #: The same merges for words that the normaliser and the cut at marks leave as they are.
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.young: dict[str, bytes] = {"": b""} if self.drops_space else {}
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word (letters only), from one call over all of them that
+        keeps no places in the text: where a vocabulary marks the ends of
+        words, the ids tell them."""
+        pieces = [" " + w for w in words]
+        if self.word_end is None:
+            return self._encode_pieces(pieces)
+        text = "".join(pieces)
+        library = self.plain if text.isascii() and text.islower() else self.tokenizer
+        ids = np.asarray(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(words):  # a word was cut
+            return self._encode_pieces(pieces)
+        return _slices(ids, ends)
+
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece (with the white space before it, and none else),
         from one call over all of them: a token belongs to the piece that it
@@ -87,9 +118,7 @@ class Encoder:
         ids = np.asarray(found.ids, "<u4")
         starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(ids))
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        cuts = (4 * np.searchsorted(starts, ends)).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+        return _slices(ids, np.searchsorted(starts, ends))
 
     def _letters(self, word: str) -> bool:
         """Whether the vocabulary cuts the word only into letters, also after
@@ -102,7 +131,9 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         """Make every piece known."""
         young, old = self.young, self.old
-        unknown: dict[str, None] = {}
+        plain: dict[str, None] = {}
+        words: dict[str, None] = {}
+        others: dict[str, None] = {}
         ended: list[tuple[str, str, str]] = []
         for p in pieces:
             known = old.get(p)
@@ -110,15 +141,19 @@ class Encoder:
                 young[p] = known
                 continue
             word = p.rstrip(ENDS)
-            if word != p and self._letters(word.lstrip("\n")):  # letters, then one run of marks
+            if not self._letters(word.lstrip("\n")):
+                others[p] = None
+                continue
+            if word != p:  # letters, then one run of marks
                 ended.append((p, word, p[len(word):]))
-                if word not in young and word not in old:
-                    unknown[word] = None
-            else:
-                unknown[p] = None
-        new = list(unknown)
-        if new:  # a piece carries the blank or line break before it
-            young.update(zip(new, self._encode_pieces([p if p[0] == "\n" else " " + p for p in new])))
+                if word in young or word in old:
+                    continue
+            (others if word[0] == "\n" else plain if word.isascii() and word.islower() else words)[word] = None
+        for some in (plain, words):
+            if some:
+                young.update(zip(some, self._encode_words(list(some))))
+        if others:  # a piece carries the blank or line break before it
+            young.update(zip(others, self._encode_pieces([p if p[0] == "\n" else " " + p for p in others])))
         for p, word, marks in ended:
             if marks not in self.marks:
                 self.marks[marks] = self._encode([marks])[0]

@@ -403,3 +403,34 @@ def test_byte_level_texts_with_runs_of_white_space_are_not_cut():
     with tokens.uncollected():
         assert not gc.isenabled()
     assert gc.isenabled()
+
+
+def test_encoder_asks_for_a_word_once_whatever_marks_follow_it():
+    enc, asked = Encoder(vocabulary("word_bpe_49k.json")), []
+    encode = enc._encode_words
+    enc._encode_words = lambda words: asked.extend(words) or encode(words)
+    texts = ["Abcde### abcde*** abcde$$$. abcde", "fghij%%% abcde&&& fghij' été_ ÉTÉ@ don't x9##", "abcde|~`^ ıj<> ıj="]
+    for _ in range(2):
+        want = enc.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert enc.ids(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in want]
+    assert sorted(asked) == ["abcde", "fghij", "été", "ıj"]
+
+
+def test_a_worker_keeps_objects_of_one_stage_only():
+    import pyarrow as pa
+
+    def stage():
+        def fn(batches):
+            common.word_hashes()
+            yield from batches
+        return fn
+
+    def other(batches):
+        yield from batches
+
+    home = common._worker_home()
+    batch = pa.RecordBatch.from_pydict({"x": [1]})
+    assert list(common.released(stage())([batch])) == [batch]
+    kept = vars(home)["word_hashes"]
+    assert list(common.released(stage())([batch])) == [batch] and vars(home)["word_hashes"] is kept
+    assert list(common.released(other)([batch])) == [batch] and "word_hashes" not in vars(home)
