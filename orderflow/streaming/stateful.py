@@ -11,6 +11,9 @@ order: a call of a Python processor, with its key, its clock and an Arrow
 batch of results, costs some ten times what an order's few events do, so
 a call handles all orders of a bucket.  A state call costs as much as well,
 so a bucket's state has one map entry per cell, a share of its orders.
+What a processor takes, holds and hands out costs by the field: an event is
+one line (a JSON array of texts, which Spark writes and reads), a cell's events
+are one text of lines, and so are those of an order that is handed out.
 
 State is the events of open orders, so it grows with the number of
 open orders, not with the log; a batch rewrites the cells it touches.  Known behaviour kept from the original:
@@ -20,10 +23,12 @@ closes, and a second ``delivered`` releases a second row.
 
 from __future__ import annotations
 
-import numbers
+import json
 import sys
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from datetime import timedelta
+from operator import itemgetter
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import parse_ts
-from ..schemas import COMPLETED_STATE, EVENT, EXPIRING_STATE, NUMBERED, STATE_EVENT
+from ..schemas import EVENT, NUMBERED, STATE_EVENT
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_VAR = "events"
@@ -40,17 +45,23 @@ CLOSED_VAR = "closed"
 DEADLINE_VAR = "deadline"
 NEXT_VAR = "next"
 CELL_KEY = "cell int"
-HELD_EVENTS = f"events array<{STATE_EVENT.simpleString()}>"
+#: Texts of an event's line.
+LINE = ["order_id", "event_type", "ts", "body", "location"]
+HELD_EVENTS = "events string"
 #: Buckets of orders, the keys of the streams, and cells of a bucket (both are
 #: part of a checkpoint's format).
 BUCKETS = 4096
-CELLS = 16
+CELLS = 4
 #: Up to so many cells of a bucket are read one by one.
 FEW_CELLS = 3
-OUT = Row("event_type", "ts", "body")
-COLLECTED = Row(*COMPLETED_STATE.names)
-EXPIRED = Row(*EXPIRING_STATE.names)
-STATE_COLUMNS = ["event_type", "ts", "body", "order_id", "location"]
+RELEASED = Row("order_id", "lines")
+RELEASED_STATE = "order_id string, lines string"
+EXPIRED = Row("order_id", "location", "lines", "outcome")
+EXPIRED_STATE = "order_id string, location string, lines string, outcome string"
+NUMBERED_LINE = Row("line", "sequence")
+NUMBERED_STATE = "line string, sequence bigint"
+EVENT_IN_ORDER = "struct<no_time:boolean,ts:bigint,event_type:string,body:string,location:string>"
+STATE_COLUMNS = STATE_EVENT.names
 EVENT_COLUMNS = EVENT.names
 
 # The processors run in Python workers.  Pickle this module's classes and
@@ -58,56 +69,87 @@ EVENT_COLUMNS = EVENT.names
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _py(v):
-    if v is None or v is pd.NaT:
-        return None
-    if isinstance(v, float):  # a time column with gaps
-        return None if v != v else int(v)
-    return int(v) if isinstance(v, numbers.Integral) else v
+def _text(value) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
-def _event_order(e: tuple) -> tuple:
-    """Time (none last), then event type, body and location (none first)."""
-    return (e[1] is None, e[1] or 0, *((x is not None, x or "") for x in (e[0], e[2], e[4])))
+def _cell(order_id: str) -> int:
+    """As ``_cell_column``."""
+    return zlib.crc32(order_id.encode()) % CELLS
 
 
-def _release(order_id: str, events: list) -> tuple[str, str, list]:
-    """All events of a delivered order in event order; the location is
-    that of the first."""
-    stored = sorted(events, key=_event_order)
-    return order_id, stored[0][4], stored
+def _event_order(line: str) -> tuple:
+    """Time (none last), then event type, body and location (none first)."""
+    _, event_type, ts, body, location = json.loads(line)
+    return (ts is None, int(ts or 0), *((x is not None, x or "") for x in (event_type, body, location)))
 
 
-def _state_row(r: Row) -> tuple[int, tuple]:
-    return r.cell, (r.event_type, r.ts, r.body, r.order_id, r.location)
+def _location(lines: list[str]) -> str | None:
+    """The location of an order's first event."""
+    return json.loads(min(lines, key=_event_order))[4]
 
 
-def _by_order(rows) -> dict[str, list]:
-    """State rows per order."""
-    found: dict[str, list] = {}
-    for r in rows:
-        found.setdefault(r[3], []).append(r)
+def _by_order(lines: str) -> dict[str, list[str]]:
+    """A cell's lines per order."""
+    found: dict[str, list[str]] = {}
+    for line in lines.split("\n"):
+        found.setdefault(json.loads(line)[0], []).append(line)
     return found
 
 
-def _by_cell(rows) -> dict[int, dict[str, list]]:
-    """State rows of a bucket's events per cell and order."""
-    found: dict[int, dict[str, list]] = {}
-    for cell, r in rows:
-        found.setdefault(cell, {}).setdefault(r[3], []).append(r)
+def _joined(by_order: dict[str, list[str]]) -> str:
+    return "\n".join([line for lines in by_order.values() for line in lines])
+
+
+class Arrived:
+    """New events of an order: their lines, whether one is ``delivered``, and
+    the latest time."""
+
+    __slots__ = ("lines", "delivered", "last")
+
+    def __init__(self):
+        self.lines: list[str] = []
+        self.delivered, self.last = False, None
+
+
+def _by_cell(lines: Iterable[str]) -> dict[int, dict[str, Arrived]]:
+    """A bucket's new events per cell and order."""
+    orders: dict[str, Arrived] = {}
+    for line in lines:
+        order_id, event_type, ts, _, _ = json.loads(line)
+        new = orders.get(order_id)
+        if new is None:
+            new = orders[order_id] = Arrived()
+        new.lines.append(line)
+        if event_type == "delivered":
+            new.delivered = True
+        if ts is not None:
+            new.last = int(ts) if new.last is None else max(new.last, int(ts))
+    found: dict[int, dict[str, Arrived]] = {}
+    for order_id, new in orders.items():
+        found.setdefault(_cell(order_id), {})[order_id] = new
     return found
 
 
+def _lines(rows: Iterable[Row]) -> Iterator[str]:
+    """The lines of a call's rows (a Row's fields are slow to get at by name)."""
+    at = None
+    for row in rows:
+        if at is None:
+            at = row.__fields__.index("line")
+        yield tuple(row)[at]
+
+
 def _read(state, cells) -> dict[int, tuple]:
     """What a map state holds for ``cells`` of the bucket."""
     if len(cells) > FEW_CELLS:  # the bucket as a whole, in a few calls
-        return {k[0]: value for k, value in state.iterator() if k[0] in cells}
+        return {k[0]: tuple(value) for k, value in state.iterator() if k[0] in cells}
     found = ((c, state.getValue((c,))) for c in cells)
-    return {c: value for c, value in found if value is not None}
+    return {c: tuple(value) for c, value in found if value is not None}
 
 
 def _write(state, cell: int, value: tuple, was: bool) -> None:
-    """New value of a cell; a cell without orders (empty first list) has no entry."""
+    """New value of a cell; a cell without orders (empty first text) has no entry."""
     if value[0]:
         state.updateValue((cell,), value)
     elif was:
@@ -136,33 +178,34 @@ class OrderEventCollector(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.events = handle.getMapState(STATE_VAR, CELL_KEY, HELD_EVENTS)
         if self.remember:
-            self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders array<string>")
+            self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders string")
 
-    def _released(self, by_cell: dict[int, dict[str, list]]) -> Iterator[tuple[str, str, list]]:
+    def _released(self, by_cell: dict[int, dict[str, Arrived]]) -> Iterator[tuple[str, str]]:
+        """(order_id, lines) of the orders that are delivered."""
         gone = _read(self.closed, by_cell) if self.remember else {}
         held = _read(self.events, by_cell)
         for cell, by_order in by_cell.items():
-            flags = list(gone[cell][0]) if cell in gone else []
+            flags = json.loads(gone[cell][0]) if cell in gone else []
             for order_id in flags:  # orders already released: drop late events
                 by_order.pop(order_id, None)
             if not by_order:
                 continue
-            still = _by_order(map(tuple, held[cell][0])) if cell in held else {}
+            still = _by_order(held[cell][0]) if cell in held else {}
             done = []
             for order_id, new in by_order.items():
-                events = still.pop(order_id, []) + new
-                if any(e[0] == "delivered" for e in new):
+                lines = still.pop(order_id, []) + new.lines
+                if new.delivered:
                     done.append(order_id)
-                    yield _release(order_id, events)
+                    yield order_id, "\n".join(lines)
                 else:
-                    still[order_id] = events
-            _write(self.events, cell, ([e for events in still.values() for e in events],), cell in held)
+                    still[order_id] = lines
+            _write(self.events, cell, (_joined(still),), cell in held)
             if self.remember and done:
-                self.closed.updateValue((cell,), (flags + done,))
+                self.closed.updateValue((cell,), (_text(flags + done),))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for order_id, location, stored in self._released(_by_cell(map(_state_row, rows))):
-            yield COLLECTED(order_id, location, [OUT(*e[:3]) for e in stored])
+        for released in self._released(_by_cell(_lines(rows))):
+            yield RELEASED(*released)
 
     def close(self) -> None:
         pass
@@ -170,11 +213,10 @@ class OrderEventCollector(StatefulProcessor):
 
 class SeededOrderEventCollector(OrderEventCollector):
     """The collector, started from orders that were open before the stream:
-    one initial row per cell, with the events of its orders as state rows."""
+    one initial row per cell, with the lines of its orders' events."""
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        events = [tuple(e[c] for c in STATE_COLUMNS) for e in initialState.events]
-        _write(self.events, initialState.cell, (events,), False)
+        _write(self.events, initialState.cell, (initialState.lines,), False)
 
 
 class ExpiringOrderEventCollector(StatefulProcessor):
@@ -198,8 +240,9 @@ class ExpiringOrderEventCollector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getMapState(STATE_VAR, CELL_KEY, f"{HELD_EVENTS}, due array<struct<order_id:string,ms:bigint>>")
-        self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders array<struct<order_id:string,location:string,ms:bigint>>")
+        # Texts of JSON: due is {order_id: ms}, orders is [[order_id, location, ms], ...].
+        self.events = handle.getMapState(STATE_VAR, CELL_KEY, f"{HELD_EVENTS}, due string")
+        self.closed = handle.getMapState(CLOSED_VAR, CELL_KEY, "orders string")
         self.deadline = handle.getValueState(DEADLINE_VAR, "ms bigint")
 
     def _set_timer(self, due: int) -> None:
@@ -211,39 +254,36 @@ class ExpiringOrderEventCollector(StatefulProcessor):
         self.handle.registerTimer(due)
         self.deadline.update((due,))
 
-    def _keep(self, cell: int, still: dict[str, list], due: dict[str, int], was: bool) -> None:
-        _write(self.events, cell, ([e for events in still.values() for e in events],
-                                   [(order_id, due[order_id]) for order_id in still]), was)
+    def _keep(self, cell: int, still: dict[str, list[str]], due: dict[str, int], was: bool) -> None:
+        _write(self.events, cell, (_joined(still), _text({order_id: due[order_id] for order_id in still})), was)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        by_cell = _by_cell(map(_state_row, rows))
+        by_cell = _by_cell(_lines(rows))
         gone, held = _read(self.closed, by_cell), _read(self.events, by_cell)
         earliest = []
         for cell, by_order in by_cell.items():
-            flags = [tuple(f) for f in gone[cell][0]] if cell in gone else []
+            flags = json.loads(gone[cell][0]) if cell in gone else []
             for order_id, _, _ in flags:
                 # released before: late events stay out, and the flag waits no longer for them
                 by_order.pop(order_id, None)
             if not by_order:
                 continue
-            still = _by_order(map(tuple, held[cell][0])) if cell in held else {}
-            due = {order_id: ms for order_id, ms in held[cell][1]} if cell in held else {}
+            still = _by_order(held[cell][0]) if cell in held else {}
+            due = json.loads(held[cell][1]) if cell in held else {}
             done = []
             for order_id, new in by_order.items():
-                events = still.pop(order_id, []) + new
-                times = [e[1] // 1000 for e in new if e[1] is not None]
-                ms = (max(times) if times else timerValues.getCurrentWatermarkInMs()) + self.delay_ms
+                lines = still.pop(order_id, []) + new.lines
+                ms = (timerValues.getCurrentWatermarkInMs() if new.last is None else new.last // 1000) + self.delay_ms
                 ms = due[order_id] = max(ms, due.get(order_id, ms))
                 earliest.append(ms)
-                if any(e[0] == "delivered" for e in new):
-                    order_id, location, stored = _release(order_id, events)
-                    done.append((order_id, location, ms))
-                    yield EXPIRED(order_id, location, [OUT(*e[:3]) for e in stored], "delivered")
+                if new.delivered:
+                    done.append((order_id, _location(lines), ms))
+                    yield EXPIRED(order_id, None, "\n".join(lines), "delivered")
                 else:
-                    still[order_id] = events
+                    still[order_id] = lines
             self._keep(cell, still, due, cell in held)
             if done:
-                self.closed.updateValue((cell,), (flags + done,))
+                self.closed.updateValue((cell,), (_text(flags + done),))
         if earliest:
             self._set_timer(min(earliest))
 
@@ -258,22 +298,24 @@ class ExpiringOrderEventCollector(StatefulProcessor):
             left.append(ms)
             return False
 
-        for (cell,), (flags,) in list(self.closed.iterator()):
+        for (cell,), (text,) in list(self.closed.iterator()):
+            flags = json.loads(text)
             past = [over(f[2]) for f in flags]
             if any(past):
-                _write(self.closed, cell, ([tuple(f) for f, p in zip(flags, past) if not p],), True)
+                waiting = [f for f, p in zip(flags, past) if not p]
+                _write(self.closed, cell, (_text(waiting) if waiting else "",), True)
             for f, p in zip(flags, past):
                 if p:
-                    yield EXPIRED(f[0], f[1], [], "forgotten")
+                    yield EXPIRED(f[0], f[1], None, "forgotten")
         for (cell,), (events, deadlines) in list(self.events.iterator()):
-            past = [order_id for order_id, ms in deadlines if over(ms)]
+            due = json.loads(deadlines)
+            past = [order_id for order_id, ms in due.items() if over(ms)]
             if not past:
                 continue
-            still = _by_order(map(tuple, events))
+            still = _by_order(events)
             for order_id in past:
-                order_id, location, stored = _release(order_id, still.pop(order_id))
-                yield EXPIRED(order_id, location, [OUT(*e[:3]) for e in stored], "expired")
-            self._keep(cell, still, {order_id: ms for order_id, ms in deadlines}, True)
+                yield EXPIRED(order_id, None, "\n".join(still.pop(order_id)), "expired")
+            self._keep(cell, still, due, True)
         if left:
             self._set_timer(min(left))
 
@@ -291,26 +333,25 @@ class SequenceNumberer(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.next = handle.getMapState(NEXT_VAR, CELL_KEY, "orders array<struct<order_id:string,n:bigint>>")
+        # Text of JSON: {order_id: n}.
+        self.next = handle.getMapState(NEXT_VAR, CELL_KEY, "orders string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         by_cell: dict[int, dict[str, list]] = {}
-        for r in rows:
-            fields = r.__fields__
-            by_cell.setdefault(r.cell, {}).setdefault(r.order_id, []).append(tuple(r))
-        event_id, at = fields.index("event_id"), fields.index("at")
-        columns = [fields.index(c) for c in NUMBERED.names[:-1]]
-        numbered = Row(*NUMBERED.names)
+        for line in _lines(rows):
+            order_id, at, event_id, *_ = json.loads(line)
+            place = (at is None, int(at or 0), event_id is None, event_id or "")
+            by_cell.setdefault(_cell(order_id), {}).setdefault(order_id, []).append((place, line))
         held = _read(self.next, by_cell)
         for cell, by_order in by_cell.items():
-            counts = {order_id: n for order_id, n in held[cell][0]} if cell in held else {}
+            counts = json.loads(held[cell][0]) if cell in held else {}
             for order_id, batch in by_order.items():
                 n = counts.get(order_id, 0)
-                batch.sort(key=lambda r: (r[at] is None, r[at] or 0, r[event_id] is None, r[event_id] or ""))
-                for k, r in enumerate(batch, n):
-                    yield numbered(*[r[c] for c in columns], k)
+                batch.sort(key=itemgetter(0))
+                for k, (_, line) in enumerate(batch, n):
+                    yield NUMBERED_LINE(line, k)
                 counts[order_id] = n + len(batch)
-            self.next.updateValue((cell,), (list(counts.items()),))
+            self.next.updateValue((cell,), (_text(counts),))
 
     def close(self) -> None:
         pass
@@ -321,15 +362,9 @@ class PandasOrderEventCollector(OrderEventCollector):
     kept for pandas-based callers."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = ((int(r[0]), tuple(_py(v) for v in r[1:]))
-               for pdf in rows for r in pdf[["cell", *STATE_COLUMNS]].itertuples(index=False, name=None))
-        done = list(self._released(_by_cell(new)))
+        done = list(self._released(_by_cell(line for pdf in rows for line in pdf["line"])))
         if done:
-            yield pd.DataFrame({
-                "order_id": [d[0] for d in done],
-                "location": [d[1] for d in done],
-                "events": [[{"event_type": e[0], "ts": e[1], "body": e[2]} for e in d[2]] for d in done],
-            })
+            yield pd.DataFrame(done, columns=list(RELEASED))
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -342,15 +377,41 @@ def use_rocksdb(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
-def _bucketed(df: DataFrame) -> DataFrame:
-    """Add the bucket of an order and its cell there."""
-    return df.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).cast("int")).withColumn(
-        "cell", (F.crc32(F.encode("order_id", "UTF-8")) % CELLS).cast("int"))
+def _bucket() -> Column:
+    """The bucket of an order."""
+    return F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _cell_column() -> Column:
+    """The cell of an order in its bucket."""
+    return (F.crc32(F.encode("order_id", "UTF-8")) % CELLS).cast("int").alias("cell")
+
+
+def _line(columns: list[Column]) -> Column:
+    """One line for a processor: a JSON array of texts, which has no line breaks."""
+    return F.to_json(F.array(*[c.cast("string") for c in columns]))
+
+
+def _texts(line: Column, kind: str = "array<string>") -> Column:
+    return F.from_json(line, kind, {"mode": "FAILFAST"})
+
+
+def _keyed(rows: DataFrame, *more: str) -> DataFrame:
+    """(bucket, line) of state rows."""
+    return rows.select(_bucket(), _line([F.col(c) for c in LINE]).alias("line"), *more)
+
+
+def _all_texts(lines: Column) -> Column:
+    """The events of some lines, each as an array of texts."""
+    whole = F.concat(F.lit("["), F.replace(lines, F.lit("\n"), F.lit(",")), F.lit("]"))
+    return _texts(whole, "array<array<string>>")
 
 
 def _cells_of(opened: DataFrame) -> DataFrame:
-    """(bucket, cell, events) of open orders (order_id, events)."""
-    return _bucketed(opened).groupBy("bucket", "cell").agg(F.flatten(F.collect_list("events")).alias("events"))
+    """(bucket, cell, lines) of open orders (order_id, events)."""
+    events = opened.select(F.explode("events").alias("e"))
+    lines = events.select(F.col("e.order_id").alias("order_id"), _line([F.col(f"e.{c}") for c in LINE]).alias("line"))
+    return lines.groupBy(_bucket(), _cell_column()).agg(F.array_join(F.collect_list("line"), "\n").alias("lines"))
 
 
 def state_input(events: DataFrame, strict: bool = True) -> DataFrame:
@@ -373,6 +434,30 @@ def _with_times(df: DataFrame) -> DataFrame:
         e["body"].alias("body"))))
 
 
+def _event(event_type: Column, ts: Column, body: Column, location: Column) -> Column:
+    """Sorts by time (none last), then event type, body and location (none first)."""
+    return F.struct(ts.isNull().alias("no_time"), ts.alias("ts"), event_type.alias("event_type"),
+                    body.alias("body"), location.alias("location"))
+
+
+def _events_of(lines: Column) -> Column:
+    """The events of some lines in event order; none for NULL."""
+    events = F.transform(_all_texts(lines), lambda e: _event(
+        e[LINE.index("event_type")], e[LINE.index("ts")].cast("bigint"), e[LINE.index("body")],
+        e[LINE.index("location")]))
+    return F.sort_array(F.when(lines.isNull(), F.array().cast("array<" + EVENT_IN_ORDER + ">")).otherwise(events))
+
+
+def _released_rows(df: DataFrame) -> DataFrame:
+    """Rows of the collector with their events; the location is that of the
+    first one."""
+    rows = df.withColumn("events", _events_of(F.col("lines")))
+    first = F.get("events", F.lit(0))["location"]
+    location = F.coalesce(F.col("location"), first) if "location" in df.columns else first
+    return _with_times(rows.select("order_id", location.alias("location"), "events",
+                                   *[c for c in df.columns if c == "outcome"]))
+
+
 def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool = False,
                      remember_delivered: bool = False, opened: DataFrame | None = None) -> DataFrame:
     """Stream of delivered orders with all their events (append).
@@ -385,18 +470,18 @@ def completed_orders(events_stream: DataFrame, strict: bool = True, pandas: bool
     were open before it; a restart from the checkpoint does not read it.
     """
     use_rocksdb(events_stream.sparkSession)
-    grouped = _bucketed(state_input(events_stream, strict)).groupBy("bucket")
+    grouped = _keyed(state_input(events_stream, strict)).groupBy("bucket")
     if pandas:
-        return _with_times(grouped.transformWithStateInPandas(
-            statefulProcessor=PandasOrderEventCollector(), outputStructType=COMPLETED_STATE,
+        return _released_rows(grouped.transformWithStateInPandas(
+            statefulProcessor=PandasOrderEventCollector(), outputStructType=RELEASED_STATE,
             outputMode="Append", timeMode="None"))
     if opened is not None:
-        return _with_times(grouped.transformWithState(
-            statefulProcessor=SeededOrderEventCollector(remember_delivered), outputStructType=COMPLETED_STATE,
+        return _released_rows(grouped.transformWithState(
+            statefulProcessor=SeededOrderEventCollector(remember_delivered), outputStructType=RELEASED_STATE,
             outputMode="Append", timeMode="None", initialState=_cells_of(opened).groupBy("bucket")))
-    return _with_times(grouped.transformWithState(
+    return _released_rows(grouped.transformWithState(
         statefulProcessor=OrderEventCollector(remember_delivered),
-        outputStructType=COMPLETED_STATE, outputMode="Append", timeMode="None"))
+        outputStructType=RELEASED_STATE, outputMode="Append", timeMode="None"))
 
 
 def expiring_orders(events_stream: DataFrame, delay: timedelta = timedelta(days=2), lateness: str = "3 hours",
@@ -409,9 +494,10 @@ def expiring_orders(events_stream: DataFrame, delay: timedelta = timedelta(days=
     """
     use_rocksdb(events_stream.sparkSession)
     rows = state_input(events_stream, strict).withColumn("at", F.timestamp_micros("ts")).withWatermark("at", lateness)
-    return _with_times(_bucketed(rows).groupBy("bucket").transformWithState(
+    # The time stays a column: rows older than the watermark are dropped by it.
+    return _released_rows(_keyed(rows, "at").groupBy("bucket").transformWithState(
         statefulProcessor=ExpiringOrderEventCollector(int(delay.total_seconds() * 1000)),
-        outputStructType=EXPIRING_STATE, outputMode="Append", timeMode="EventTime"))
+        outputStructType=EXPIRED_STATE, outputMode="Append", timeMode="EventTime"))
 
 
 def numbered_events(events_stream: DataFrame) -> DataFrame:
@@ -419,8 +505,12 @@ def numbered_events(events_stream: DataFrame) -> DataFrame:
     ``SequenceNumberer``).  Events without an order id have no number."""
     use_rocksdb(events_stream.sparkSession)
     own = events_stream.filter(F.col("order_id").isNotNull()).withColumn("at", F.unix_micros(parse_ts("ts")))
-    numbered = _bucketed(own).groupBy("bucket").transformWithState(
-        statefulProcessor=SequenceNumberer(), outputStructType=NUMBERED, outputMode="Append", timeMode="None")
+    columns = ["order_id", "at", "event_id", *[c for c in NUMBERED.names[:-1] if c not in ("order_id", "event_id")]]
+    lines = own.select(_bucket(), _line([F.col(c) for c in columns]).alias("line"))
+    numbered = lines.groupBy("bucket").transformWithState(
+        statefulProcessor=SequenceNumberer(), outputStructType=NUMBERED_STATE, outputMode="Append", timeMode="None")
+    numbered = numbered.select(_texts(F.col("line")).alias("texts"), "sequence").select(
+        *[F.col("texts")[k].cast(NUMBERED[c].dataType).alias(c) for k, c in enumerate(columns) if c != "at"], "sequence")
     rest = events_stream.filter(F.col("order_id").isNull()).withColumn("sequence", F.lit(None).cast("bigint"))
     return numbered.select(*EVENT_COLUMNS).unionByName(rest.select(*EVENT_COLUMNS))
 
@@ -436,9 +526,7 @@ def open_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
 
 def _ordered(event_type, ts, body, location):
     """An order's events as one array in the collector's event order."""
-    return F.sort_array(F.collect_list(F.struct(
-        ts.isNull().alias("no_time"), ts.alias("ts"), event_type.alias("event_type"),
-        body.alias("body"), location.alias("location"))))
+    return F.sort_array(F.collect_list(_event(event_type, ts, body, location)))
 
 
 def completed_orders_batch(events: DataFrame, strict: bool = True) -> DataFrame:
@@ -462,9 +550,10 @@ def orders_in_progress(spark: SparkSession, checkpoint: str, batch_id: int | Non
     reader = spark.read.format("statestore").option("stateVarName", STATE_VAR)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    e = F.col("e")
-    g = reader.load(checkpoint).select(F.explode("user_map_value.events").alias("e")).groupBy(
-        e["order_id"].alias("order_id")).agg(_ordered(e["event_type"], e["ts"], e["body"], e["location"]).alias("events"))
+    held = reader.load(checkpoint).select(F.explode(_all_texts(F.col("user_map_value.events"))).alias("e"))
+    e = {c: F.col("e")[k] for k, c in enumerate(LINE)}
+    g = held.groupBy(e["order_id"].alias("order_id")).agg(
+        _ordered(e["event_type"], e["ts"].cast("bigint"), e["body"], e["location"]).alias("events"))
     return _with_times(g.select("order_id", F.col("events")[0]["location"].alias("location"), "events"))
 
 
@@ -484,7 +573,8 @@ def orders_opened_closed(spark: SparkSession, checkpoint: str, first_batch: int
 
     reader = spark.read.format("statestore").option("stateVarName", STATE_VAR)
     feed = reader.option("readChangeFeed", True).option("changeStartBatchId", first_batch).load(checkpoint)
-    orders, none = F.array_distinct(F.col("user_map_value.events.order_id")), F.array().cast("array<string>")
+    events = _all_texts(F.col("user_map_value.events"))
+    orders, none = F.array_distinct(F.transform(events, lambda e: e[0])), F.array().cast("array<string>")
     changes = cells(feed, F.col("batch_id"), F.when(F.col("change_type") == "delete", none).otherwise(orders))
     if first_batch:
         before = spark.read.format("statestore").option("stateVarName", STATE_VAR).option(

@@ -123,3 +123,21 @@ def test_a_call_handles_a_bucket_of_orders(spark, events, monkeypatch):
     assert {(r.order_id, r.event_type): r.sequence for r in got.collect() if r.order_id in names[:2]} == {
         (names[0], "order_created"): 0, (names[0], "delivered"): 1, (names[0], "driver_ping"): 2,
         (names[1], "order_created"): 0, (names[1], "driver_ping"): 1, (names[1], "delivered"): 2}
+
+
+def test_an_event_crosses_the_processor_as_one_line(spark, events):
+    """A call gets one text per event, and one text per open cell is held;
+    texts with breaks, quotes and nothing in them come back as they were."""
+    bodies = ['two\nlines, "quoted" \\ [1,2]', "", None, "\u2028 \u00e9\u4e2d \t\r", '{"a": [null]}']
+    runs = Runs(spark, events, stateful.completed_orders)
+    rows = [("order_created", f"2024-01-01 10:00:0{k}.000000", oid, "x\ny", body)
+            for oid in ("a\nb", "c") for k, body in enumerate(bodies)]
+    write_events(events(rows + [("delivered", "2024-01-01 11:00:00.123456", "a\nb", "z", None)]), f"{runs.root}/landing")
+    run_append(runs.stream(read_events_stream(spark, f"{runs.root}/landing")), f"{runs.root}/out", runs.checkpoint)
+    (done,) = spark.read.parquet(f"{runs.root}/out").collect()
+    assert (done.order_id, done.location) == ("a\nb", "x\ny")
+    assert [e.body for e in done.events] == [*bodies, None] and done.events[-1].ts.microsecond == 123456
+    (waiting,) = stateful.orders_in_progress(spark, runs.checkpoint).collect()
+    assert waiting.order_id == "c" and [e.body for e in waiting.events] == bodies
+    state = spark.read.format("statestore").option("stateVarName", stateful.STATE_VAR).load(runs.checkpoint)
+    assert state.schema["user_map_value"].dataType["events"].dataType.simpleString() == "string"
