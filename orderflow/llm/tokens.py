@@ -84,6 +84,12 @@ class Encoder:
             #: The same merges for words that the normaliser and the cut at marks leave as they are.
             self.plain = Tokenizer(self.tokenizer.model)
             self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        #: Bytes of text that each id stands for, where the vocabulary's letters are bytes.
+        self.byte_sizes: np.ndarray | None = None
+        if type(self.tokenizer.decoder).__name__ == "ByteLevel" and not self.drops_space:
+            known = self.tokenizer.get_vocab()
+            self.byte_sizes = np.zeros(max(known.values()) + 1, np.int64)
+            self.byte_sizes[list(known.values())] = list(map(len, known))
         self.young: dict[str, bytes] = {"": b""} if self.drops_space else {}
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
@@ -114,6 +120,14 @@ class Encoder:
         text = "".join(pieces)
         if any(a in text for a in self.added):  # only across pieces: no piece has one
             return self._encode(pieces)
+        if self.byte_sizes is not None:  # the ids tell their places
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self.byte_sizes[ids])
+            sizes = map(len, pieces if text.isascii() else map(str.encode, pieces))
+            wanted = np.cumsum(np.fromiter(sizes, np.int64, len(pieces)))
+            cuts = np.searchsorted(ends, wanted)
+            if cuts[-1] + 1 == len(ids) and (ends[cuts] == wanted).all():
+                return _slices(ids, cuts + 1)
         found = self.tokenizer.encode_batch([text], add_special_tokens=False)[0]
         ids = np.asarray(found.ids, "<u4")
         starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(ids))

@@ -434,3 +434,25 @@ def test_a_worker_keeps_objects_of_one_stage_only():
     kept = vars(home)["word_hashes"]
     assert list(common.released(stage())([batch])) == [batch] and vars(home)["word_hashes"] is kept
     assert list(common.released(other)([batch])) == [batch] and "word_hashes" not in vars(home)
+
+
+def test_byte_level_ids_tell_their_places():
+    """The ids' own bytes cut them into pieces: no call that keeps places in the text."""
+    import numpy as np
+    import public_tokenizers
+    from orderflow.llm.tokens import Encoder
+
+    class Placeless:
+        def __init__(self, library):
+            self.library = library
+
+        def __getattr__(self, name):
+            assert name != "encode_batch"
+            return getattr(self.library, name)
+
+    e = Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    library = e.tokenizer
+    e.tokenizer = Placeless(library)
+    texts = ["One two, three.\nFour 55 don't", "é über 中文 naïve\n😀 x́ y", "a", None, "a  b\t c", "Zażółć gęślą, one\ntwo!"]
+    want = [np.asarray(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.ids(texts) == want and e.ids(texts) == want
