@@ -438,10 +438,6 @@ def test_a_worker_keeps_objects_of_one_stage_only():
 
 def test_byte_level_ids_tell_their_places():
     """The ids' own bytes cut them into pieces: no call that keeps places in the text."""
-    import numpy as np
-    import public_tokenizers
-    from orderflow.llm.tokens import Encoder
-
     class Placeless:
         def __init__(self, library):
             self.library = library
@@ -450,7 +446,7 @@ def test_byte_level_ids_tell_their_places():
             assert name != "encode_batch"
             return getattr(self.library, name)
 
-    e = Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    e = Encoder(vocabulary("byte_bpe_50k.json"))
     library = e.tokenizer
     e.tokenizer = Placeless(library)
     texts = ["One two, three.\nFour 55 don't", "é über 中文 naïve\n😀 x́ y", "a", None, "a  b\t c", "Zażółć gęślą, one\ntwo!"]
