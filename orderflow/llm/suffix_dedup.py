@@ -7,7 +7,8 @@ with a smaller id.  The work is cut so that no task needs the corpus:
    starts in a smaller document.  The rest is stored in packs.
 2. Each 50-byte window has a key, the smallest hash of its 16-byte
    strings, so equal windows have equal keys.  A pack sends its distinct
-   keys and their bytes to key shards, and gets back those that other
+   keys and their bytes to key shards, a row each (shards are large, as
+   these rows grow with packs times shards), and gets back those that other
    packs hold too, and which of them are hot: over ``HOT_BYTES`` in all.
    The windows of a hot key are grouped by their whole 50 bytes instead,
    with the smallest document of a pack, and then of all, per window.
@@ -21,6 +22,9 @@ with a smaller id.  The work is cut so that no task needs the corpus:
    suffixes with a common prefix of 50 bytes are one group.
    A shard over ``BLOCK_BYTES`` waits in a local file and is sorted in
    blocks of whole keys, so a sort holds a block and at most one key more.
+   A segment is sorted only if it can share a window: the 34 bytes of a
+   window beside the string that gave the key leave 17 on one side, so an
+   equal window stands in a segment with the same 17 bytes on that side.
 4. Removed windows go back to the packs, which cut and hash the texts.
 
 Order is only needed to the depth of a window, so S* suffixes are sorted
@@ -43,15 +47,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
-from .common import mix, released, settled, shuffle_partitions, stored
+from .common import mix, released, settled, shuffle_partitions, stored, worker_cache
 
 WINDOW = 50
 GRAM = 16
 #: Documents and bytes of one pack.
-PACK_DOCS = 512
+PACK_DOCS = 4096
 PACK_BYTES = 4 << 20
-#: Corpus bytes per key shard.
-SHARD_BYTES = 4 << 20
+#: Texts are hashed together up to so many bytes.
+GROUP_BYTES = 64 << 10
+#: Corpus bytes per key shard; smaller input has up to FEW_SHARDS smaller ones.
+SHARD_BYTES = 32 << 20
+FEW_SHARDS = 64
 #: Segment bytes of one key from which its windows are grouped one by one.
 HOT_BYTES = 1 << 20
 #: Segment bytes of hot keys in one row.
@@ -66,13 +73,13 @@ SORT_DEPTH = 56
 def _squeeze(raw: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(raw)
+    return worker_cache("zstd_out", lambda: zstandard.ZstdCompressor(level=3)).compress(raw)
 
 
 def _expand(raw: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdDecompressor().decompress(raw)
+    return worker_cache("zstd_in", zstandard.ZstdDecompressor).decompress(raw)
 
 
 def _words(text: np.ndarray, kind: str = "<u8") -> np.ndarray:
@@ -80,13 +87,18 @@ def _words(text: np.ndarray, kind: str = "<u8") -> np.ndarray:
     return np.ndarray((max(0, len(text) - 7),), kind, text.tobytes(), 0, (1,))
 
 
+def grams(text: bytes) -> np.ndarray:
+    """Hash of the 16-byte string at every start."""
+    w = _words(np.frombuffer(text, np.uint8))
+    return mix(w[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(w[8:]))
+
+
 def window_keys(text: bytes) -> np.ndarray:
     """Key of the window at every start; empty for texts under a window."""
     n = len(text) - WINDOW + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    w = _words(np.frombuffer(text, np.uint8))
-    h = mix(w[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(w[8:]))
+    h = grams(text)
     span, have = WINDOW - GRAM + 1, 1
     while 2 * have <= span:  # minima over 1, 2, 4, ... strings
         h = np.minimum(h[:-have], h[have:])
@@ -95,12 +107,96 @@ def window_keys(text: bytes) -> np.ndarray:
     return np.minimum(h[:-rest], h[rest:]) if rest else h
 
 
-def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, number of windows) of runs of equal keys."""
-    if not len(keys):
-        return keys, np.empty(0, np.int64), np.empty(0, np.int64)
-    first = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
-    return keys[first], first, np.diff(np.concatenate([first, [len(keys)]]))
+def pack_runs(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, document, first window, number of windows) of runs of equal
+    keys inside the documents, in order."""
+    parts, at = [], 0
+    while at < len(raw):
+        end, held = at + 1, len(raw[at])
+        while end < len(raw) and held + len(raw[end]) <= GROUP_BYTES:
+            held += len(raw[end])
+            end += 1
+        keys = window_keys(b"".join(raw[at:end]))
+        if len(keys):
+            edges = np.cumsum([0, *map(len, raw[at:end])])
+            over = np.maximum(edges[1:] - WINDOW + 1, edges[:-1])  # windows from here on cross into the next document
+            begins = np.concatenate([[True], keys[1:] != keys[:-1]])
+            for cuts in (edges, over):
+                begins[cuts[cuts < len(keys)]] = True
+            first = np.flatnonzero(begins)
+            count = np.diff(np.append(first, len(keys)))
+            doc = np.searchsorted(edges, first, "right") - 1
+            ok = first < over[doc]
+            first, count, doc = first[ok], count[ok], doc[ok]
+            parts.append((keys[first], doc + at, first - edges[doc], count))
+        at = end
+    if not parts:
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def equal_strings(text: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each of the strings (8 bytes or more), the same only for equal ones.
+
+    Equal strings have the same number, but for those whose hash another
+    string has too: each has its own.
+    """
+    eight = _words(np.frombuffer(text, np.uint8))
+
+    def by_words(step):
+        todo, d = np.arange(len(at)), 0
+        while len(todo):
+            step(todo, np.minimum(d, size[todo] - 8))
+            todo = todo[size[todo] > d + 8]
+            d += 8
+
+    h = mix(size.astype(np.uint64))
+
+    def add(todo, d):
+        h[todo] = mix(h[todo] * np.uint64(0x9E3779B97F4A7C15) ^ eight[at[todo] + d])
+
+    by_words(add)
+    _, first, number = np.unique(h, return_index=True, return_inverse=True)
+    like = first[number]
+    other = size != size[like]
+
+    def compare(todo, d):
+        todo, d = todo[~other[todo]], d[~other[todo]]
+        other[todo] |= eight[at[todo] + d] != eight[at[like[todo]] + d]
+
+    by_words(compare)
+    number[other] = len(first) + np.arange(np.count_nonzero(other))
+    return number
+
+
+def may_share(text: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of the segments, together ``text``, can share a window with
+    another: all that do, and few others."""
+    half = (WINDOW - GRAM + 1) // 2
+    eight, h = _words(np.frombuffer(text, np.uint8)), grams(text)
+    key = np.minimum.reduceat(np.append(h, h[-1:]), np.stack([at, at + size - GRAM + 1], 1).ravel())[::2]
+    own = np.repeat(np.arange(len(at)), size)[:len(h)]
+    spot = np.flatnonzero(h == key[own])
+    own = own[spot]
+    spot, own = (x[spot + GRAM <= (at + size)[own]] for x in (spot, own))
+    hashes, owners = [], []
+    for side, start, fits in ((1, spot - half, spot - half >= at[own]),
+                              (2, spot + GRAM, spot + GRAM + half <= (at + size)[own])):
+        start, whose = start[fits], own[fits]
+        x = mix(key[whose] + np.uint64(side))
+        for d in (*range(0, half - 7, 8), half - 8):
+            x = mix(x * np.uint64(0x9E3779B97F4A7C15) ^ eight[start + d])
+        hashes.append(x)
+        owners.append(whose)
+    hashes, owners = np.concatenate(hashes), np.concatenate(owners)
+    out = np.zeros(len(at), bool)
+    if len(hashes):
+        order = np.argsort(hashes, kind="stable")  # owners stay in order
+        hashes, owners = hashes[order], owners[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        end = np.append(first[1:], len(hashes))
+        out[owners[np.repeat(owners[first] != owners[end - 1], end - first)]] = True
+    return out
 
 
 class BucketQueue:
@@ -249,8 +345,8 @@ def equal_windows(segments: list[bytes], owner: np.ndarray, limit: int = QUEUE_I
 def packs_of(docs: DataFrame) -> DataFrame:
     """Stored (pack, ids, sizes, texts): documents (doc_id, text) in packs."""
     def run(batches):
+        ids, raw, held = [], [], 0
         for batch in batches:
-            ids, raw, held = [], [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(doc_id)
                 raw.append((text or "").encode("utf-8", "surrogatepass"))
@@ -258,8 +354,8 @@ def packs_of(docs: DataFrame) -> DataFrame:
                 if len(ids) >= PACK_DOCS or held >= PACK_BYTES:
                     yield _pack(ids, raw)
                     ids, raw, held = [], [], 0
-            if ids:
-                yield _pack(ids, raw)
+        if ids:
+            yield _pack(ids, raw)
 
     packed = docs.select("doc_id", "text").mapInArrow(released(run), "ids binary, sizes binary, texts binary")
     return stored(packed.withColumn("pack", F.monotonically_increasing_id()), "text-packs")
@@ -308,9 +404,9 @@ def shared_keys(packs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 _, raw = _unpack(row["ids"], row["sizes"], row["texts"])
-                found = [runs(window_keys(t)) for t in raw]
-                keys, which = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-                held = np.bincount(which, np.concatenate([f[2] for f in found]) + (WINDOW - 1), len(keys))
+                key, _, _, count = pack_runs(raw)
+                keys, which = np.unique(key, return_inverse=True)
+                held = np.bincount(which, count + (WINDOW - 1), len(keys))
                 level = np.minimum(np.ceil(8 * np.log2(np.maximum(held, 1))), 255).astype(np.uint8)
                 out = [(s, row["pack"], keys[at].tobytes(), level[at].tobytes()) for s, at in _by_shard(keys, shards)]
                 if out:
@@ -356,11 +452,12 @@ def shared_keys(packs: DataFrame, shards: int) -> DataFrame:
 
 
 def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
-    """(shard, pack, docs, firsts, sizes, bytes) of segments under shared keys.
+    """(shard, pack, docs, firsts, sizes, tags, bytes) of segments under shared keys.
 
     Of equal segments inside a pack only the smallest document's goes out;
     the others come back as settled rows with shard -1.  Segments of hot
-    keys stay rows of their pack, with shards -2, -3, ...
+    keys stay rows of their pack, with shards -2, -3, ...  Tags are bits of
+    the keys that did not choose the shard.
     """
     own = packs.join(keys.groupBy("pack").agg(F.collect_list("keys").alias("keys"),
                                               F.collect_list("hot").alias("hot")), "pack", "left")
@@ -371,51 +468,48 @@ def segments_of(packs: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
                 ids, raw = _unpack(row["ids"], row["sizes"], row["texts"])
                 known, hot = (np.unique(np.concatenate([np.frombuffer(k, "<u8") for k in row[c] or []]
                                                        or [np.empty(0, np.uint64)])) for c in ("keys", "hot"))
-                known = np.union1d(known, hot)
-                found = [runs(window_keys(t)) for t in raw]
-                distinct = [np.unique(k) for k, _, _ in found]
-                every, times = np.unique(np.concatenate(distinct), return_counts=True)
-                known = np.union1d(known, every[times > 1])
-                best: dict[tuple, tuple] = {}
-                settled = []
-                for d in np.argsort(ids, kind="stable"):
-                    key, first, count = found[d]
-                    for k in _found(key, known):
-                        a, c = int(first[k]), int(count[k])
-                        seg = raw[d][a:a + c + WINDOW - 1]
-                        mine = (int(key[k]), seg)
-                        if mine not in best:
-                            best[mine] = (int(d), a)
-                        elif ids[best[mine][0]] < ids[d]:
-                            settled.append((int(ids[d]), a, c))
-                        else:  # the same id again: judged like the first
-                            best[(int(key[k]), seg, int(d), a)] = (int(d), a)
-                if settled:
-                    yield _segment_rows(-1, row["pack"], settled, b"")
-                keys_ = np.array([m[0] for m in best], np.uint64)
-                items = [(m[1], *v) for m, v in best.items()]
-                apart = np.zeros(len(items), bool)
-                apart[_found(keys_, hot)] = True
-                cold = np.flatnonzero(~apart)
-                parts = [(s, cold[at]) for s, at in _by_shard(keys_[cold], shards)] if len(cold) else []
-                held = np.cumsum([len(items[i][0]) for i in np.flatnonzero(apart)]) // HOT_ROW_BYTES
-                parts += [(-2 - int(h), np.flatnonzero(apart)[held == h]) for h in np.unique(held)]
+                key, doc, first, count = pack_runs(raw)
+                order = np.argsort(key, kind="stable")  # documents stay in order
+                k, d = key[order], doc[order]
+                several = k[1:][(k[1:] == k[:-1]) & (d[1:] != d[:-1])]
+                at = _found(key, np.unique(np.concatenate([known, hot, several])))
+                if not len(at):
+                    continue
+                key, doc, first, size = key[at], doc[at], first[at], count[at] + (WINDOW - 1)
+                text = b"".join(raw)
+                start = np.cumsum([0, *map(len, raw)])[doc] + first
+                number = equal_strings(text, start, size)
+                doc = ids[doc]
+                least = np.full(number.max() + 1, np.iinfo(np.int64).max)
+                np.minimum.at(least, number, doc)
+                goes = doc <= least[number]  # the same id again is judged like the first
+                rows = []
+                if not goes.all():
+                    rows.append((-1, doc[~goes], first[~goes], size[~goes] - (WINDOW - 1), None, b""))
+                key, doc, first, size, start = (x[goes] for x in (key, doc, first, size, start))
+                apart = np.zeros(len(key), bool)
+                apart[_found(key, hot)] = True
+                cold, warm = np.flatnonzero(~apart), np.flatnonzero(apart)
+                parts = [(s, cold[at]) for s, at in _by_shard(key[cold], shards)] if len(cold) else []
+                held = np.cumsum(size[warm]) // HOT_ROW_BYTES
+                parts += [(-2 - int(h), warm[held == h]) for h in np.unique(held)]
+                tags = (mix(mix(key) + np.uint64(1)) >> np.uint64(32)).astype("<u4")
                 for shard, at in parts:
-                    part = [items[i] for i in at]
-                    yield _segment_rows(shard, row["pack"],
-                                        [(int(ids[d]), a, len(seg)) for seg, d, a in part],
-                                        b"".join(seg for seg, _, _ in part))
+                    rows.append((shard, doc[at], first[at], size[at], tags[at],
+                                 b"".join([text[a:b] for a, b in zip(start[at].tolist(), (start[at] + size[at]).tolist())])))
+                yield _segment_rows(row["pack"], rows)
 
     return own.select("pack", "ids", "sizes", "texts", "keys", "hot").mapInArrow(
-        released(run), "shard int, pack bigint, docs binary, firsts binary, sizes binary, bytes binary")
+        released(run), "shard int, pack bigint, docs binary, firsts binary, sizes binary, tags binary, bytes binary")
 
 
-def _segment_rows(shard: int, pack: int, rows: list[tuple], raw: bytes) -> pa.RecordBatch:
-    docs, firsts, sizes = (np.array(c, "<i8").tobytes() for c in zip(*rows))
+def _segment_rows(pack: int, rows: list[tuple]) -> pa.RecordBatch:
+    columns = [[None if x is None else _squeeze(x if isinstance(x, bytes) else x.tobytes()) for x in c]
+               for c in list(zip(*rows))[1:]]
     return pa.RecordBatch.from_arrays(
-        [pa.array([shard], pa.int32()), pa.array([pack], pa.int64())]
-        + [pa.array([_squeeze(x)], pa.binary()) for x in (docs, firsts, sizes, raw)],
-        names=["shard", "pack", "docs", "firsts", "sizes", "bytes"])
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([pack] * len(rows), pa.int64())]
+        + [pa.array(c, pa.binary()) for c in columns],
+        names=["shard", "pack", "docs", "firsts", "sizes", "tags", "bytes"])
 
 
 def _segments(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -429,7 +523,7 @@ def _segments(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 class Shard:
     """Rows of a key shard, kept in a local file from ``limit`` bytes on."""
 
-    FIELDS = ("docs", "firsts", "sizes", "bytes")
+    FIELDS = ("docs", "firsts", "sizes", "tags", "bytes")
 
     def __init__(self, limit: int):
         self.file = tempfile.SpooledTemporaryFile(limit)
@@ -437,31 +531,53 @@ class Shard:
         self.limit, self.held = limit, 0
 
     def add(self, row: dict) -> None:
-        self.rows.append((row["pack"], self.file.tell(), [len(row[f]) for f in self.FIELDS]))
-        self.held += int(np.frombuffer(_expand(row["sizes"]), "<i8").sum())
+        held = int(np.frombuffer(_expand(row["sizes"]), "<i8").sum())
+        self.rows.append((row["pack"], self.file.tell(), [len(row[f]) for f in self.FIELDS], held))
+        self.held += held
         for f in self.FIELDS:
             self.file.write(row[f])
 
+    def _chunks(self):
+        """(columns pack, document, first window, size, tag; segments) in turn, about ``limit`` bytes each."""
+        columns, segs, held = [], [], 0
+        for k, (pack, at, sizes, size) in enumerate(self.rows):
+            self.file.seek(at)
+            row = {f: self.file.read(n) for f, n in zip(self.FIELDS, sizes)}
+            own, doc, first = _segments(row)
+            tag = np.frombuffer(_expand(row["tags"]), "<u4")
+            columns.append(np.stack([np.full(len(own), pack), doc, first, [len(x) for x in own], tag]).astype("<i8"))
+            segs += own
+            held += size
+            if held >= self.limit or k == len(self.rows) - 1:
+                yield np.concatenate(columns, 1), segs
+                columns, segs, held = [], [], 0
+
     def blocks(self):
         """(packs, docs, firsts, segments) of whole keys, about ``limit`` bytes each."""
         n = max(1, -(-self.held // self.limit))
-        for block in range(n):
-            packs, docs, firsts, segs = [], [], [], []
-            for pack, at, sizes in self.rows:
-                self.file.seek(at)
-                own, doc, first = _segments({f: self.file.read(k) for f, k in zip(self.FIELDS, sizes)})
-                if n > 1:
-                    # Bits of the key that did not choose the shard.
-                    keys = window_keys(b"".join(seg[:WINDOW] for seg in own))[::WINDOW]
-                    at = np.flatnonzero(mix(mix(keys) + np.uint64(1)) % np.uint64(n) == block)
-                    own, doc, first = [own[k] for k in at], doc[at], first[at]
-                packs += [pack] * len(own)
-                docs.append(doc)
-                firsts.append(first)
-                segs += own
-            if segs:
-                yield packs, np.concatenate(docs), np.concatenate(firsts), segs
-        self.file.close()
+        parts: list[list] = [[] for _ in range(n)]
+        with tempfile.SpooledTemporaryFile(self.limit) as cut:
+            for columns, segs in self._chunks():
+                block = columns[4] % n
+                order = np.argsort(block, kind="stable")
+                edges = np.searchsorted(block[order], np.arange(n + 1))
+                for k in range(n):
+                    at = order[edges[k]:edges[k + 1]]
+                    if len(at):
+                        parts[k].append((cut.tell(), len(at), int(columns[3, at].sum())))
+                        cut.write(columns[:, at].tobytes())
+                        cut.write(b"".join([segs[i] for i in at.tolist()]))
+            self.file.close()
+            for block in parts:
+                columns, segs = [], []
+                for at, m, size in block:
+                    cut.seek(at)
+                    columns.append(np.frombuffer(cut.read(40 * m), "<i8").reshape(5, m))
+                    raw = cut.read(size)
+                    ends = np.cumsum(columns[-1][3]).tolist()
+                    segs += [raw[a:b] for a, b in zip([0, *ends], ends)]
+                if segs:
+                    yield *np.concatenate(columns, 1)[:3], segs
 
 
 def _spans(flag: np.ndarray, doc: int, first: int) -> list[tuple]:
@@ -478,22 +594,35 @@ def _span_rows(pack: int, rows: list[tuple]) -> pa.RecordBatch:
 def removed_windows(segments: DataFrame, shards: int, limit: int = QUEUE_ITEMS) -> DataFrame:
     """(pack, spans): flattened (doc_id, first window, windows) to remove."""
     def settle(shard):
+        found = []
         for packs, docs, firsts, segs in shard.blocks():
-            least: dict[bytes, int] = {}
-            for k in np.argsort(docs, kind="stable"):
-                least.setdefault(segs[k], int(k))
-            chosen = sorted(least.values())
-            marks = dict(zip(chosen, equal_windows([segs[k] for k in chosen], docs[chosen], limit)))
-            out: dict[int, list] = {}
-            for k, seg in enumerate(segs):
-                first, doc = int(firsts[k]), int(docs[k])
-                top = least[seg]
-                if docs[top] < doc:
-                    out.setdefault(packs[k], []).append((doc, first, len(seg) - WINDOW + 1))
-                elif marks[top].any():
-                    out.setdefault(packs[k], []).extend(_spans(marks[top], doc, first))
-            for pack, rows in out.items():
-                yield _span_rows(pack, rows)
+            text, size = b"".join(segs), np.array([len(x) for x in segs])
+            start = np.cumsum(size) - size
+            number = equal_strings(text, start, size)
+            order = np.lexsort((docs, number))
+            begins = np.concatenate([[True], number[order][1:] != number[order][:-1]])
+            top = np.empty(len(segs), np.int64)
+            top[order] = order[np.flatnonzero(begins)[np.cumsum(begins) - 1]]
+            whole = docs[top] < docs
+            found.append(np.stack([packs, docs, firsts, size - (WINDOW - 1)], 1)[whole])
+            chosen = np.unique(top)
+            text = b"".join([segs[k] for k in chosen.tolist()])
+            chosen = chosen[may_share(text, np.cumsum(size[chosen]) - size[chosen], size[chosen])]
+            marks = dict(zip(chosen.tolist(), equal_windows([segs[k] for k in chosen.tolist()], docs[chosen], limit)
+                             if len(chosen) else ()))
+            marks = {k: m for k, m in marks.items() if m.any()}
+            rest = np.flatnonzero(~whole & np.isin(top, np.fromiter(marks, np.int64, len(marks))))
+            rows = [(int(packs[k]), *span) for k in rest for span in _spans(marks[int(top[k])], int(docs[k]), int(firsts[k]))]
+            if rows:
+                found.append(np.array(rows, np.int64))
+        found = np.concatenate(found) if found else np.empty((0, 4), np.int64)
+        found = found[np.argsort(found[:, 0], kind="stable")]
+        cuts = np.flatnonzero(np.diff(found[:, 0])) + 1
+        parts = [x for x in np.split(found, cuts) if len(x)]
+        if parts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(x[0, 0]) for x in parts], pa.int64()),
+                 pa.array([_squeeze(x[:, 1:].astype("<i8").tobytes()) for x in parts], pa.binary())], names=["pack", "spans"])
 
     def sort(batches):  # rows come shard by shard
         now, shard = None, None
@@ -600,6 +729,11 @@ def kept(text: bytes, first: np.ndarray, count: np.ndarray) -> tuple[int, int, i
     return len(text), int(gone.sum()), runs_, left
 
 
+def shards_for(total: int, partitions: int) -> int:
+    """Key shards of ``total`` bytes of text."""
+    return max(1, min(partitions, FEW_SHARDS), -(-total // SHARD_BYTES))
+
+
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (remaining bytes) of every
     row; for a copy under 50 bytes ``kept`` is NULL and ``digest`` that of
@@ -610,7 +744,7 @@ def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
     ids = stored(full.select("doc_id", digest, F.octet_length("text").cast("bigint").alias("n_bytes")), "text-ids")
     total = ids.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(shuffle_partitions(docs), -(-total // SHARD_BYTES))
+    shards = shards_for(total, shuffle_partitions(docs))
     first = ids.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = stored(ids.join(broadcast_if_small(first.select("digest", "first")), "digest").filter(
         "doc_id > first").select("doc_id", "digest", "n_bytes"), "text-copies")

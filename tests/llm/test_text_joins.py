@@ -283,6 +283,62 @@ def test_large_shards_are_sorted_in_blocks_of_keys(docs, monkeypatch):
     assert max(sum(len(s) for s in b[3]) for b in blocks) < whole.held / 2
 
 
+def test_packs_and_shards_are_large(spark, docs):
+    """Rows between steps grow with packs times shards: packs fill up over Arrow batches, shards are not small."""
+    rng = random.Random(7)
+    rows = [(i, prose(rng, 40)) for i in range(60)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        packs = suffix_dedup.packs_of(docs(rows).coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(packs) == 1
+    ids, raw = suffix_dedup._unpack(packs[0].ids, packs[0].sizes, packs[0].texts)
+    assert sorted(zip(ids.tolist(), raw)) == [(i, t.encode()) for i, t in rows]
+    total = 10 << 30
+    assert suffix_dedup.shards_for(total, 600) == suffix_dedup.shards_for(total, 12) < 600
+    assert suffix_dedup.shards_for(0, 12) == 12 and suffix_dedup.shards_for(3 * total, 12) > 600
+
+
+def test_runs_of_a_pack_are_those_of_its_texts(monkeypatch):
+    rng = random.Random(11)
+    raw = [prose(rng, rng.choice([0, 1, 12, 60, 300])).encode() for _ in range(60)] + [b"", b"a" * 49, b"a" * 50, b"ab" * 90, b""]
+    for most in (1, 300, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", most)
+        got = {}
+        for key, doc, first, count in zip(*(x.tolist() for x in suffix_dedup.pack_runs(raw))):
+            for w in range(first, first + count):
+                assert got.setdefault((doc, w), key) == key
+        want = {(d, w): int(k) for d, t in enumerate(raw) for w, k in enumerate(suffix_dedup.window_keys(t))}
+        assert got == want
+
+
+def test_segments_that_share_a_window_are_sorted():
+    """The filter before the sort keeps all of them and drops those that share the key only."""
+    rng = random.Random(12)
+    segs = []
+    for _ in range(60):
+        gram = "".join(rng.choice("abcd") for _ in range(rng.choice([16, 20, 30, 45])))
+        for _ in range(rng.choice([1, 3])):
+            text = ("".join(rng.choice("abcdefgh") for _ in range(60)) + gram + "".join(rng.choice("abcdefgh") for _ in range(60))).encode()
+            for text in (text, b"x" * 3 + text[20:100] + b"y" * 30, b"ab" * rng.choice([30, 45])):
+                _, _, first, count = suffix_dedup.pack_runs([text])
+                segs += [text[a:a + c + 49] for a, c in zip(first.tolist(), count.tolist())]
+    segs = sorted(set(segs))
+    size = np.array([len(s) for s in segs])
+    text, start = b"".join(segs), np.cumsum(size) - size
+    kept = suffix_dedup.may_share(text, start, size)
+    homes: dict = {}
+    for k, s in enumerate(segs):
+        for w in range(len(s) - 49):
+            homes.setdefault(s[w:w + 50], set()).add(k)
+    sharing = set().union(*(h for h in homes.values() if len(h) > 1))
+    assert sharing and sharing <= set(np.flatnonzero(kept).tolist()) and kept.sum() < len(segs)
+    number = suffix_dedup.equal_strings(text + text, np.concatenate([start, start + len(text)]), np.tile(size, 2))
+    assert (number[:len(segs)] == number[len(segs):]).all() and len(set(number.tolist())) == len(segs)
+
+
 def test_strings_without_ids_and_empty(docs):
     t = "the same words again and again until there are more than fifty of them"
     got = sorted((str(r.doc_id), r.n_removed) for r in suffix_dedup.op3(docs(
