@@ -205,6 +205,28 @@ def test_near_ties_nulls_and_empty(docs):
     assert {r.doc_id for r in jaccard_join.keep_one(docs(rows)).collect()} == {3, 9, 8, None}
 
 
+def test_large_sides_stay_out_of_the_driver(docs, monkeypatch):
+    """Beyond the bound neither the wanted nodes nor the copies nor the classes are broadcast."""
+    for module in (common, jaccard_join):
+        monkeypatch.setattr(module, "DRIVER_BYTES", 0, raising=False)
+    plans = []
+    whole = common.stored
+
+    def watched(df, tag, *args):
+        plans.append((tag, df._jdf.queryExecution().optimizedPlan().toString()))
+        return whole(df, tag, *args)
+
+    monkeypatch.setattr(common, "stored", watched)
+    monkeypatch.setattr(jaccard_join, "stored", watched)
+    rows = near_rows(4, 12) + [(1000 + i, "the same few words are here " * 9) for i in range(4)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.classes(docs(rows), 3, 90).collect()}
+    assert got == near_brute(rows, 3, 90)
+    seen = {tag for tag, plan in plans if "strategy=broadcast" in plan}
+    assert "node-texts" in {tag for tag, _ in plans} and not seen & {"postings", "node-texts", "pairs", "links"}, seen
+    final = [plan for tag, plan in plans if tag == "near-classes"]
+    assert [plan.count("strategy=broadcast") for plan in final] == [1]  # the few largest groups
+
+
 # -- repeated strings ---------------------------------------------------------
 
 def test_sorter_orders_all_suffixes():
